@@ -7,7 +7,7 @@ from string import Formatter
 from pyspark.sql import Column, functions as F
 
 
-def filled(template: str, **fields: Column) -> Column:
+def filled(template: str, /, **fields: Column) -> Column:
     """``"Hi {name}"`` with the placeholders replaced by columns."""
     parts = []
     for literal, field, _, _ in Formatter().parse(template):

@@ -58,7 +58,7 @@ NO_INSIGHTS = ["Analysis unavailable"]
 NO_RECOMMENDATION = "Standard follow-up recommended"
 
 
-def _prompt(template: str, **extra: Column) -> Column:
+def _prompt(template: str, /, **extra: Column) -> Column:
     names = ["nps_score", "events_30d", "orders_cnt", "created_at", "last_event_ts", "country", "first_name", "segment"]
     fields = {name: F.coalesce(F.col(name).cast("string"), F.lit("N/A")) for name in names}
     fields["lifetime_revenue"] = float_text(F.col("lifetime_revenue"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from reachmart.functions.text import float_text
 from reachmart.operators import sent_keys
 from reachmart.plans import activation, manual_entries
 from reachmart.sources.ledger import Ledger
@@ -37,7 +38,9 @@ def sync_report(entries: DataFrame, ledger_rows: DataFrame) -> DataFrame:
 
 
 def ledger_union(entries: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    """Entries and sent rows under each other by column name; duplicates stay."""
+    """Entries and sent rows under each other by column name, as text; duplicates stay."""
     ours = entries.withColumn("source", F.lit("manual_entries.csv"))
-    theirs = ledger_rows.withColumn("salesforce_status", F.lit(sent_keys.SENT))
+    theirs = ledger_rows.withColumns(
+        {"score": float_text(F.col("score")), "salesforce_status": F.lit(sent_keys.SENT)}
+    )
     return ours.unionByName(theirs, allowMissingColumns=True)
