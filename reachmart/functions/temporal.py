@@ -6,6 +6,8 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, functions as F
 
+from reachmart.functions.text import stripped
+
 Instant = datetime | str
 
 
@@ -44,7 +46,7 @@ def timestamp_text(ts: Column) -> Column:
 
 def parsed_day(text: Column) -> Column:
     """Day text in ISO or month-first form to ``yyyy-MM-dd``; anything else is null."""
-    value = F.trim(text)
+    value = stripped(text)
     day = F.coalesce(
         value.try_cast("timestamp_ntz").cast("date"),
         *[F.try_to_date(value, pattern) for pattern in DAY_PATTERNS],

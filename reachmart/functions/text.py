@@ -24,6 +24,11 @@ def or_default(value: Column, default: Column | str) -> Column:
     return F.coalesce(F.nullif(value, F.lit("")), fallback)
 
 
+def stripped(value: Column) -> Column:
+    """Without blanks and line ends around it."""
+    return F.regexp_replace(value, r"^\s+|\s+$", "")
+
+
 def has_at(value: Column) -> Column:
     return F.coalesce(F.contains(value, F.lit("@")), F.lit(False))
 
@@ -44,7 +49,7 @@ def is_number_text(value: Column) -> Column:
 
 def as_number(text: Column) -> Column:
     """Decimal text to a double, anything else (also "NaN" and Java's "1d") to null."""
-    return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
+    return F.when(text.rlike(NUMBER_PATTERN), stripped(text).try_cast("double"))
 
 
 # Fixed value: optional sign, digits with at most one dot, optional exponent.
@@ -52,7 +57,8 @@ NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def float_text(value: Column) -> Column:
-    """The shortest decimal text of a double, in plain form from 1e-4 up to 1e16."""
+    """The shortest decimal text of a double, in plain form from 1e-4 up to 1e16. Above that
+    the JVM may print a digit more than needed."""
     size = F.abs(value)
     short = value.cast("string")
     plain = F.regexp_replace(value.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")

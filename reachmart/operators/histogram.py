@@ -15,7 +15,7 @@ def histogram(rows: DataFrame, column: str, bins: int) -> DataFrame:
     low = rows.select(F.min("x")).scalar()
     high = rows.select(F.max("x")).scalar()
     width = (high - low) / bins
-    place = F.floor((F.col("x") - low) / F.nullif(width, F.lit(0.0)))
-    bin_no = F.coalesce(F.least(place, F.lit(bins - 1).cast("bigint")), F.lit(0).cast("bigint"))
+    last, only = F.lit(bins - 1).cast("bigint"), F.lit(0).cast("bigint")
+    bin_no = F.when(high == low, only).otherwise(F.least(F.floor((F.col("x") - low) / width), last))
     counts = rows.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("customers"))
     return counts.select("bin", (low + F.col("bin") * width).alias("bin_start"), "customers")

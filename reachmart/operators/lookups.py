@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from reachmart.operators.key_join import join_keys, key_set
+
 DISPLAY_COLUMNS = ["customer_id", "email", "first_name", "segment", "score", "source", "salesforce_status"]
 
 
@@ -16,13 +18,12 @@ def find_entries(entries: DataFrame, key: str) -> DataFrame:
 
 def find_all(entries: DataFrame, keys: DataFrame, key: str = "lookup") -> DataFrame:
     """The same for a column of lookup keys; adds the key and how it was found."""
-    wanted = keys.select(F.col(key).cast("string").alias("lookup")).filter(F.col(key).isNotNull()).distinct()
-    ids = F.col("customer_id").cast("string")
-    by_id = entries.join(wanted, ids == F.col("lookup"), "inner").withColumn("found_by", F.lit("id"))
-    known = entries.select(ids.alias("_id")).distinct()
-    others = wanted.join(known, F.col("lookup") == F.col("_id"), "left_anti")
-    by_email = entries.join(others, F.lower("email") == F.lower("lookup"), "inner")
-    return by_id.unionByName(by_email.withColumn("found_by", F.lit("email")))
+    wanted = key_set(keys, F.col(key))
+    by_id = join_keys(entries, F.col("customer_id"), wanted, "inner").withColumnRenamed("key", "lookup")
+    others = wanted.join(key_set(entries, F.col("customer_id")), "key", "left_anti")
+    emails = others.select(F.lower("key").alias("key"), F.col("key").alias("lookup"))
+    by_email = join_keys(entries, F.lower("email"), emails, "inner").drop("key")
+    return by_id.withColumn("found_by", F.lit("id")).unionByName(by_email.withColumn("found_by", F.lit("email")))
 
 
 def search(records: DataFrame, term: str, regex: bool = False) -> DataFrame:

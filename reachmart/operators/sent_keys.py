@@ -1,27 +1,16 @@
-"""Which entries were sent already: anti joins and marks against the ledger's keys.
-
-Entries keep one row per record, so their join key may be hot. The ledger side is always
-reduced to distinct keys first; then no key can multiply rows, and a hot or missing key
-only makes a long run of rows on the entry side, which adaptive execution splits by size
-(left anti and left outer joins allow that). Which side, if any, is small enough to be
-broadcast is left to the size check of adaptive execution.
-"""
+"""Which entries were sent already: anti joins and marks against the ledger's keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reachmart.operators.key_join import join_keys, key_set
+
 # Fixed values.
 SENT = "Sent to Salesforce"
 NOT_SENT = "Not sent"
 
 
-def key_set(rows: DataFrame, column: str) -> DataFrame:
-    """Distinct non-null keys as text: an id read as a number and one read as text agree."""
-    key = F.col(column).cast("string")
-    return rows.select(key.alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-
-
 def sent_keys(ledger: DataFrame) -> DataFrame:
     """The set of sent ids and the set of sent e-mails, from one read of the ledger."""
     pairs = F.array(
@@ -41,8 +30,7 @@ def unsent(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFrame:
     pair. A missing key matches nothing and keeps its entry.
     """
     for column in columns:
-        keys = key_set(ledger, column)
-        entries = entries.join(keys, F.col(column).cast("string") == F.col("_key"), "left_anti")
+        entries = join_keys(entries, F.col(column), key_set(ledger, F.col(column)), "left_anti")
     return entries
 
 
@@ -50,19 +38,16 @@ def unsent_few(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFram
     """The same for few entries and a long ledger: the ledger is first cut down to the
     entries' keys, which needs no shuffle of the ledger while those keys are few."""
     for column in columns:
-        wanted = key_set(entries, column)
-        hits = ledger.select(F.col(column).cast("string").alias(column)).join(
-            wanted, F.col(column) == F.col("_key"), "left_semi"
-        )
+        wanted = key_set(entries, F.col(column))
+        hits = join_keys(ledger.select(column), F.col(column), wanted, "left_semi")
         entries = unsent(entries, hits, column)
     return entries
 
 
 def mark_sent(entries: DataFrame, ledger: DataFrame, column: str = "customer_id") -> DataFrame:
     """Each entry with its status; the number of rows stays."""
-    keys = key_set(ledger, column)
-    marked = entries.join(keys, F.col(column).cast("string") == F.col("_key"), "left")
-    return marked.withColumn("salesforce_status", status_text(F.col("_key").isNotNull())).drop("_key")
+    marked = join_keys(entries, F.col(column), key_set(ledger, F.col(column)), "left")
+    return marked.withColumn("salesforce_status", status_text(F.col("key").isNotNull())).drop("key")
 
 
 def status_text(is_sent: Column) -> Column:

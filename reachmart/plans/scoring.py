@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reachmart.functions.decisions import clamped, rule_risk, template_message
-from reachmart.functions.text import as_number, filled, float_text
+from reachmart.functions.text import as_number, filled, float_text, stripped
 
 Scorer = Callable[[Sequence[str]], Sequence[str | None]]
 
@@ -109,7 +109,7 @@ def model_message(records: DataFrame, scorer: Scorer) -> DataFrame:
         discount_pct=float_text(F.coalesce(action["discount_pct"], F.lit(0.0))),
     )
     asked = records.withColumn("_answer", ask(prompt, scorer))
-    message = F.coalesce(F.trim("_answer"), template_message(F.col("first_name"), action))
+    message = F.coalesce(stripped(F.col("_answer")), template_message(F.col("first_name"), action))
     return asked.withColumn("personalized_message", message).drop("_answer")
 
 
