@@ -15,6 +15,7 @@ from reachmart.plans import activation, manual_entries, marts, quality_suite, re
 from reachmart.session import scratch_dir
 from reachmart.sources import outbox, sample_answers, sample_outreach
 from reachmart.sources.ledger import Ledger
+from reachmart.sources.schemas import RECORD_COLUMNS
 from reachmart.sources.tables import SalesTables
 from reachmart.streaming import sync_stream
 
@@ -51,20 +52,21 @@ def _profile(tables: SalesTables, *columns: str) -> DataFrame:
     return marts.customer_360(tables, AS_OF, list(columns) or None)
 
 
-_SCORE_INPUTS = ("revenue_90d", "events_30d", "nps_score")
+def _records(tables: SalesTables, segment: str = "all", columns: list[str] = RECORD_COLUMNS) -> DataFrame:
+    return marts.segment_records(_profile(tables, *marts.record_inputs(columns)), segment)
 
 
-def _records(tables: SalesTables, segment: str = "all") -> DataFrame:
-    return marts.segment_records(_profile(tables), segment)
+def _payload(tables: SalesTables, columns: list[str] = RECORD_COLUMNS) -> DataFrame:
+    return activation.payload(_records(tables, columns=columns))
 
 
-def _payload(tables: SalesTables) -> DataFrame:
-    return activation.payload(_records(tables))
+# What leads, tasks and most reports use of a record; it needs no look at the whole history.
+BRIEF = ["customer_id", "email", "first_name"]
 
 
 def _scored(tables: SalesTables) -> DataFrame:
     risk = rule_risk(F.col("nps_score"), F.col("events_30d"), F.col("lifetime_revenue"))
-    return _records(tables).withColumn("llm_risk_score", risk)
+    return _records(tables, columns=["customer_id", "email", "lifetime_revenue"]).withColumn("llm_risk_score", risk)
 
 
 def _entries(tables: SalesTables) -> DataFrame:
@@ -72,7 +74,7 @@ def _entries(tables: SalesTables) -> DataFrame:
 
 
 def _delivered(tables: SalesTables) -> DataFrame:
-    return sample_outreach.delivered_records(_payload(tables))
+    return sample_outreach.delivered_records(_payload(tables, BRIEF))
 
 
 # --- scans, staging, facts --------------------------------------------------------------
@@ -208,12 +210,12 @@ def segment_counts(tables: SalesTables) -> DataFrame:
 
 @query("segment_performance")
 def segment_performance(tables: SalesTables) -> DataFrame:
-    return reports.segment_performance(_profile(tables, "lifetime_revenue", *_SCORE_INPUTS))
+    return reports.segment_performance(_profile(tables, "lifetime_revenue", *marts.SCORE_INPUTS))
 
 
 @query("segment_performance_join")
 def segment_performance_join(tables: SalesTables) -> DataFrame:
-    profile = _profile(tables, "customer_id", "email", "lifetime_revenue", *_SCORE_INPUTS)
+    profile = _profile(tables, "customer_id", "email", "lifetime_revenue", *marts.SCORE_INPUTS)
     return reports.segment_performance_from_marts(marts.segment_scores(tables, AS_OF), profile)
 
 
@@ -278,7 +280,7 @@ def rule_risk_rows(tables: SalesTables) -> DataFrame:
 
 @query("template_message")
 def template_message_rows(tables: SalesTables) -> DataFrame:
-    profile = marts.with_segment(_profile(tables, "customer_id", "first_name", *_SCORE_INPUTS))
+    profile = marts.with_segment(_profile(tables, "customer_id", "first_name", *marts.SCORE_INPUTS))
     message = template_message(F.col("first_name"), next_best_action(F.col("segment")))
     return profile.select("customer_id", message.alias("message"))
 
@@ -291,7 +293,7 @@ def activation_payload(tables: SalesTables) -> DataFrame:
 
 @query("nba_flat")
 def nba_flat(tables: SalesTables) -> DataFrame:
-    return reports.flat_actions(_payload(tables))
+    return reports.flat_actions(_payload(tables, BRIEF))
 
 
 @query("risk_display")
@@ -304,12 +306,12 @@ def messages(tables: SalesTables) -> DataFrame:
     message = template_message(F.col("first_name"), F.col("nba_action"))
     # Only records with a discount have a message, so that the filter has rows to drop.
     offered = F.when(F.col("nba_action.discount_pct") > 0, message).otherwise("")
-    return reports.messages(_payload(tables).withColumn("personalized_message", offered))
+    return reports.messages(_payload(tables, BRIEF).withColumn("personalized_message", offered))
 
 
 @query("activation_summary")
 def activation_summary(tables: SalesTables) -> DataFrame:
-    return reports.activation_summary(_payload(tables))
+    return reports.activation_summary(_payload(tables, BRIEF))
 
 
 @query("activation_metrics")
@@ -365,7 +367,7 @@ def task_rows(tables: SalesTables) -> DataFrame:
 
 @query("followup_steps")
 def followup_steps(tables: SalesTables) -> DataFrame:
-    return activation.follow_ups(_payload(tables))
+    return activation.follow_ups(_payload(tables, BRIEF))
 
 
 # --- hand-entered records ---------------------------------------------------------------

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 REPORT_COLUMNS = ["test", "model", "column_name", "failures", "passed"]
 
 
-def _row(result: DataFrame, test: str, model: str, column: str) -> DataFrame:
+def _row(result: DataFrame, test: str | Column, model: str, column: str) -> DataFrame:
     return result.select(
-        F.lit(test).alias("test"),
+        (test if isinstance(test, Column) else F.lit(test)).alias("test"),
         F.lit(model).alias("model"),
         F.lit(column).alias("column_name"),
         F.col("failures"),
@@ -30,6 +30,19 @@ def unique(rows: DataFrame, model: str, column: str) -> DataFrame:
     return _row(counts.agg(F.count_if(F.col("n") > 1).alias("failures")), "unique", model, column)
 
 
+def key(rows: DataFrame, model: str, column: str) -> DataFrame:
+    """Both tests of a key column from one grouping: a row for not_null, one for unique."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("n"))
+    missing = F.col(column).isNull()
+    totals = counts.agg(
+        F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("missing"),
+        F.count_if(~missing & (F.col("n") > 1)).alias("repeated"),
+    )
+    tests = [("not_null", "missing"), ("unique", "repeated")]
+    pairs = F.array(*[F.struct(F.lit(test).alias("test"), F.col(name).alias("failures")) for test, name in tests])
+    return _row(totals.select(F.inline(pairs)), F.col("test"), model, column)
+
+
 def accepted_values(rows: DataFrame, model: str, column: str, values: list[str]) -> DataFrame:
     """Fails on each distinct value outside the list; missing values pass."""
     others = rows.filter(~F.col(column).isin(values)).select(column).distinct()

@@ -43,15 +43,17 @@ def dim_customer(tables, as_of: Instant) -> DataFrame:
     return customer_360(tables, as_of, DIM_COLUMNS)
 
 
+SCORE_INPUTS = ["revenue_90d", "events_30d", "nps_score"]
+
+
 def with_segment(profile: DataFrame) -> DataFrame:
-    inputs = [F.col(name) for name in ("revenue_90d", "events_30d", "nps_score")]
+    inputs = [F.col(name) for name in SCORE_INPUTS]
     return profile.withColumns({"segment": segment_name(*inputs), "score": segment_score(*inputs)})
 
 
 def segment_scores(tables, as_of: Instant) -> DataFrame:
     """Reads 90 days of orders and 30 days of events, not their history."""
-    needed = ["customer_id", "email", "revenue_90d", "events_30d", "nps_score"]
-    return scores_of(customer_360(tables, as_of, needed))
+    return scores_of(customer_360(tables, as_of, ["customer_id", "email", *SCORE_INPUTS]))
 
 
 def scores_of(profile: DataFrame) -> DataFrame:
@@ -77,14 +79,20 @@ def first_order(tables) -> DataFrame:
 
 
 def segment_records(profile: DataFrame, segment: str = "all") -> DataFrame:
-    """Records of one segment, or of every classified customer, from the full profile.
+    """Records of one segment, or of every classified customer, from the profile.
 
     Scores and profile have the same key and come from the same rows, so the score is a
-    further column of the profile and no join takes place.
+    further column of the profile and no join takes place. A narrow profile gives a narrow
+    record: ``record_inputs`` names the profile columns that a set of record columns needs.
     """
     return _records(with_segment(profile), segment)
 
 
+def record_inputs(columns: list[str]) -> list[str]:
+    own = [name for name in columns if name in PROFILE_COLUMNS]
+    return [*own, *[name for name in SCORE_INPUTS if name not in own]]
+
+
 def segment_records_from_marts(scores: DataFrame, profile: DataFrame, segment: str = "all") -> DataFrame:
     """The same from two stored marts: scores LEFT JOIN profile."""
     return _records(scores.join(profile.drop("email"), "customer_id", "left"), segment)
@@ -93,14 +101,22 @@ def segment_records_from_marts(scores: DataFrame, profile: DataFrame, segment: s
 def _records(scored: DataFrame, segment: str) -> DataFrame:
     name = F.col("segment")
     chosen = scored.filter(name != UNCLASSIFIED if segment == "all" else name == segment)
-    return chosen.withColumns(
-        {
-            "first_name": or_default(F.col("first_name"), DEFAULT_NAME),
-            "events_30d": F.coalesce(F.col("events_30d"), F.lit(0)),
-            "orders_cnt": F.coalesce(F.col("orders_cnt"), F.lit(0)),
-            "lifetime_revenue": F.coalesce(F.col("lifetime_revenue"), F.lit(0.0)),
-            "created_at": F.coalesce(F.col("created_at").cast("string"), F.lit("N/A")),
-            "last_event_ts": F.coalesce(timestamp_text(F.col("last_event_ts")), F.lit("N/A")),
-            "country": or_default(F.col("country"), "Unknown"),
-        }
-    ).select(*RECORD_COLUMNS)
+    return chosen.select(*[_record_column(name) for name in RECORD_COLUMNS if name in scored.columns])
+
+
+def _record_column(name: str) -> Column:
+    """Nothing missing but the NPS answer: names, places and days get a text, numbers a zero."""
+    value = F.col(name)
+    if name in ("events_30d", "orders_cnt"):
+        value = F.coalesce(value, F.lit(0))
+    elif name == "lifetime_revenue":
+        value = F.coalesce(value, F.lit(0.0))
+    elif name == "first_name":
+        value = or_default(value, DEFAULT_NAME)
+    elif name == "country":
+        value = or_default(value, "Unknown")
+    elif name == "created_at":
+        value = F.coalesce(value.cast("string"), F.lit("N/A"))
+    elif name == "last_event_ts":
+        value = F.coalesce(timestamp_text(value), F.lit("N/A"))
+    return value.alias(name)

@@ -42,4 +42,10 @@ def accepted_tests(by_name: dict[str, DataFrame]) -> list[DataFrame]:
 
 
 def suite(by_name: dict[str, DataFrame]) -> DataFrame:
-    return quality.report([*not_null_tests(by_name), *unique_tests(by_name), *accepted_tests(by_name)])
+    """All tests; a column that must be present and unique is read once for both."""
+    keys = [test for test in UNIQUE if test in NOT_NULL]
+    both = [quality.key(by_name[model], model, column) for model, column in keys]
+    rest = {"not_null": [t for t in NOT_NULL if t not in keys], "unique": [t for t in UNIQUE if t not in keys]}
+    single = [quality.not_null(by_name[model], model, column) for model, column in rest["not_null"]]
+    single += [quality.unique(by_name[model], model, column) for model, column in rest["unique"]]
+    return quality.report([*both, *single, *accepted_tests(by_name)])

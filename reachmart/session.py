@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -27,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("reachmart")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**SETTINGS, **extra}.items():

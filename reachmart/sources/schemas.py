@@ -12,6 +12,18 @@ SEED_SCHEMAS = {
     "ad_spend": "date date, channel string, campaign string, spend double",
 }
 
+# The columns read from the sales tables. A declared schema spares a job per table that
+# would look it up in the files.
+SALES_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "lineitem": (
+        "l_suppkey bigint, l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz"
+    ),
+}
+
 CUSTOMER_COLUMNS = [
     "customer_id", "email", "first_name", "last_name", "created_at", "country", "marketing_opt_in", "nps_score",
 ]

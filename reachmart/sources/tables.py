@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reachmart.functions.temporal import instant, week_start
-from reachmart.sources.schemas import SEED_SCHEMAS
+from reachmart.sources.schemas import SALES_SCHEMAS, SEED_SCHEMAS
 
 
 class SeedTables:
@@ -49,11 +49,11 @@ class SalesTables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SALES_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def customers(self) -> DataFrame:
         key = F.col("c_custkey")
-        nation = self._read("nation").select("n_nationkey", "n_name")
+        nation = self._read("nation")
         return (
             self._read("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import plan_of
+from reachmart import catalog
 from reachmart.operators import activity, lookups, quality, sent_keys
 from reachmart.operators.histogram import histogram
 from reachmart.plans import marts, warehouse
@@ -133,6 +134,14 @@ def test_data_tests_count_failures(spark):
     )
     rows = {r["test"]: (r["failures"], r["passed"]) for r in report.collect()}
     assert rows == {"not_null": (2, False), "unique": (1, False), "accepted_values": (2, False)}
+    both = quality.report([quality.not_null(frame, "m", "k"), quality.unique(frame, "m", "k")]).collect()
+    assert sorted(quality.key(frame, "m", "k").collect()) == sorted(both)
+    assert [r["failures"] for r in quality.key(frame.limit(0), "m", "k").collect()] == [0, 0]
+
+
+def test_leads_read_only_the_windows(tables):
+    for name in ("lead_rows", "task_rows", "activation_summary"):
+        assert "GreaterThanOrEqual(o_orderdate,2001-05-04T00:00)" in plan_of(catalog.QUERIES[name](tables.spark, FOLDER))
 
 
 def test_scratch_follows_the_cluster_setting():
