@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reachmart.functions import text
 from reachmart.functions.cleaning import unit_score
 from reachmart.functions.decisions import CHURN_RESCUE, LAPSE_RISK, next_best_action, rule_risk, template_message
 from reachmart.functions.temporal import parsed_day
-from reachmart.functions.text import repaired_json
 from reachmart.operators import lookups, quality, sent_keys
 from reachmart.plans import activation, manual_entries, marts, quality_suite, reports, scoring, staging, sync, warehouse
 from reachmart.session import scratch_dir
@@ -391,7 +391,7 @@ def repair_manual(tables: SalesTables) -> DataFrame:
 
 @query("repair_json")
 def repair_json(tables: SalesTables) -> DataFrame:
-    return _entries(tables).select("customer_id", repaired_json(F.col("nba_action")).alias("nba_action"))
+    return text.repair_json(_entries(tables).select("customer_id", "nba_action"), "nba_action")
 
 
 @query("normalize_score")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from string import Formatter
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def filled(template: str, /, **fields: Column) -> Column:
@@ -98,8 +98,9 @@ def fixed_text(value: Column, places: int) -> Column:
 
 # --- JSON ---------------------------------------------------------------------------
 
-_JSON_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\s",:]+|[,:]'
-
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+# A member or element with the comma or colon behind it.
+_CHUNK = rf'(?:{_STRING}|[^",:]++)++[,:]?'
 
 # A quoted key before a colon, a quoted value after one.
 SINGLE_QUOTED_KEY = "'([^']*)':"
@@ -107,24 +108,28 @@ SINGLE_QUOTED_VALUE = ": '([^']*)'"
 
 
 def is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """Whether an object or list parses. What cannot be one by its first characters is not
+    tried: a failed parse costs far more than the test."""
+    may_be = text.rlike(r'^(\{\s*["}]|\[)')
+    return F.when(may_be, F.try_parse_json(text).isNotNull()).otherwise(False)
 
 
 def spaced_json(text: Column) -> Column:
     """Valid JSON with one blank after each comma and colon and none elsewhere."""
-    tokens = F.regexp_extract_all(text, F.lit(_JSON_TOKEN), F.lit(0))
-    spaced = F.transform(tokens, lambda t: F.when(t.isin(",", ":"), F.concat(t, F.lit(" "))).otherwise(t))
-    return F.array_join(spaced, "")
+    dense = F.regexp_replace(text, rf"({_STRING})|\s+", "$1")
+    return F.array_join(F.regexp_extract_all(dense, F.lit(_CHUNK), F.lit(0)), " ")
+
 
+def repair_json(rows: DataFrame, name: str) -> DataFrame:
+    """A text column with its objects and lists as JSON; single quotes become double ones
+    where that makes the text parse. What cannot be parsed stays as it is.
 
-def repaired_json(text: Column) -> Column:
-    """Objects and lists as JSON; single quotes become double ones where that makes the
-    text parse. What cannot be parsed stays as it is."""
+    In steps, so that each text is rewritten, parsed and spaced once and the generated code
+    stays small.
+    """
+    text = F.col(name)
     keys = F.regexp_replace(text, SINGLE_QUOTED_KEY, '"$1":')
-    quoted = F.regexp_replace(keys, SINGLE_QUOTED_VALUE, ': "$1"')
-    return (
-        F.when(~text.rlike(r"^[{\[]"), text)
-        .when(is_json(text), spaced_json(text))
-        .when(is_json(quoted), spaced_json(quoted))
-        .otherwise(text)
-    )
+    rows = rows.withColumn("_requoted", F.regexp_replace(keys, SINGLE_QUOTED_VALUE, ': "$1"'))
+    requoted = F.col("_requoted")
+    rows = rows.withColumn("_json", F.when(is_json(text), text).when(is_json(requoted), requoted))
+    return rows.withColumn(name, F.coalesce(spaced_json(F.col("_json")), text)).drop("_requoted", "_json")

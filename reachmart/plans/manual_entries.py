@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from reachmart.functions.cleaning import looks_shifted, unit_score
 from reachmart.functions.decisions import TARGET_SEGMENTS
 from reachmart.functions.temporal import Instant, as_datetime, days_before, parsed_day
-from reachmart.functions.text import filled, repaired_json
+from reachmart.functions.text import filled, repair_json
 from reachmart.sources import outbox
 from reachmart.sources.schemas import MANUAL_COLUMNS
 
@@ -41,7 +41,7 @@ def shifted_columns(entries: DataFrame) -> DataFrame:
 
 
 def repaired(entries: DataFrame) -> DataFrame:
-    """All repairs in one projection.
+    """All repairs, row by row.
 
     A segment name in the name column is what makes a file count as shifted, so whether a
     record is swapped depends on that record alone, and no pass over the file comes first.
@@ -52,14 +52,16 @@ def repaired(entries: DataFrame) -> DataFrame:
         "first_name": F.when(swap, F.col("segment")).otherwise(F.col("first_name")),
         "segment": F.when(swap, F.col("first_name")).otherwise(F.col("segment")),
         "score": unit_score(F.col("score")),
-        "nba_action": repaired_json(F.col("nba_action")),
         "created_at": parsed_day(F.col("created_at").cast("string")),
         "last_event_ts": parsed_day(F.col("last_event_ts").cast("string")),
     }
     fixes = {name: column for name, column in fixes.items() if name in entries.columns}
     leading = ["customer_id", "email", "first_name", "segment", "score"]
     names = [*leading, *[name for name in entries.columns if name not in leading]]
-    return entries.withColumns(fixes).select(*[name for name in names if name in entries.columns])
+    fixed = entries.withColumns(fixes)
+    if "nba_action" in entries.columns:
+        fixed = repair_json(fixed, "nba_action")
+    return fixed.select(*[name for name in names if name in entries.columns])
 
 
 def repair_file(spark: SparkSession, path: str, target: str) -> DataFrame:
