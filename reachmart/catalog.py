@@ -11,7 +11,7 @@ from reachmart.functions.cleaning import unit_score
 from reachmart.functions.decisions import CHURN_RESCUE, LAPSE_RISK, next_best_action, rule_risk, template_message
 from reachmart.functions.temporal import parsed_day
 from reachmart.operators import lookups, quality, sent_keys
-from reachmart.plans import activation, manual_entries, marts, quality_suite, reports, scoring, staging, sync, warehouse
+from reachmart.plans import activation, delivery, manual_entries, marts, quality_suite, reports, scoring, staging, sync, warehouse
 from reachmart.session import scratch_dir
 from reachmart.sources import outbox, sample_answers, sample_outreach
 from reachmart.sources.ledger import Ledger
@@ -370,6 +370,11 @@ def followup_steps(tables: SalesTables) -> DataFrame:
     return activation.follow_ups(_payload(tables, BRIEF))
 
 
+@query("delivery_log")
+def delivery_log(tables: SalesTables) -> DataFrame:
+    return delivery.outcomes(_delivered(tables), sample_answers.destination())
+
+
 # --- hand-entered records ---------------------------------------------------------------
 
 
@@ -410,6 +415,11 @@ def manual_activation(tables: SalesTables) -> DataFrame:
     return outbox.json_columns(activation.manual_payload(_entries(tables)))
 
 
+@query("direct_submission")
+def direct_submission(tables: SalesTables) -> DataFrame:
+    return outbox.json_columns(activation.submission(_entries(tables), AS_OF))
+
+
 # --- the sent ledger --------------------------------------------------------------------
 
 

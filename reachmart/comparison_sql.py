@@ -465,6 +465,20 @@ _OUTREACH = {
                  || ' regarding ' || d.template || '. Customer score: ' || CAST(d.score AS VARCHAR)
                  || '. Segment: ' || d.segment || '.' AS "Description"
         FROM delivered d JOIN contacts c USING (number)""",
+    "delivery_log": """
+        SELECT c.customer_id,
+               CASE WHEN contains(c.email, '@') THEN 'Lead:' || split_part(c.email, '@', 1)
+                    ELSE 'SF-' || c.customer_id END AS lead_id,
+               contains(c.email, '@') AND d.segment <> 'churn_rescue_nps' AS task_created
+        FROM delivered d JOIN contacts c USING (number)""",
+    "direct_submission": """
+        SELECT customer_id, email, first_name, company, segment, score, CAST(nps_score AS INTEGER) AS nps_score,
+               CAST(events_30d AS BIGINT) AS events_30d, CAST(orders_cnt AS BIGINT) AS orders_cnt,
+               CAST(lifetime_revenue AS DOUBLE) AS lifetime_revenue, created_at, last_event_ts, country,
+               CASE WHEN json_valid(nba_action) THEN nba_action END AS nba_action,
+               CASE WHEN nps_score IS NOT NULL THEN 0.0::DOUBLE END AS llm_risk_score,
+               '2024-01-31 00:00:00' AS _sent_to_salesforce_at
+        FROM entries""",
     "manual_entries": _all("entries", "* EXCLUDE (number)"),
     "misalign_flag": """
         SELECT bool_or(first_name IN ('high_value_lapse_risk', 'new_users_first_week_intent', 'churn_rescue_nps')

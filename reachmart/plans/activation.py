@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reachmart.functions.cleaning import derived_id
 from reachmart.functions.decisions import (
     ACTION_TYPE, CHURN_RESCUE, FIRST_WEEK_INTENT, LAPSE_RISK, LEAD_SEGMENTS, by_value, follow_up_steps,
-    next_best_action,
+    next_best_action, rule_risk,
+)
+from reachmart.functions.temporal import Instant, as_datetime
+from reachmart.functions.text import (
+    capitalized, filled, float_text, has_at, is_json, is_number_text, local_part, or_default,
 )
-from reachmart.functions.text import capitalized, filled, float_text, has_at, is_number_text, local_part
 from reachmart.operators import lookups
 from reachmart.plans.scoring import Scorer, model_message, model_risk
 from reachmart.sources import outbox
@@ -63,9 +66,9 @@ def deliver(
     name: str,
     ledger: Ledger,
     dry_run: bool = True,
-    send: Callable[[DataFrame, DataFrame], None] | None = None,
+    send: Callable[[DataFrame], None] | None = None,
 ) -> str:
-    """Writes the payload, hands leads and tasks to ``send``, then enters the ledger.
+    """Writes the payload, hands its records to ``send``, then enters them into the ledger.
 
     Everything after the payload starts from the written file, so a model is asked once per
     record. A dry run ends with the payload.
@@ -75,11 +78,39 @@ def deliver(
         return path
     written = outbox.read_payload(result.sparkSession, path, outbox.json_columns(result).schema)
     if send is not None:
-        send(lead_rows(written), task_rows(written))
+        send(written)
     ledger.record(written, name)
     return path
 
 
+def submission(
+    entries: DataFrame, sent_at: Instant, risk_scorer: Scorer | None = None, message_scorer: Scorer | None = None
+) -> DataFrame:
+    """Freshly submitted entries made ready to send: action parsed, time of sending, risk and,
+    with a model, message; the required fields of a lead are filled in."""
+    numbers = {name: F.col(name).try_cast(kind) for name, kind in NUMBERS.items()}
+    typed = entries.withColumns({**numbers, "nba_action": action_of(entries)})
+    risk = rule_risk(F.col("nps_score"), F.col("events_30d"), F.col("lifetime_revenue"))
+    scored = typed.withColumn("llm_risk_score", risk) if risk_scorer is None else model_risk(typed, risk_scorer)
+    if message_scorer is not None:
+        scored = model_message(scored, message_scorer)
+    name = or_default(F.col("first_name"), MISSING_NAME)
+    return scored.withColumns(
+        {
+            "_sent_to_salesforce_at": F.lit(as_datetime(sent_at).strftime("%Y-%m-%d %H:%M:%S")),
+            "email": or_default(F.col("email"), MISSING_EMAIL),
+            "company": or_default(F.col("company"), filled("{name} Company", name=name)),
+            "first_name": name,
+        }
+    )
+
+
+NUMBERS = {"nps_score": "int", "events_30d": "bigint", "orders_cnt": "bigint", "lifetime_revenue": "double"}
+# What stands in for a missing name or e-mail.
+MISSING_NAME = "Customer"
+MISSING_EMAIL = "customer@example.com"
+
+
 def first_of_segment(records: DataFrame, n: int = 2) -> DataFrame:
     """The report's first records: highest scores first."""
     return records.orderBy(F.desc("score"), "customer_id").limit(n)
@@ -127,45 +158,66 @@ def lead_reference(key: Column) -> Column:
     return F.concat(F.lit("SF-"), key)
 
 
-def lead_rows(records: DataFrame) -> DataFrame:
-    """One lead per record of a target segment."""
-    fixed = _with_lead_fields(records.filter(_is_lead()))
+def _lead(records: DataFrame) -> dict[str, Column]:
     name = F.col("_name")
-    return fixed.select(
-        F.col("_id").alias("customer_id"),
-        name.alias("FirstName"),
-        _optional(records, "last_name", name).alias("LastName"),
-        F.col("_email").alias("Email"),
-        _optional(records, "company", filled("{name} Company", name=name)).alias("Company"),
-        _optional(records, "title", F.lit(LEAD_TITLE)).alias("Title"),
-        F.lit(LEAD_SOURCE).alias("LeadSource"),
-        F.lit(LEAD_STATUS).alias("Status"),
-    )
-
-
-def task_rows(records: DataFrame) -> DataFrame:
-    """One task per lead. Its name is the entered one, or for a number the e-mail's."""
-    fixed = _with_lead_fields(records.filter(_is_lead()))
+    return {
+        "FirstName": name,
+        "LastName": _optional(records, "last_name", name),
+        "Email": F.col("_email"),
+        "Company": _optional(records, "company", filled("{name} Company", name=name)),
+        "Title": _optional(records, "title", F.lit(LEAD_TITLE)),
+        "LeadSource": F.lit(LEAD_SOURCE),
+        "Status": F.lit(LEAD_STATUS),
+    }
+
+
+def _task(records: DataFrame) -> dict[str, Column]:
+    """The task's name is the entered one, or for a number the e-mail's."""
     entered, email, segment = F.col("first_name").cast("string"), F.col("email"), F.col("segment")
     from_email = F.when(has_at(email), capitalized(local_part(email))).otherwise("Customer")
     name = F.when(is_number_text(entered), from_email).otherwise(entered)
     template = F.coalesce(action_of(records)["template"], F.lit("general"))
     subjects = {key: F.lit(text) for key, text in SUBJECTS.items()}
     score = F.coalesce(float_text(F.col("score").cast("double")), F.lit("N/A"))
-    return fixed.select(
-        F.col("_id").alias("customer_id"),
-        by_value(segment, subjects, filled(DEFAULT_SUBJECT, template=template)).alias("Subject"),
-        lead_reference(F.col("_id")).alias("WhoId"),
-        F.lit(TASK_STATUS).alias("Status"),
-        F.lit(TASK_PRIORITY).alias("Priority"),
-        filled(DESCRIPTION, name=name, template=template, score=score, segment=segment).alias("Description"),
-    )
+    return {
+        "Subject": by_value(segment, subjects, filled(DEFAULT_SUBJECT, template=template)),
+        "WhoId": lead_reference(F.col("_id")),
+        "Status": F.lit(TASK_STATUS),
+        "Priority": F.lit(TASK_PRIORITY),
+        "Description": filled(DESCRIPTION, name=name, template=template, score=score, segment=segment),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
+def lead_rows(records: DataFrame) -> DataFrame:
+    """One lead per record of a target segment."""
+    fixed = _with_lead_fields(records.filter(_is_lead()))
+    return fixed.select(F.col("_id").alias("customer_id"), *_named(_lead(records)))
+
+
+def task_rows(records: DataFrame) -> DataFrame:
+    """One task per lead."""
+    fixed = _with_lead_fields(records.filter(_is_lead()))
+    return fixed.select(F.col("_id").alias("customer_id"), *_named(_task(records)))
+
+
+def outreach_rows(records: DataFrame) -> DataFrame:
+    """Lead and task of a record side by side: a task needs the id of its lead, and two
+    records of one customer must not be mixed up by a join."""
+    fixed = _with_lead_fields(records.filter(_is_lead()))
+    lead, task = F.struct(*_named(_lead(records))), F.struct(*_named(_task(records)))
+    return fixed.select(F.col("_id").alias("customer_id"), lead.alias("lead"), task.alias("task"))
 
 
 def action_of(records: DataFrame) -> Column:
-    """The action as a struct, also where a file gave it as JSON text."""
-    is_text = dict(records.dtypes)["nba_action"] == "string"
-    return F.from_json("nba_action", ACTION_TYPE) if is_text else F.col("nba_action")
+    """The action as a struct, also where a file gave it as JSON text; null for other text."""
+    action = F.col("nba_action")
+    if dict(records.dtypes)["nba_action"] != "string":
+        return action
+    return F.when(is_json(action), F.from_json(action, ACTION_TYPE))
 
 
 def follow_ups(result: DataFrame) -> DataFrame:

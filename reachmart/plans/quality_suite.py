@@ -20,6 +20,9 @@ UNIQUE = [("stg_customers", "customer_id"), ("dim_customer", "customer_id"), ("f
 ACCEPTED = [("fct_orders", "status", ["paid", "refunded"]), ("segment_scores", "segment", ALL_SEGMENTS)]
 
 
+MODELS = ["stg_customers", "dim_customer", "fct_orders", "segment_scores"]
+
+
 def models(tables, as_of: Instant) -> dict[str, DataFrame]:
     return {
         "stg_customers": staging.customers(tables),

@@ -25,6 +25,16 @@ def sync(entries: DataFrame, ledger: Ledger, outbox_dir: str, run_id: str, send=
     return activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 
 
+def send_one(entries: DataFrame, key: str, ledger: Ledger, outbox_dir: str, run_id: str, send=None) -> bool:
+    """Sends the entries that one id or e-mail finds, whether sent before or not; false if
+    there are none."""
+    found = activation.manual_payload(entries, key)
+    if found.isEmpty():
+        return False
+    activation.deliver(found, outbox_dir, run_id, ledger, dry_run=False, send=send)
+    return True
+
+
 def sync_report(entries: DataFrame, ledger_rows: DataFrame) -> DataFrame:
     """Total, sent and not sent, counted from the marks of the entries: ids that only occur
     in the ledger do not count as sent entries."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reachmart.sources.files import exists
 from reachmart.sources.outbox import json_columns
 
 LEDGER_SCHEMA = (
@@ -32,9 +33,7 @@ class Ledger:
 
     def rows(self, except_run: str | None = None) -> DataFrame:
         """All sent rows; ``except_run`` leaves out a run that is being repeated."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        if not exists(self.spark, self.folder):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.folder)
         return rows.filter(F.col("run_id") != except_run) if except_run else rows

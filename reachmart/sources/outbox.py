@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from reachmart.functions.text import spaced_json
+from reachmart.sources.files import exists
 from reachmart.sources.schemas import MANUAL_SCHEMA
 
 _CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
@@ -35,6 +36,16 @@ def write_payload(payload: DataFrame, outbox: str, name: str) -> str:
     return folder
 
 
+def read_results(spark: SparkSession, outbox: str, name: str) -> DataFrame:
+    """A payload for the reports, with its numbers typed; empty where there is no file."""
+    folder = f"{outbox.rstrip('/')}/{name}_payload.csv"
+    if not exists(spark, folder):
+        return spark.createDataFrame([], "customer_id string, email string, segment string, score double")
+    rows = read_payloads(spark, f"{folder}/*.csv")
+    numbers = [name for name in ("score", "llm_risk_score") if name in rows.columns]
+    return rows.withColumns({name: F.col(name).try_cast("double") for name in numbers})
+
+
 def append_manual(entries: DataFrame, folder: str) -> None:
     """Adds entries; every part file carries the header, so order does not matter."""
     write_csv(entries, folder, mode="append")
@@ -92,8 +103,7 @@ def read_payloads(spark: SparkSession, glob: str) -> DataFrame:
 
 def back_up_once(spark: SparkSession, source: DataFrame, folder: str) -> bool:
     """Keeps the unrepaired rows, unless a backup exists already."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    if exists(spark, folder):
         return False
     write_csv(source, folder)
     return True

@@ -1,4 +1,4 @@
-"""Stand-ins for an external model: pure functions of the prompt.
+"""Stand-ins for an external model and for a destination: pure functions of their input.
 
 Each is built inside a function, so that it travels to the tasks by value and the workers
 need no copy of this package.
@@ -48,3 +48,21 @@ def sentiment_answers():
         return answers
 
     return scorer
+
+
+def destination():
+    """Makes clients that name leads after their e-mail, refuse leads without one and refuse
+    tasks about satisfaction."""
+
+    def make_client():
+        class Client:
+            def create(self, kind, fields):
+                if kind == "Lead" and "@" not in fields.get("Email", ""):
+                    raise ValueError("no e-mail")
+                if kind == "Task" and fields["Subject"].startswith("Customer satisfaction"):
+                    raise ValueError("not here")
+                return f"Lead:{fields['Email'].split('@')[0]}" if kind == "Lead" else f"Task:{fields['WhoId']}"
+
+        return Client()
+
+    return make_client

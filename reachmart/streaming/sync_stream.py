@@ -21,12 +21,19 @@ from reachmart.sources.schemas import MANUAL_SCHEMA
 def sync_batch(
     batch: DataFrame, ledger: Ledger, run_id: str, send: Callable[[DataFrame], None] | None = None
 ) -> None:
-    """Repairs one batch, drops what the ledger knows, sends and records the rest."""
-    fixed = manual_entries.repaired(batch)
-    rows = sent_keys.unsent_few(fixed, ledger.rows(except_run=run_id), "customer_id", "email")
-    if send is not None:
-        send(rows)
-    ledger.record(rows, run_id)
+    """Repairs one batch, drops what the ledger knows, sends and records the rest.
+
+    The batch is used for its keys and for its rows; it is kept meanwhile, and what an
+    executor loses of it is read from the files again.
+    """
+    fixed = manual_entries.repaired(batch).persist()
+    try:
+        rows = sent_keys.unsent_few(fixed, ledger.rows(except_run=run_id), "customer_id", "email")
+        if send is not None:
+            send(rows)
+        ledger.record(rows, run_id)
+    finally:
+        fixed.unpersist()
 
 
 def start(

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from reachmart.operators import lookups, sent_keys
-from reachmart.plans import activation, sync
-from reachmart.sources import outbox
+from reachmart.plans import activation, daily, delivery, sync, warehouse
+from reachmart.sources import outbox, sample_answers
 from reachmart.sources.ledger import Ledger
 from reachmart.sources.schemas import MANUAL_COLUMNS, MANUAL_SCHEMA
+from reachmart.sources.tables import SeedTables
 
 KEYS = "customer_id string, email string"
 
@@ -93,23 +94,22 @@ def records(spark):
 def test_payload_file_and_ledger(spark, records, tmp_path):
     ledger, sent = Ledger(spark, f"{tmp_path}/ledger"), []
     payload = activation.payload(records)
-    path = activation.deliver(payload, str(tmp_path), "all", ledger, dry_run=True, send=lambda *rows: sent.append(rows))
+    path = activation.deliver(payload, str(tmp_path), "all", ledger, dry_run=True, send=sent.append)
     assert path.endswith("/all_payload.csv") and not sent and ledger.rows().count() == 0
     back = outbox.read_payload(spark, path, outbox.json_columns(payload).schema)
     assert rows_of(back) == rows_of(outbox.json_columns(payload))
     found = outbox.read_payloads(spark, f"{tmp_path}/*_payload.csv/*.csv")
     assert found.count() == 5 and {r["source"] for r in found.collect()} == {"all_payload.csv"}
-    activation.deliver(payload, str(tmp_path), "all", ledger, dry_run=False, send=lambda *rows: sent.append(rows))
-    leads, tasks = sent[0]
-    assert leads.count() == tasks.count() == 5
-    assert leads.join(tasks, "customer_id").count() == 5
+    activation.deliver(payload, str(tmp_path), "all", ledger, dry_run=False, send=sent.append)
+    assert [frame.count() for frame in sent] == [5]
+    assert activation.lead_rows(sent[0]).count() == activation.task_rows(sent[0]).count() == 5
     assert [r["customer_id"] for r in ledger.rows().orderBy("customer_id").collect()] == list("01234")
 
 
 def test_failed_delivery_leaves_no_ledger_rows(spark, records, tmp_path):
     ledger = Ledger(spark, f"{tmp_path}/ledger")
 
-    def broken(leads, tasks):
+    def broken(rows):
         raise ConnectionError("destination is down")
 
     with pytest.raises(ConnectionError):
@@ -126,8 +126,8 @@ def manual(spark, *rows):
 def test_sync_sends_each_entry_once(spark, tmp_path):
     ledger, seen = Ledger(spark, f"{tmp_path}/ledger"), []
 
-    def send(leads, tasks):
-        seen.append(sorted(row["customer_id"] for row in leads.collect()))
+    def send(rows):
+        seen.append(sorted(row["customer_id"] for row in rows.collect()))
 
     segment = {"segment": "churn_rescue_nps"}
     first = manual(spark, {"customer_id": "m1", "email": "a@x", "first_name": "A", **segment},
@@ -144,6 +144,63 @@ def test_sync_sends_each_entry_once(spark, tmp_path):
     assert tuple(sync.sync_report(more, ledger.rows()).collect()[0]) == (4, 3, 1)
 
 
+def test_send_one_again(spark, tmp_path):
+    ledger, seen = Ledger(spark, f"{tmp_path}/ledger"), []
+    rows = manual(spark, {"customer_id": "m1", "email": "a@x", "segment": "churn_rescue_nps"},
+                  {"customer_id": "m2", "email": "b@x", "segment": "churn_rescue_nps"})
+    assert sync.send_one(rows, "B@x", ledger, str(tmp_path), "one", seen.append)
+    assert sync.send_one(rows, "m2", ledger, str(tmp_path), "again", seen.append)
+    assert not sync.send_one(rows, "m9", ledger, str(tmp_path), "none", seen.append)
+    assert [r["customer_id"] for r in ledger.rows().collect()] == ["m2", "m2"] and len(seen) == 2
+
+
+def test_delivery_log(spark, records, tmp_path):
+    """Leads first, each task with the id of its lead; failures do not stop the others."""
+    odd = records.withColumn("email", F.when(F.col("customer_id") == 3, "none").otherwise(F.col("email")))
+    odd = odd.withColumn("segment", F.when(F.col("customer_id") < 2, "high_value").otherwise(F.col("segment")))
+    odd = odd.unionByName(odd.filter("customer_id = 4"))  # two records of one customer
+    send = delivery.sender(sample_answers.destination(), f"{tmp_path}/log")
+    send(activation.payload(odd))
+    log = spark.read.parquet(f"{tmp_path}/log")
+    assert rows_of(log) == [
+        ("0", "Lead:c0", True), ("1", "Lead:c1", True), ("2", "Lead:c2", False), ("3", "SF-3", False),
+        ("4", "Lead:c4", False), ("4", "Lead:c4", False),
+    ]
+
+
+def test_submission_fills_required_fields(spark):
+    entries = manual(spark, {"customer_id": "m1", "segment": "high_value", "nps_score": "3", "events_30d": "0",
+                             "lifetime_revenue": "500", "nba_action": "{'template': 'x'}"})
+    row = activation.submission(entries, "2024-03-05 10:11:12").collect()[0]
+    assert (row["email"], row["first_name"], row["company"]) == ("customer@example.com", "Customer", "Customer Company")
+    assert row["llm_risk_score"] == pytest.approx(0.8285714285714286)
+    assert row["_sent_to_salesforce_at"] == "2024-03-05 10:11:12" and row["nba_action"] is None
+
+
+def test_daily_run(spark, seed_folder, tmp_path):
+    store, ledger = warehouse.Folders(spark, f"{tmp_path}/marts"), Ledger(spark, f"{tmp_path}/ledger")
+    tables, seen = SeedTables(spark, seed_folder), []
+    assert tuple(daily.validate(spark, f"{tmp_path}/outbox").collect()[0]) == (0, None)
+    result = daily.run(
+        spark, tables, "2025-09-10", store, f"{tmp_path}/outbox", ledger, dry_run=False, send=seen.append
+    )
+    assert tuple(result.collect()[0]) == (4, None)
+    assert [frame.count() for frame in seen] == [4, 2]
+    assert ledger.rows().count() == 6
+
+
+def test_failed_data_test_stops_the_daily_run(spark, seed_folder, tmp_path):
+    class Broken(SeedTables):
+        def orders(self, since=None):
+            rows = super().orders(since)
+            return rows.unionByName(rows.withColumn("status", F.lit("void")))
+
+    store, ledger = warehouse.Folders(spark, f"{tmp_path}/marts"), Ledger(spark, f"{tmp_path}/ledger")
+    with pytest.raises(daily.DataTestsFailed, match="unique fct_orders.order_id: 5.*status: 1"):
+        daily.run(spark, Broken(spark, seed_folder), "2025-09-10", store, f"{tmp_path}/outbox", ledger)
+    assert daily.validate(spark, f"{tmp_path}/outbox").collect()[0]["activated"] == 0
+
+
 def test_find(spark):
     entries = spark.createDataFrame([("1", "A@x"), ("1", "b@x"), ("2", "1"), ("3", "C@x"), (None, "d@x")], KEYS)
     assert rows_of(lookups.find_entries(entries, "1")) == [("1", "A@x"), ("1", "b@x")]  # the id comes first
