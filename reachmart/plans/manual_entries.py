@@ -9,7 +9,7 @@ from reachmart.functions.decisions import TARGET_SEGMENTS
 from reachmart.functions.temporal import Instant, as_datetime, days_before, parsed_day
 from reachmart.functions.text import filled, repair_json
 from reachmart.sources import outbox
-from reachmart.sources.schemas import MANUAL_COLUMNS, MANUAL_SCHEMA
+from reachmart.sources.schemas import MANUAL_COLUMNS
 
 # Fixed value: the action of a new entry.
 PROMOTION = '{"channel": "email", "template": "promotional", "discount_pct": 0.0}'
@@ -64,13 +64,13 @@ def repaired(entries: DataFrame) -> DataFrame:
     return fixed.select(*[name for name in names if name in entries.columns])
 
 
-def repair_file(spark: SparkSession, path: str, target: str, schema: str = MANUAL_SCHEMA) -> DataFrame:
-    """Repairs a file into a new folder and keeps a backup of what it read. Payload files
-    are repaired the same way with their own columns, all read as text.
+def repair_file(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Repairs a hand-entered or payload file into a new folder and keeps a backup of what
+    it read.
 
     Spark cannot overwrite the files it is reading, so the repaired copy has its own path.
     """
-    entries = outbox.read_payload(spark, path, schema)
+    entries = outbox.read_by_name(spark, path).drop("_file")
     outbox.back_up_once(spark, entries, f"{target.rstrip('/')}.bak")
     fixed = repaired(entries)
     outbox.write_csv(fixed, target)

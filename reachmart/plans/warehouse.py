@@ -43,10 +43,13 @@ class Schema:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def write(self, name: str, rows: DataFrame) -> None:
-        writer = _spread(name, rows).write.mode("overwrite").format("parquet")
+        bucketed = self.buckets and name not in PARTITIONS and "customer_id" in rows.columns
+        # One task per bucket, so that each bucket is one sorted file.
+        rows = rows.repartition(self.buckets, "customer_id") if bucketed else _spread(name, rows)
+        writer = rows.write.mode("overwrite").format("parquet")
         if name in PARTITIONS:
             writer = writer.partitionBy(PARTITIONS[name])
-        elif self.buckets and "customer_id" in rows.columns:
+        elif bucketed:
             writer = writer.bucketBy(self.buckets, "customer_id").sortBy("customer_id")
         writer.saveAsTable(f"{self.database}.{name}")
 

@@ -28,7 +28,7 @@ class Ledger:
         if dry_run:
             return
         rows = json_columns(sent)
-        rows = rows.select(*[_as_text(rows, name) for name in _COLUMNS], F.lit(f"{run_id}_payload").alias("source"))
+        rows = rows.select(*[_ledger_column(rows, name) for name in _COLUMNS], F.lit(f"{run_id}_payload").alias("source"))
         rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={run_id}")
 
     def rows(self, except_run: str | None = None) -> DataFrame:
@@ -39,7 +39,7 @@ class Ledger:
         return rows.filter(F.col("run_id") != except_run) if except_run else rows
 
 
-def _as_text(rows: DataFrame, name: str):
-    kind = "double" if name == "score" else "string"
-    column = F.col(name) if name in rows.columns else F.lit(None)
-    return column.cast(kind).alias(name)
+def _ledger_column(rows: DataFrame, name: str):
+    """Scores are numbers, all other columns text; a score that is none becomes null."""
+    column = (F.col(name) if name in rows.columns else F.lit(None)).cast("string")
+    return (column.try_cast("double") if name == "score" else column).alias(name)

@@ -7,15 +7,17 @@ doubling them, as spreadsheet tools and Python's csv module do.
 from __future__ import annotations
 
 import csv
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from reachmart.functions.text import spaced_json
 from reachmart.sources.files import exists
-from reachmart.sources.schemas import MANUAL_SCHEMA
+from reachmart.sources.schemas import MANUAL_COLUMNS, MANUAL_SCHEMA
 
-_CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+_CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def json_columns(rows: DataFrame) -> DataFrame:
@@ -26,8 +28,7 @@ def json_columns(rows: DataFrame) -> DataFrame:
 
 def write_csv(rows: DataFrame, folder: str, mode: str = "overwrite") -> None:
     """One folder per file of the model; header = column names; the action as JSON."""
-    options = {key: _CSV[key] for key in ("header", "quote", "escape")}
-    json_columns(rows).write.mode(mode).options(**options).csv(folder)
+    json_columns(rows).write.mode(mode).options(**_CSV).csv(folder)
 
 
 def write_payload(payload: DataFrame, outbox: str, name: str) -> str:
@@ -41,7 +42,7 @@ def read_results(spark: SparkSession, outbox: str, name: str) -> DataFrame:
     folder = f"{outbox.rstrip('/')}/{name}_payload.csv"
     if not exists(spark, folder):
         return spark.createDataFrame([], "customer_id string, email string, segment string, score double")
-    rows = read_payloads(spark, f"{folder}/*.csv")
+    rows = read_payloads(spark, folder)
     numbers = [name for name in ("score", "llm_risk_score") if name in rows.columns]
     return rows.withColumns({name: F.col(name).try_cast("double") for name in numbers})
 
@@ -52,53 +53,64 @@ def append_manual(entries: DataFrame, folder: str) -> None:
 
 
 def read_manual(spark: SparkSession, path: str) -> DataFrame:
-    """Hand-entered records, all as text."""
-    return spark.read.schema(MANUAL_SCHEMA).options(**_CSV).csv(path)
+    """Hand-entered records, all as text, by column name: a repaired file has its columns in
+    another order than a new one. Columns that a file lacks are null."""
+    rows = read_by_name(spark, path)
+    missing = [name for name in MANUAL_COLUMNS if name not in rows.columns]
+    rows = rows.withColumns({name: F.lit(None).cast("string") for name in missing})
+    return rows.select(*MANUAL_COLUMNS, *[name for name in rows.columns if name not in [*MANUAL_COLUMNS, "_file"]])
 
 
 def read_payload(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+    """A payload this package wrote: the header must be the schema's, or the read fails."""
+    return spark.read.schema(schema).options(**_CSV, multiLine="true", enforceSchema="false").csv(path)
 
 
 def read_payloads(spark: SparkSession, glob: str) -> DataFrame:
-    """All payload files that match, as text, matched by column name.
+    """All payload files that match, as text; ``source`` holds the name of the payload."""
+    source = F.regexp_extract("_file", r"([^/]*_payload\.csv)", 1)
+    return read_by_name(spark, glob).withColumn("source", source).drop("_file")
 
-    The reader matches columns by position and would mix up files whose headers differ, so
-    the files are grouped by header and each distinct header is read once. Empty and damaged
-    files are skipped. ``source`` holds the name of the payload.
+
+def read_by_name(spark: SparkSession, glob: str) -> DataFrame:
+    """CSV files as text, matched by column name, with the path of the file in ``_file``.
+
+    The reader matches columns by position and would mix up files whose headers differ. So
+    one distributed pass over the lines finds each file's header, and each distinct header
+    is read once. The same pass finds the files in which a value holds a line end (a line
+    with an odd number of quotes). Only those have to be read as one piece; all others can
+    be split among tasks. Empty and damaged files are skipped.
     """
     lines = (
-        spark.read.option("ignoreCorruptFiles", "true")
-        .option("recursiveFileLookup", "true")
+        spark.read.options(ignoreCorruptFiles="true", recursiveFileLookup="true")
         .text(glob)
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
     )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     # Within a task the row number grows with the position in the file.
-    headers = (
-        lines.filter(F.col("at") == 0)
-        .withColumn("line_no", F.monotonically_increasing_id())
+    files = (
+        lines.withColumn("line_no", F.monotonically_increasing_id())
         .groupBy("path")
-        .agg(F.min_by("value", "line_no").alias("header"))
+        .agg(F.min_by("value", F.struct("at", "line_no")).alias("header"), F.max(quotes % 2 == 1).alias("whole"))
         .filter(F.length("header") > 0)
     )
-    # One row per file, as the reader's own file listing on the driver.
-    paths_of: dict[str, list[str]] = {}
-    for row in headers.toLocalIterator():
-        paths_of.setdefault(row["header"], []).append(row["path"])
-    if not paths_of:
-        return spark.createDataFrame([], f"{MANUAL_SCHEMA}, source string")
-    parts = []
-    for header in sorted(paths_of):
-        names = [name.strip() for name in next(csv.reader([header]))]
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        part = spark.read.schema(schema).options(**_CSV).option("ignoreCorruptFiles", "true")
-        source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*_payload\.csv)", 1)
-        rows = part.csv(sorted(paths_of[header]))
-        parts.append(rows.select(*[f"`{name}`" for name in names], source.alias("source")))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part, allowMissingColumns=True)
-    return whole
+    # One row per file, as in the reader's own file listing.
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for row in files.toLocalIterator():
+        groups.setdefault((row["header"], row["whole"]), []).append(unquote(row["path"]))
+    parts = [_read_group(spark, header, whole, sorted(paths)) for (header, whole), paths in sorted(groups.items())]
+    if not parts:
+        return spark.createDataFrame([], f"{MANUAL_SCHEMA}, _file string")
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+
+
+def _read_group(spark: SparkSession, header: str, whole: bool, paths: list[str]) -> DataFrame:
+    names = [name.strip() for name in next(csv.reader([header]))]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    reader = spark.read.schema(schema).options(**_CSV, multiLine=str(whole).lower(), ignoreCorruptFiles="true")
+    # The path comes percent-encoded, but with "+" as it is.
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    return reader.csv(paths).select(*[f"`{name}`" for name in names], path.alias("_file"))
 
 
 def back_up_once(spark: SparkSession, source: DataFrame, folder: str) -> bool:

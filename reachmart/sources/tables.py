@@ -23,7 +23,8 @@ class SeedTables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        reader = self.spark.read.schema(SEED_SCHEMAS[name]).option("header", True).option("mode", "FAILFAST")
+        # A header that differs from the schema or a bad value stops the job.
+        reader = self.spark.read.schema(SEED_SCHEMAS[name]).options(header=True, enforceSchema=False, mode="FAILFAST")
         return reader.csv(f"{self.folder}/{name}*")
 
     def customers(self) -> DataFrame:

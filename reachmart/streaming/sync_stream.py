@@ -43,14 +43,21 @@ def start(
     checkpoint: str,
     name: str = "manual_sync",
     files_per_batch: int = 1000,
+    multi_line: bool = True,
     send: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """Works off all files that are there and ends; run it again for later ones."""
+    """Works off all files that are there and ends; run it again for later ones.
+
+    Without ``multi_line`` large files are split among tasks, but no value may hold a line
+    end.
+    """
     entries = (
         spark.readStream.schema(MANUAL_SCHEMA)
         .option("header", True)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
+        # A file with other columns stops the stream instead of being read askew.
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(inbox)
     )

@@ -60,7 +60,7 @@ def test_payload_files_with_different_headers(spark, tmp_path):
     """Other order, other columns, quotes, line ends in a value, empty and damaged files."""
     (tmp_path / "all_payload.csv").write_text('customer_id,email,score\n1,a@x,0.5\n2,"b,""q""@x",\n')
     (tmp_path / "late_payload.csv").write_text('email,note,customer_id\nc@x,"two\nlines",3\n')
-    (tmp_path / "same_payload.csv").write_text("customer_id,email,score\n4,d@x,1\n")
+    (tmp_path / "same again_payload.csv").write_text("customer_id,email,score\n4,d@x,1\n")
     (tmp_path / "empty_payload.csv").write_text("")
     (tmp_path / "header_payload.csv").write_text("customer_id,email,score\n")
     (tmp_path / "other.csv").write_text("customer_id\n9\n")
@@ -70,11 +70,28 @@ def test_payload_files_with_different_headers(spark, tmp_path):
         ("1", "a@x", "0.5", None, "all_payload.csv"),
         ("2", 'b,"q"@x', None, None, "all_payload.csv"),
         ("3", "c@x", None, "two\nlines", "late_payload.csv"),
-        ("4", "d@x", "1", None, "same_payload.csv"),
+        ("4", "d@x", "1", None, "same again_payload.csv"),
     ]
     assert outbox.read_payloads(spark, f"{tmp_path}/empty_payload.csv").count() == 0
 
 
+def test_only_files_with_line_ends_in_values_are_read_whole(spark, tmp_path):
+    """A large file without them is split, and every row is read once."""
+    row = '{0},"c{0}, ""x""@x",0.5\n'
+    (tmp_path / "big_payload.csv").write_text("customer_id,email,score\n" + "".join(map(row.format, range(20_000))))
+    (tmp_path / "odd_payload.csv").write_text('customer_id,email,score\n-1,"a\nb",1\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        frame = outbox.read_payloads(spark, f"{tmp_path}/*_payload.csv")
+        tasks = frame.select(F.spark_partition_id().alias("task"), "customer_id").distinct()
+        assert tasks.select("task").distinct().count() > 8
+        assert sorted(int(r["customer_id"]) for r in frame.collect()) == list(range(-1, 20_000))
+        assert frame.filter("customer_id = '-1'").collect()[0]["email"] == "a\nb"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 RECORD = (
     "customer_id bigint, email string, segment string, score double, first_name string, nps_score int, "
     "events_30d bigint, orders_cnt bigint, lifetime_revenue double, created_at string, last_event_ts string, "
@@ -98,7 +115,7 @@ def test_payload_file_and_ledger(spark, records, tmp_path):
     assert path.endswith("/all_payload.csv") and not sent and ledger.rows().count() == 0
     back = outbox.read_payload(spark, path, outbox.json_columns(payload).schema)
     assert rows_of(back) == rows_of(outbox.json_columns(payload))
-    found = outbox.read_payloads(spark, f"{tmp_path}/*_payload.csv/*.csv")
+    found = outbox.read_payloads(spark, f"{tmp_path}/*_payload.csv")
     assert found.count() == 5 and {r["source"] for r in found.collect()} == {"all_payload.csv"}
     activation.deliver(payload, str(tmp_path), "all", ledger, dry_run=False, send=sent.append)
     assert [frame.count() for frame in sent] == [5]
@@ -206,6 +223,7 @@ def test_find(spark):
     assert rows_of(lookups.find_entries(entries, "1")) == [("1", "A@x"), ("1", "b@x")]  # the id comes first
     assert rows_of(lookups.find_entries(entries, "a@X")) == [("1", "A@x")]
     assert rows_of(lookups.find_entries(entries, "none")) == []
+    assert "NestedLoop" not in plan_of(lookups.find_entries(entries, "1"))
     keys = spark.createDataFrame([("1",), ("a@X",), ("D@x",), ("none",), (None,), ("1",)], "lookup string")
     found = lookups.find_all(entries, keys).select("lookup", "found_by", "customer_id", "email")
     assert rows_of(found) == [

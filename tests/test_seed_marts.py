@@ -198,4 +198,7 @@ def test_stored_marts_equal_lazy_ones(spark, tables, tmp_path, kind):
     from_stored = marts.segment_scores(WarehouseTables(read), as_of)
     assert sorted(from_stored.collect()) == sorted(lazy["segment_scores"].collect())
     if kind == "schema":
+        with_join = marts.segment_records_from_marts(read("segment_scores").hint("merge"), read("customer_360"))
+        plan = with_join._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan  # buckets spare the shuffle
         spark.sql("DROP DATABASE marts CASCADE")

@@ -1,7 +1,10 @@
 """The incremental job: restarts, repeated batches, later files."""
 
+import pytest
+
 from reachmart.sources import outbox
 from reachmart.sources.ledger import Ledger
+from reachmart.sources.schemas import MANUAL_COLUMNS
 from reachmart.streaming import sync_stream
 from test_ledger import manual
 
@@ -53,3 +56,13 @@ def test_repeated_batch_leaves_one_copy(spark, tmp_path):
     assert ids(ledger) == ["m1"]
     sync_stream.sync_batch(batch, ledger, "manual_sync-1")
     assert ids(ledger) == ["m1"]
+
+
+def test_file_with_other_columns_stops_the_stream(spark, tmp_path):
+    (tmp_path / "inbox").mkdir()
+    names = [name for name in MANUAL_COLUMNS if name not in ("email", "customer_id")]
+    (tmp_path / "inbox" / "a.csv").write_text(",".join(["email", "customer_id", *names]) + "\na@x,m1" + "," * 12 + "\n")
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    with pytest.raises(Exception, match="header|Header"):
+        run(spark, tmp_path, ledger)
+    assert ids(ledger) == []
