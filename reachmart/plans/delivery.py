@@ -2,7 +2,8 @@
 
 The package has no client of its own; the caller passes a function that makes one. Each task
 makes one client and works through its partition in Arrow batches; the outcome of every
-record is written to a log.
+record is written to a log. Spark repeats a task whose executor is lost, so a record may be
+handed over twice; the client should create by the record's e-mail or id.
 """
 
 from __future__ import annotations

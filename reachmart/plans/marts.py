@@ -9,7 +9,7 @@ from reachmart.functions.temporal import Instant, days_before, since, timestamp_
 from reachmart.functions.text import or_default
 from reachmart.operators import activity
 from reachmart.plans import staging
-from reachmart.sources.schemas import DIM_COLUMNS, PROFILE_COLUMNS, RECORD_COLUMNS
+from reachmart.sources.schemas import CUSTOMER_COLUMNS, DIM_COLUMNS, PROFILE_COLUMNS, RECORD_COLUMNS
 
 def customer_360(tables, as_of: Instant, columns: list[str] | None = None) -> DataFrame:
     """One row per customer with history and trailing activity.
@@ -19,7 +19,8 @@ def customer_360(tables, as_of: Instant, columns: list[str] | None = None) -> Da
     """
     columns = columns or PROFILE_COLUMNS
     wanted = set(columns)
-    profile = staging.customers(tables)
+    own = [name for name in CUSTOMER_COLUMNS if name in wanted or name == "customer_id"]
+    profile = staging.customers(tables, own)
     if wanted & {"orders_cnt", "lifetime_revenue", "revenue_12wk", "revenue_90d"}:
         whole = wanted & {"orders_cnt", "lifetime_revenue"}
         orders = staging.orders(tables, None if whole else days_before(as_of, 90))

@@ -10,21 +10,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from reachmart.functions.temporal import week_start
+from reachmart.sources.schemas import CUSTOMER_COLUMNS
 
 
-def customers(tables) -> DataFrame:
+def customers(tables, columns: list[str] = CUSTOMER_COLUMNS) -> DataFrame:
     # Half-even rounding, as "9.5" in a seed must not be cut off.
     nps = F.bround(F.col("nps_score").cast("double")).cast("int")
-    return tables.customers().select(
-        F.col("customer_id").cast("bigint").alias("customer_id"),
-        F.lower("email").alias("email"),
-        "first_name",
-        "last_name",
-        F.col("created_at").cast("date").alias("created_at"),
-        "country",
-        F.coalesce(F.col("marketing_opt_in").cast("int"), F.lit(0)).alias("marketing_opt_in"),
-        nps.alias("nps_score"),
-    )
+    typed = {
+        "customer_id": F.col("customer_id").cast("bigint"),
+        "email": F.lower("email"),
+        "created_at": F.col("created_at").cast("date"),
+        "marketing_opt_in": F.coalesce(F.col("marketing_opt_in").cast("int"), F.lit(0)),
+        "nps_score": nps,
+    }
+    return tables.customers(columns).select(*[typed.get(name, F.col(name)).alias(name) for name in columns])
 
 
 def orders(tables, since: datetime | None = None) -> DataFrame:

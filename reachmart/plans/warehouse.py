@@ -23,15 +23,20 @@ class Folders:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def write(self, name: str, rows: DataFrame) -> None:
+        self._frames.pop(name, None)
         writer = _spread(name, rows).write.mode("overwrite")
         if name in PARTITIONS:
             writer = writer.partitionBy(PARTITIONS[name])
         writer.parquet(f"{self.root}/{name}")
 
     def read(self, name: str) -> DataFrame:
-        return _typed(name, self.spark.read.parquet(f"{self.root}/{name}"))
+        """Listing the weeks of a fact is a job of its own, so a model is opened once."""
+        if name not in self._frames:
+            self._frames[name] = _typed(name, self.spark.read.parquet(f"{self.root}/{name}"))
+        return self._frames[name]
 
 
 class Schema:

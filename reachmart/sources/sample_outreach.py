@@ -63,7 +63,7 @@ def sent_records(tables) -> DataFrame:
     e-mail only."""
     campaign = F.lower("last_name")
     by_id, by_email = campaign == "machinery", campaign == "furniture"
-    customers = staging.customers(tables).filter(by_id | by_email)
+    customers = staging.customers(tables, ["customer_id", "email", "first_name", "last_name"]).filter(by_id | by_email)
     return customers.select(
         F.when(by_id, F.concat(F.lit("manual-"), F.col("customer_id"))).alias("customer_id"),
         F.when(by_email, F.col("email")).alias("email"),
@@ -80,7 +80,7 @@ def lookup_keys(tables) -> DataFrame:
     """One key per customer: an id, an e-mail in other case, or one that nobody has."""
     key = F.col("customer_id").cast("string")
     group = F.col("last_name")
-    return staging.customers(tables).select(
+    return staging.customers(tables, ["customer_id", "email", "last_name"]).select(
         F.when(group == "HOUSEHOLD", F.concat(F.lit("manual-"), key))
         .when(group == "BUILDING", F.upper("email"))
         .otherwise(F.concat(F.lit("nobody-"), key))

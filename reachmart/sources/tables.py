@@ -1,9 +1,10 @@
 """The four input tables: from seed files, from the benchmark's Parquet tables, or from
 facts that were materialized earlier.
 
-Each class offers ``customers()``, ``orders(since)``, ``web_events(since)`` and
-``ad_spend()``. ``since`` is a lower bound of the fact's own time that the class hands down
-to its scan, so that a look-back job does not read the whole history.
+Each class offers ``customers(columns)``, ``orders(since)``, ``web_events(since)`` and
+``ad_spend()``. ``columns`` are those the caller uses; a class may leave out others. ``since``
+is a lower bound of the fact's own time that the class hands down to its scan, so that a
+look-back job does not read the whole history.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reachmart.functions.temporal import instant, week_start
-from reachmart.sources.schemas import SALES_SCHEMAS, SEED_SCHEMAS
+from reachmart.sources.schemas import CUSTOMER_COLUMNS, SALES_SCHEMAS, SEED_SCHEMAS
 
 
 class SeedTables:
@@ -27,7 +28,7 @@ class SeedTables:
         reader = self.spark.read.schema(SEED_SCHEMAS[name]).options(header=True, enforceSchema=False, mode="FAILFAST")
         return reader.csv(f"{self.folder}/{name}*")
 
-    def customers(self) -> DataFrame:
+    def customers(self, columns: list[str] = CUSTOMER_COLUMNS) -> DataFrame:
         return self._read("customers")
 
     def orders(self, since: datetime | None = None) -> DataFrame:
@@ -52,23 +53,23 @@ class SalesTables:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.schema(SALES_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def customers(self) -> DataFrame:
+    def customers(self, columns: list[str] = CUSTOMER_COLUMNS) -> DataFrame:
+        """Only a caller who uses the country pays for the join that names it."""
         key = F.col("c_custkey")
-        nation = self._read("nation")
-        return (
-            self._read("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(
-                key.alias("customer_id"),
-                F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@example.com")).alias("email"),
-                F.concat(F.lit("C"), key).alias("first_name"),
-                F.col("c_mktsegment").alias("last_name"),
-                F.date_add(F.lit("2017-01-01").cast("date"), (key % 2000).cast("int")).alias("created_at"),
-                F.col("n_name").alias("country"),
-                F.when(F.col("c_acctbal") > 0, 1).alias("marketing_opt_in"),
-                F.when(key % 13 != 0, (key % 11).cast("double")).alias("nps_score"),
-            )
-        )
+        rows = self._read("customer")
+        if "country" in columns:
+            rows = rows.join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        mapped = {
+            "customer_id": key,
+            "email": F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@example.com")),
+            "first_name": F.concat(F.lit("C"), key),
+            "last_name": F.col("c_mktsegment"),
+            "created_at": F.date_add(F.lit("2017-01-01").cast("date"), (key % 2000).cast("int")),
+            "country": F.col("n_name"),
+            "marketing_opt_in": F.when(F.col("c_acctbal") > 0, 1),
+            "nps_score": F.when(key % 13 != 0, (key % 11).cast("double")),
+        }
+        return rows.select(*[mapped[name].alias(name) for name in columns])
 
     def orders(self, since: datetime | None = None) -> DataFrame:
         shift = timedelta(days=self.ORDER_SHIFT_DAYS)
@@ -109,7 +110,7 @@ class WarehouseTables:
     def __init__(self, read_model):
         self._model = read_model
 
-    def customers(self) -> DataFrame:
+    def customers(self, columns: list[str] = CUSTOMER_COLUMNS) -> DataFrame:
         return self._model("stg_customers")
 
     def orders(self, since: datetime | None = None) -> DataFrame:

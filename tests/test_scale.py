@@ -64,6 +64,11 @@ def test_stored_facts_are_pruned_by_week(spark, tmp_path):
     assert 0 < len(recent.inputFiles()) and recent.count() < whole.count()
 
 
+def test_top_lists_need_no_full_sort(spark):
+    for name in ("top_active", "first_n_segment"):
+        assert "TakeOrderedAndProject" in plan_of(catalog.QUERIES[name](spark, FOLDER))
+
+
 def test_hot_customer_is_combined_before_the_shuffle(spark):
     """A third of the rows on one key: one row per task reaches the shuffle."""
     rows = spark.range(0, 60_000, 1, 6).select(
