@@ -19,10 +19,15 @@ def sent_keys(ledger: DataFrame) -> DataFrame:
             for kind, column in (("id", "customer_id"), ("email", "email"))
         ]
     )
-    keys = ledger.select(F.inline(pairs))
+    keys = with_key(with_key(ledger, "customer_id"), "email").select(F.inline(pairs))
     return keys.filter(F.col("key").isNotNull()).distinct()
 
 
+def with_key(ledger: DataFrame, column: str) -> DataFrame:
+    """A payload without a key column sent nothing under that key."""
+    return ledger if column in ledger.columns else ledger.withColumn(column, F.lit(None).cast("string"))
+
+
 def unsent(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFrame:
     """Entries none of whose key columns occurs in the ledger.
 
@@ -30,6 +35,7 @@ def unsent(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFrame:
     pair. A missing key matches nothing and keeps its entry.
     """
     for column in columns:
+        ledger = with_key(ledger, column)
         entries = join_keys(entries, F.col(column), key_set(ledger, F.col(column)), "left_anti")
     return entries
 
@@ -38,6 +44,7 @@ def unsent_few(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFram
     """The same for few entries and a long ledger: the ledger is first cut down to the
     entries' keys, which needs no shuffle of the ledger while those keys are few."""
     for column in columns:
+        ledger = with_key(ledger, column)
         wanted = key_set(entries, F.col(column))
         hits = join_keys(ledger.select(column), F.col(column), wanted, "left_semi")
         entries = unsent(entries, hits, column)
@@ -46,7 +53,8 @@ def unsent_few(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFram
 
 def mark_sent(entries: DataFrame, ledger: DataFrame, column: str = "customer_id") -> DataFrame:
     """Each entry with its status; the number of rows stays."""
-    marked = join_keys(entries, F.col(column), key_set(ledger, F.col(column)), "left")
+    keys = key_set(with_key(ledger, column), F.col(column))
+    marked = join_keys(entries, F.col(column), keys, "left")
     return marked.withColumn("salesforce_status", status_text(F.col("key").isNotNull())).drop("key")
 
 

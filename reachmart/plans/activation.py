@@ -67,9 +67,11 @@ def deliver(
     ledger: Ledger,
     dry_run: bool = True,
     send: Callable[[DataFrame], None] | None = None,
+    run_id: str | None = None,
 ) -> str:
     """Writes the payload, hands its records to ``send``, then enters them into the ledger.
 
+    The payload ``name`` is replaced by each run; the ledger keeps one entry per ``run_id``.
     Everything after the payload starts from the written file, so a model is asked once per
     record. A dry run ends with the payload.
     """
@@ -79,7 +81,7 @@ def deliver(
     written = outbox.read_payload(result.sparkSession, path, outbox.json_columns(result).schema)
     if send is not None:
         send(written)
-    ledger.record(written, name)
+    ledger.record(written, run_id or name)
     return path
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reachmart.functions.decisions import LAPSE_RISK
-from reachmart.functions.temporal import Instant
+from reachmart.functions.temporal import Instant, as_datetime
 from reachmart.plans import activation, marts, quality_suite, reports, warehouse
 from reachmart.sources import outbox
 from reachmart.sources.ledger import Ledger
@@ -35,7 +35,8 @@ def run(
     for name, segment in (("all", "all"), (LAPSE_RISK, LAPSE_RISK)):
         records = marts.segment_records_from_marts(read("segment_scores"), read("customer_360"), segment)
         payload = activation.payload(records, discount_cap)
-        activation.deliver(payload, outbox_dir, name, ledger, dry_run, send)
+        run_id = f"{name}-{as_datetime(as_of):%Y%m%d}"
+        activation.deliver(payload, outbox_dir, name, ledger, dry_run, send, run_id)
     return validate(spark, outbox_dir)
 
 

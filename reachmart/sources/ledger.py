@@ -6,6 +6,8 @@ restarted stream, therefore leaves one copy of its rows.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reachmart.sources.files import exists
@@ -29,7 +31,7 @@ class Ledger:
             return
         rows = json_columns(sent)
         rows = rows.select(*[_ledger_column(rows, name) for name in _COLUMNS], F.lit(f"{run_id}_payload").alias("source"))
-        rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={run_id}")
+        rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={quote(run_id, safe="")}")
 
     def rows(self, except_run: str | None = None) -> DataFrame:
         """All sent rows; ``except_run`` leaves out a run that is being repeated."""

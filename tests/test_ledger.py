@@ -46,6 +46,24 @@ def test_ids_match_as_text(spark):
     assert rows_of(sent_keys.unsent(entries, sent, "customer_id")) == [(2, "b")]
 
 
+@pytest.mark.parametrize("unsent", [sent_keys.unsent, sent_keys.unsent_few])
+def test_ledger_without_a_key_column(spark, unsent):
+    entries = spark.createDataFrame([("a", "1"), ("b", "2")], KEYS)
+    ids = spark.createDataFrame([("a",)], "customer_id string")
+    assert rows_of(unsent(entries, ids, "customer_id", "email")) == [("b", "2")]
+    emails = spark.createDataFrame([("1",)], "email string")
+    assert {r["salesforce_status"] for r in sent_keys.mark_sent(entries, emails).collect()} == {"Not sent"}
+    assert rows_of(sent_keys.sent_keys(emails)) == [("email", "1")]
+
+
+def test_run_ids_keep_their_name(spark, tmp_path):
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    for run_id in ("2024", "a b/c:d=e", "manual_a@x"):
+        ledger.record(spark.createDataFrame([("1", "a@x")], KEYS), run_id)
+    assert {r["run_id"] for r in ledger.rows().collect()} == {"2024", "a b/c:d=e", "manual_a@x"}
+    assert ledger.rows(except_run="2024").count() == 2
+
+
 def test_marks_and_report(spark):
     entries = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3"), (None, "4")], KEYS)
     sent = spark.createDataFrame([("a", None), ("a", None), ("z", None), (None, "4")], KEYS)
@@ -204,6 +222,10 @@ def test_daily_run(spark, seed_folder, tmp_path):
     assert tuple(result.collect()[0]) == (4, None)
     assert [frame.count() for frame in seen] == [4, 2]
     assert ledger.rows().count() == 6
+    daily.run(spark, tables, "2025-09-11", store, f"{tmp_path}/outbox", ledger, dry_run=False)
+    assert sorted({r["run_id"] for r in ledger.rows().collect()}) == [
+        "all-20250910", "all-20250911", "high_value_lapse_risk-20250910", "high_value_lapse_risk-20250911",
+    ]
 
 
 def test_failed_data_test_stops_the_daily_run(spark, seed_folder, tmp_path):
