@@ -32,10 +32,15 @@ def since(ts: Column, as_of: Instant, days: int) -> Column:
     return ts >= instant(days_before(as_of, days))
 
 
+def monday(ts: Column) -> Column:
+    """The day on which the week begins."""
+    day = ts.cast("date")
+    return F.date_sub(day, F.weekday(day))
+
+
 def week_start(ts: Column) -> Column:
     """Monday 00:00 of the week. Goes through DATE, so no session time zone takes part."""
-    day = ts.cast("date")
-    return F.date_sub(day, F.weekday(day)).cast("timestamp_ntz")
+    return monday(ts).cast("timestamp_ntz")
 
 
 def timestamp_text(ts: Column) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reachmart.functions.money import exact_sum
-from reachmart.functions.temporal import Instant, since, week_start
+from reachmart.functions.temporal import Instant, monday, since
 
 PAID = "paid"
 
@@ -49,8 +49,8 @@ def weekly_cohorts(orders: DataFrame) -> DataFrame:
     age of the data and is built on the map side; the counts need no further distinct.
     Orders without a time form a week of their own, after all others in the set.
     """
-    undated = F.lit("9999-12-27").cast("timestamp_ntz")
-    week = F.coalesce(week_start(F.col("order_ts")), undated)
+    undated = F.lit("9999-12-27").cast("date")
+    week = F.coalesce(monday(F.col("order_ts")), undated)
     weeks = (
         orders.filter((F.col("status") == PAID) & F.col("customer_id").isNotNull())
         .groupBy("customer_id")
@@ -59,8 +59,8 @@ def weekly_cohorts(orders: DataFrame) -> DataFrame:
     return (
         weeks.select(F.array_min("weeks").alias("first"), F.explode("weeks").alias("week"))
         .groupBy(
-            F.nullif("first", undated).alias("cohort_week"),
-            F.nullif("week", undated).alias("order_week"),
+            F.nullif("first", undated).cast("timestamp_ntz").alias("cohort_week"),
+            F.nullif("week", undated).cast("timestamp_ntz").alias("order_week"),
         )
         .agg(F.count("*").alias("active_customers"))
     )
