@@ -11,6 +11,7 @@ from reachmart.operators import activity
 from reachmart.plans import staging
 from reachmart.sources.schemas import CUSTOMER_COLUMNS, DIM_COLUMNS, PROFILE_COLUMNS, RECORD_COLUMNS
 
+
 def customer_360(tables, as_of: Instant, columns: list[str] | None = None) -> DataFrame:
     """One row per customer with history and trailing activity.
 

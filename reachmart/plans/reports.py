@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from reachmart.functions.decisions import discount_text, nps_class
-from reachmart.functions.money import exact_mean, wide_sum
+from reachmart.functions.money import UNITS, exact_mean, units, wide_sum
 from reachmart.functions.temporal import Instant
 from reachmart.functions.text import fixed_text
 from reachmart.operators.activity import rolling_count
@@ -23,7 +23,16 @@ KPI_COLUMNS = ["country", "lifetime_revenue", "nps_score", "events_30d"]
 
 def kpis(profile: DataFrame, country: str = "All") -> DataFrame:
     """Customers, revenue, mean NPS and active customers, for one country or all."""
-    return of_country(profile, country).agg(*_kpi_columns())
+    return of_country(profile, country).agg(
+        F.count("*").alias("total_customers"),
+        wide_sum(F.col("lifetime_revenue")).alias("total_revenue"),
+        _mean_nps().alias("avg_nps"),
+        F.count_if(F.col("events_30d") > 0).alias("active_customers"),
+    )
+
+
+def _mean_nps():
+    return F.sum("nps_score") / F.nullif(F.count("nps_score"), F.lit(0))
 
 
 def kpis_by_filter(profile: DataFrame) -> DataFrame:
@@ -31,7 +40,7 @@ def kpis_by_filter(profile: DataFrame) -> DataFrame:
     are aggregated first, so the grouping for the total sees one row per country."""
     per_country = profile.groupBy("country").agg(
         F.count("*").alias("customers"),
-        F.sum(F.floor(F.col("lifetime_revenue") * 10_000 + 0.5).cast("decimal(20,0)")).alias("units"),
+        F.sum(units(F.col("lifetime_revenue")).cast("decimal(20,0)")).alias("units"),
         F.sum("nps_score").alias("nps_sum"),
         F.count("nps_score").alias("nps_n"),
         F.count_if(F.col("events_30d") > 0).alias("active"),
@@ -40,21 +49,12 @@ def kpis_by_filter(profile: DataFrame) -> DataFrame:
     choices = per_country.withColumn("country_filter", choice).filter(F.col("country_filter").isNotNull())
     return choices.groupBy("country_filter").agg(
         F.sum("customers").alias("total_customers"),
-        (F.sum("units").cast("double") / 10_000.0).alias("total_revenue"),
+        (F.sum("units").cast("double") / UNITS).alias("total_revenue"),
         (F.sum("nps_sum") / F.nullif(F.sum("nps_n"), F.lit(0))).alias("avg_nps"),
         F.sum("active").alias("active_customers"),
     )
 
 
-def _kpi_columns():
-    return [
-        F.count("*").alias("total_customers"),
-        wide_sum(F.col("lifetime_revenue")).alias("total_revenue"),
-        (F.sum("nps_score") / F.nullif(F.count("nps_score"), F.lit(0))).alias("avg_nps"),
-        F.count_if(F.col("events_30d") > 0).alias("active_customers"),
-    ]
-
-
 def kpi_display(kpi_rows: DataFrame) -> DataFrame:
     """KPI numbers as text: thousands separators, whole dollars, one decimal for the NPS."""
     return kpi_rows.select(
@@ -97,7 +97,7 @@ def segment_performance_from_marts(scores: DataFrame, profile: DataFrame) -> Dat
 def _performance(scored: DataFrame) -> DataFrame:
     return scored.groupBy("segment").agg(
         exact_mean(F.col("lifetime_revenue")).alias("lifetime_revenue"),
-        (F.sum("nps_score") / F.nullif(F.count("nps_score"), F.lit(0))).alias("nps_score"),
+        _mean_nps().alias("nps_score"),
         exact_mean(F.col("score")).alias("score"),
     )
 
