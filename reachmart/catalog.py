@@ -231,7 +231,7 @@ def recent_activity(tables: SalesTables) -> DataFrame:
 
 @query("top_active")
 def top_active(tables: SalesTables) -> DataFrame:
-    return reports.top_active(_profile(tables, *reports.ACTIVITY_COLUMNS))
+    return reports.top_active_of(tables, AS_OF)
 
 
 @query("filter_values")
@@ -259,7 +259,7 @@ def segment_context_join(tables: SalesTables) -> DataFrame:
 
 @query("first_n_segment")
 def first_n_segment(tables: SalesTables) -> DataFrame:
-    return activation.first_of_segment(_records(tables, LAPSE_RISK))
+    return marts.best_records(tables, AS_OF, LAPSE_RISK)
 
 
 @query("next_best_action")

@@ -12,23 +12,30 @@ from reachmart.plans import staging
 from reachmart.sources.schemas import CUSTOMER_COLUMNS, DIM_COLUMNS, PROFILE_COLUMNS, RECORD_COLUMNS
 
 
-def customer_360(tables, as_of: Instant, columns: list[str] | None = None) -> DataFrame:
+def customer_360(
+    tables, as_of: Instant, columns: list[str] | None = None, only: DataFrame | None = None
+) -> DataFrame:
     """One row per customer with history and trailing activity.
 
     ``columns`` names the columns a caller needs. Without the columns that look at the whole
-    history, the facts are only read as far back as the longest window reaches.
+    history, the facts are only read as far back as the longest window reaches. ``only``
+    restricts the profile to some customer ids, before their facts are shuffled.
     """
     columns = columns or PROFILE_COLUMNS
     wanted = set(columns)
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        return rows if only is None else rows.join(only.select("customer_id"), "customer_id", "left_semi")
+
     own = [name for name in CUSTOMER_COLUMNS if name in wanted or name == "customer_id"]
-    profile = staging.customers(tables, own)
+    profile = chosen(staging.customers(tables, own))
     if wanted & {"orders_cnt", "lifetime_revenue", "revenue_12wk", "revenue_90d"}:
         whole = wanted & {"orders_cnt", "lifetime_revenue"}
-        orders = staging.orders(tables, None if whole else days_before(as_of, 90))
+        orders = chosen(staging.orders(tables, None if whole else days_before(as_of, 90)))
         profile = profile.join(activity.order_stats(orders, as_of), "customer_id", "left")
     if wanted & {"last_event_ts", "events_30d"}:
         whole = "last_event_ts" in wanted
-        events = staging.web_events(tables, None if whole else days_before(as_of, 30))
+        events = chosen(staging.web_events(tables, None if whole else days_before(as_of, 30)))
         profile = profile.join(activity.event_stats(events, as_of), "customer_id", "left")
     return profile.select(*[_zero_if_absent(name) for name in columns])
 
@@ -90,6 +97,14 @@ def segment_records(profile: DataFrame, segment: str = "all") -> DataFrame:
     return _records(with_segment(profile), segment)
 
 
+def best_records(tables, as_of: Instant, segment: str, n: int = 2) -> DataFrame:
+    """The ``n`` records of a segment with the highest scores. The scores need a look at the
+    windows only; the whole history is then read for these customers alone."""
+    scores = segment_scores(tables, as_of).filter(F.col("segment") == segment)
+    best = scores.orderBy(F.desc("score"), "customer_id").limit(n)
+    return segment_records(customer_360(tables, as_of, only=best), segment).orderBy(F.desc("score"), "customer_id")
+
+
 def record_inputs(columns: list[str]) -> list[str]:
     own = [name for name in columns if name in PROFILE_COLUMNS]
     return [*own, *[name for name in SCORE_INPUTS if name not in own]]

@@ -122,8 +122,21 @@ def recent_activity(profile: DataFrame) -> DataFrame:
 
 
 def top_active(profile: DataFrame, n: int = 5) -> DataFrame:
-    """The report's top list; runs as one top-k without a full sort."""
-    return recent_activity(profile).select("customer_id", "email", "events_30d", "lifetime_revenue").limit(n)
+    """The report's top list from a stored profile; one top-k without a full sort."""
+    return recent_activity(profile).select(*TOP_COLUMNS).limit(n)
+
+
+def top_active_of(tables, as_of: Instant, n: int = 5) -> DataFrame:
+    """The same from the facts: 30 days of events decide, and only the winners' orders are
+    added up."""
+    activity = marts.customer_360(tables, as_of, ["customer_id", "events_30d"])
+    active = activity.filter(F.col("events_30d") > 0)
+    winners = active.orderBy(F.desc("events_30d"), "customer_id").limit(n)
+    rows = marts.customer_360(tables, as_of, TOP_COLUMNS, only=winners)
+    return rows.orderBy(F.desc("events_30d"), "customer_id")
+
+
+TOP_COLUMNS = ["customer_id", "email", "events_30d", "lifetime_revenue"]
 
 
 def filter_values(profile: DataFrame, scores: DataFrame) -> DataFrame:

@@ -19,15 +19,17 @@ PARTITIONS = {"fct_orders": "order_week", "fct_events": "event_week"}
 
 
 class Folders:
-    """One Parquet folder per model below a root."""
+    """One Parquet folder per model below a root. Facts that already arrive in order of time
+    need no ``rebalance``, which shuffles them."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, rebalance: bool = True):
+        self.spark, self.root, self.rebalance = spark, root.rstrip("/"), rebalance
         self._frames: dict[str, DataFrame] = {}
 
     def write(self, name: str, rows: DataFrame) -> None:
         self._frames.pop(name, None)
-        writer = _spread(name, rows).write.mode("overwrite")
+        rows = _spread(name, rows) if self.rebalance else rows
+        writer = rows.write.mode("overwrite")
         if name in PARTITIONS:
             writer = writer.partitionBy(PARTITIONS[name])
         writer.parquet(f"{self.root}/{name}")
@@ -41,16 +43,20 @@ class Folders:
 
 class Schema:
     """One catalog table per model in a database; customer tables can be bucketed, so that
-    joins between them need no shuffle."""
+    joins between them need no shuffle. Facts are not bucketed: a hot customer would make
+    one bucket, and one task, of a third of the rows."""
 
-    def __init__(self, spark: SparkSession, database: str, buckets: int | None = None):
-        self.spark, self.database, self.buckets = spark, database, buckets
+    def __init__(self, spark: SparkSession, database: str, buckets: int | None = None, rebalance: bool = True):
+        self.spark, self.database, self.buckets, self.rebalance = spark, database, buckets, rebalance
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def write(self, name: str, rows: DataFrame) -> None:
         bucketed = self.buckets and name not in PARTITIONS and "customer_id" in rows.columns
         # One task per bucket, so that each bucket is one sorted file.
-        rows = rows.repartition(self.buckets, "customer_id") if bucketed else _spread(name, rows)
+        if bucketed:
+            rows = rows.repartition(self.buckets, "customer_id")
+        elif self.rebalance:
+            rows = _spread(name, rows)
         writer = rows.write.mode("overwrite").format("parquet")
         if name in PARTITIONS:
             writer = writer.partitionBy(PARTITIONS[name])

@@ -23,12 +23,16 @@ def sync_batch(
 ) -> None:
     """Repairs one batch, drops what the ledger knows, sends and records the rest.
 
-    The batch is used for its keys and for its rows; it is kept meanwhile, and what an
-    executor loses of it is read from the files again.
+    The batch is counted, used for its keys and for its rows; it is kept meanwhile, and what
+    an executor loses of it is read from the files again.
     """
     fixed = manual_entries.repaired(batch).persist()
     try:
-        rows = sent_keys.unsent_few(fixed, ledger.rows(except_run=run_id), "customer_id", "email")
+        number = fixed.count()
+        if number == 0:
+            return
+        unsent = sent_keys.unsent_few if number <= sent_keys.FEW else sent_keys.unsent
+        rows = unsent(fixed, ledger.rows(except_run=run_id), "customer_id", "email")
         if send is not None:
             send(rows)
         ledger.record(rows, run_id)

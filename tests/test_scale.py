@@ -12,7 +12,7 @@ from conftest import plan_of
 from reachmart import catalog
 from reachmart.operators import activity, lookups, quality, sent_keys
 from reachmart.operators.histogram import histogram
-from reachmart.plans import marts, warehouse
+from reachmart.plans import activation, marts, reports, warehouse
 from reachmart.session import scratch_dir
 from reachmart.sources.tables import SalesTables, WarehouseTables
 
@@ -69,6 +69,18 @@ def test_top_lists_need_no_full_sort(spark):
         assert "TakeOrderedAndProject" in plan_of(catalog.QUERIES[name](spark, FOLDER))
 
 
+def test_top_lists_add_up_the_winners_only(spark, tables):
+    """Orders meet the ids before they are shuffled; stored and lazy profiles agree."""
+    for name in ("top_active", "first_n_segment"):
+        plan = plan_of(catalog.QUERIES[name](spark, FOLDER))
+        assert re.search(r"LeftSemi, BuildRight.*(\n.*){1,8}orders.parquet", plan)
+    profile = marts.customer_360(tables, AS_OF)
+    assert reports.top_active(profile).collect() == reports.top_active_of(tables, AS_OF).collect()
+    records = marts.segment_records(profile, "churn_rescue_nps")
+    best = marts.best_records(tables, AS_OF, "churn_rescue_nps", 3).collect()
+    assert activation.first_of_segment(records, 3).collect() == best
+
+
 def test_hot_customer_is_combined_before_the_shuffle(spark):
     """A third of the rows on one key: one row per task reaches the shuffle."""
     rows = spark.range(0, 60_000, 1, 6).select(
@@ -119,6 +131,15 @@ def test_hot_entry_key_is_split(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_few_entries_do_not_shuffle_the_ledger(spark, tmp_path):
+    spark.range(1000).select(F.col("id").cast("string").alias("customer_id")).write.parquet(f"{tmp_path}/l")
+    entries = spark.createDataFrame([("1",), ("5000",), (None,)], "customer_id string")
+    frame = sent_keys.unsent_few(entries, spark.read.parquet(f"{tmp_path}/l"), "customer_id")
+    above_scan = plan_of(frame).split("LeftSemi, BuildRight", 1)[1].split("FileScan", 1)[0]
+    assert "Exchange" not in above_scan
+    assert {row["customer_id"] for row in frame.collect()} == {"5000", None}
+
+
 def test_histogram(spark):
     frame = spark.createDataFrame([(x,) for x in (0.0, 0.5, 1.0, 9.99, 10.0, None)], "x double")
     rows = {r["bin"]: (r["bin_start"], r["customers"]) for r in histogram(frame, "x", 10).collect()}
