@@ -16,7 +16,7 @@ from reachmart.functions.text import (
     capitalized, filled, float_text, has_at, is_json, is_number_text, local_part, or_default,
 )
 from reachmart.operators import lookups
-from reachmart.plans.scoring import Scorer, model_message, model_risk
+from reachmart.plans.scoring import Scorer, model_message, model_risk, spread
 from reachmart.sources import outbox
 from reachmart.sources.ledger import Ledger
 
@@ -42,10 +42,13 @@ def payload(
     message_scorer: Scorer | None = None,
     goal: str = "90d_clv",
     suppress_hours: int = 48,
+    model_tasks: int | None = None,
 ) -> DataFrame:
     """Records with their action and, if there is a model, risk and message."""
     action = next_best_action(F.col("segment"), discount_cap, goal, suppress_hours)
     result = records.withColumn("nba_action", action)
+    if risk_scorer is not None or message_scorer is not None:
+        result = spread(result, model_tasks)
     if risk_scorer is not None:
         result = model_risk(result, risk_scorer)
     if message_scorer is not None:

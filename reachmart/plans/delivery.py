@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from reachmart.plans.activation import outreach_rows
+from reachmart.plans.scoring import spread
 
 LOG_SCHEMA = "customer_id string, lead_id string, task_created boolean"
 
@@ -25,10 +26,10 @@ class Client(Protocol):
         """Creates a Lead or a Task and returns its id, or raises."""
 
 
-def outcomes(records: DataFrame, make_client: Callable[[], Client]) -> DataFrame:
+def outcomes(records: DataFrame, make_client: Callable[[], Client], tasks: int | None = None) -> DataFrame:
     """Creates a lead per record and then its task. Where the lead fails, the record keeps
-    its stand-in id and gets no task."""
-    rows = outreach_rows(records).select("customer_id", F.to_json("lead").alias("lead"), F.to_json("task").alias("task"))
+    its stand-in id and gets no task. ``tasks`` is the number of clients at work."""
+    rows = outreach_rows(spread(records, tasks)).select("customer_id", F.to_json("lead").alias("lead"), F.to_json("task").alias("task"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
@@ -58,11 +59,13 @@ def outcomes(records: DataFrame, make_client: Callable[[], Client]) -> DataFrame
     return rows.mapInPandas(work, LOG_SCHEMA)
 
 
-def sender(make_client: Callable[[], Client], log_folder: str) -> Callable[[DataFrame], None]:
+def sender(
+    make_client: Callable[[], Client], log_folder: str, tasks: int | None = None
+) -> Callable[[DataFrame], None]:
     """A ``send`` for the jobs: delivers the records and logs the outcomes. Written before
     anything reads them, so that a record is handed over once per successful run."""
 
     def send(records: DataFrame) -> None:
-        outcomes(records, make_client).write.mode("append").parquet(log_folder)
+        outcomes(records, make_client, tasks).write.mode("append").parquet(log_folder)
 
     return send

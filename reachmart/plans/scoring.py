@@ -92,15 +92,21 @@ def ask(prompt: Column, scorer: Scorer) -> Column:
     return F.pandas_udf(answers, "string").asNondeterministic()(prompt)
 
 
-def model_risk(records: DataFrame, scorer: Scorer) -> DataFrame:
+def spread(records: DataFrame, tasks: int | None) -> DataFrame:
+    """Over so many tasks. Small records end up in few tasks, which suits the data but not a
+    slow service; the number also bounds how many callers the service sees."""
+    return records if tasks is None else records.repartition(tasks)
+
+
+def model_risk(records: DataFrame, scorer: Scorer, tasks: int | None = None) -> DataFrame:
     """Adds ``llm_risk_score``: the model's number, cut to [0, 1], else the rule's."""
-    asked = records.withColumn("_answer", ask(_prompt(RISK_PROMPT), scorer))
+    asked = spread(records, tasks).withColumn("_answer", ask(_prompt(RISK_PROMPT), scorer))
     rule = rule_risk(F.col("nps_score"), F.col("events_30d"), F.col("lifetime_revenue"))
     risk = F.coalesce(clamped(as_number(F.col("_answer"))), rule)
     return asked.withColumn("llm_risk_score", risk).drop("_answer")
 
 
-def model_message(records: DataFrame, scorer: Scorer) -> DataFrame:
+def model_message(records: DataFrame, scorer: Scorer, tasks: int | None = None) -> DataFrame:
     """Adds ``personalized_message``: the model's text, else the template's."""
     action = F.col("nba_action")
     prompt = _prompt(
@@ -108,14 +114,14 @@ def model_message(records: DataFrame, scorer: Scorer) -> DataFrame:
         template=F.coalesce(action["template"], F.lit("generic")),
         discount_pct=float_text(F.coalesce(action["discount_pct"], F.lit(0.0))),
     )
-    asked = records.withColumn("_answer", ask(prompt, scorer))
+    asked = spread(records, tasks).withColumn("_answer", ask(prompt, scorer))
     message = F.coalesce(stripped(F.col("_answer")), template_message(F.col("first_name"), action))
     return asked.withColumn("personalized_message", message).drop("_answer")
 
 
-def model_sentiment(records: DataFrame, scorer: Scorer) -> DataFrame:
+def model_sentiment(records: DataFrame, scorer: Scorer, tasks: int | None = None) -> DataFrame:
     """Adds sentiment, key insights and recommendation, with defaults for a failed answer."""
-    asked = records.withColumn("_answer", ask(_prompt(SENTIMENT_PROMPT), scorer))
+    asked = spread(records, tasks).withColumn("_answer", ask(_prompt(SENTIMENT_PROMPT), scorer))
     parsed = asked.withColumn("_parsed", F.from_json("_answer", SENTIMENT_TYPE))
     good = F.col("_parsed.sentiment").isNotNull()
     return parsed.withColumns(

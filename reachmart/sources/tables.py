@@ -18,7 +18,7 @@ from reachmart.sources.schemas import CUSTOMER_COLUMNS, SALES_SCHEMAS, SEED_SCHE
 
 
 class SeedTables:
-    """CSV files (or folders of part files) with a header line."""
+    """One CSV file, or folder of part files, per table, with a header line."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -26,7 +26,7 @@ class SeedTables:
     def _read(self, name: str) -> DataFrame:
         # A header that differs from the schema or a bad value stops the job.
         reader = self.spark.read.schema(SEED_SCHEMAS[name]).options(header=True, enforceSchema=False, mode="FAILFAST")
-        return reader.csv(f"{self.folder}/{name}*")
+        return reader.csv(f"{self.folder}/{name}.csv")
 
     def customers(self, columns: list[str] = CUSTOMER_COLUMNS) -> DataFrame:
         return self._read("customers")

@@ -152,3 +152,12 @@ def test_message_falls_back_to_template(spark):
     frame = records(spark, 1).withColumn("nba_action", decisions.next_best_action(F.col("segment")))
     row = scoring.model_message(frame, failing_scorer()).collect()[0]
     assert row["personalized_message"].startswith("Hi N0, thanks for your feedback.")
+
+
+def test_calls_are_spread(spark):
+    frame = records(spark, 40).coalesce(1)
+    scored = scoring.model_message(
+        frame.withColumn("nba_action", decisions.next_best_action(F.col("segment"))), picky_scorer(), tasks=4
+    )
+    sizes = [row["count"] for row in scored.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and sum(sizes) == 40
