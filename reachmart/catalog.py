@@ -13,7 +13,8 @@ from reachmart.functions.temporal import parsed_day
 from reachmart.operators import lookups, quality, sent_keys
 from reachmart.plans import activation, delivery, manual_entries, marts, quality_suite, reports, scoring, staging, sync, warehouse
 from reachmart.session import scratch_dir
-from reachmart.sources import outbox, sample_answers, sample_outreach
+from reachmart.samples import answers, outreach
+from reachmart.sources import outbox
 from reachmart.sources.ledger import Ledger
 from reachmart.sources.schemas import RECORD_COLUMNS
 from reachmart.sources.tables import SalesTables
@@ -70,11 +71,11 @@ def _scored(tables: SalesTables) -> DataFrame:
 
 
 def _entries(tables: SalesTables) -> DataFrame:
-    return sample_outreach.entered_records(tables, AS_OF)
+    return outreach.entered_records(tables, AS_OF)
 
 
 def _delivered(tables: SalesTables) -> DataFrame:
-    return sample_outreach.delivered_records(_payload(tables, BRIEF))
+    return outreach.delivered_records(_payload(tables, BRIEF))
 
 
 # --- scans, staging, facts --------------------------------------------------------------
@@ -337,17 +338,17 @@ def payload_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("model_risk")
 def model_risk(tables: SalesTables) -> DataFrame:
-    return scoring.model_risk(_records(tables), sample_answers.risk_answers()).select("customer_id", "llm_risk_score")
+    return scoring.model_risk(_records(tables), answers.risk_answers()).select("customer_id", "llm_risk_score")
 
 
 @query("model_message")
 def model_message(tables: SalesTables) -> DataFrame:
-    return scoring.model_message(_payload(tables), sample_answers.message_answers()).select("customer_id", "personalized_message")
+    return scoring.model_message(_payload(tables), answers.message_answers()).select("customer_id", "personalized_message")
 
 
 @query("model_sentiment")
 def model_sentiment(tables: SalesTables) -> DataFrame:
-    scored = scoring.model_sentiment(_records(tables), sample_answers.sentiment_answers())
+    scored = scoring.model_sentiment(_records(tables), answers.sentiment_answers())
     insights = F.array_join("key_insights", "; ").alias("key_insights")
     return scored.select("customer_id", "sentiment", insights, "recommended_action")
 
@@ -372,7 +373,7 @@ def followup_steps(tables: SalesTables) -> DataFrame:
 
 @query("delivery_log")
 def delivery_log(tables: SalesTables) -> DataFrame:
-    return delivery.outcomes(_delivered(tables), sample_answers.destination())
+    return delivery.outcomes(_delivered(tables), answers.destination())
 
 
 # --- hand-entered records ---------------------------------------------------------------
@@ -425,39 +426,39 @@ def direct_submission(tables: SalesTables) -> DataFrame:
 
 @query("sent_ledger")
 def sent_ledger(tables: SalesTables) -> DataFrame:
-    return sample_outreach.sent_records(tables)
+    return outreach.sent_records(tables)
 
 
 @query("sent_keys")
 def sent_keys_rows(tables: SalesTables) -> DataFrame:
-    return sent_keys.sent_keys(sample_outreach.sent_records(tables))
+    return sent_keys.sent_keys(outreach.sent_records(tables))
 
 
 
 @query("unsent_by_id")
 def unsent_by_id(tables: SalesTables) -> DataFrame:
-    return sent_keys.unsent(_entries(tables), sample_outreach.sent_records(tables), "customer_id")
+    return sent_keys.unsent(_entries(tables), outreach.sent_records(tables), "customer_id")
 
 
 @query("unsent_by_id_email")
 def unsent_by_id_email(tables: SalesTables) -> DataFrame:
-    return sent_keys.unsent(_entries(tables), sample_outreach.sent_records(tables), "customer_id", "email")
+    return sent_keys.unsent(_entries(tables), outreach.sent_records(tables), "customer_id", "email")
 
 
 @query("sent_status")
 def sent_status(tables: SalesTables) -> DataFrame:
-    marked = sent_keys.mark_sent(_entries(tables), sample_outreach.sent_records(tables))
+    marked = sent_keys.mark_sent(_entries(tables), outreach.sent_records(tables))
     return marked.select("customer_id", "email", "first_name", "salesforce_status")
 
 
 @query("sync_report")
 def sync_report(tables: SalesTables) -> DataFrame:
-    return sync.sync_report(manual_entries.repaired(_entries(tables)), sample_outreach.sent_records(tables))
+    return sync.sync_report(manual_entries.repaired(_entries(tables)), outreach.sent_records(tables))
 
 
 @query("ledger_union")
 def ledger_union(tables: SalesTables) -> DataFrame:
-    return sync.ledger_union(_entries(tables), sample_outreach.sent_records(tables))
+    return sync.ledger_union(_entries(tables), outreach.sent_records(tables))
 
 
 @query("ledger_lookup")
@@ -477,7 +478,7 @@ def record_detail(tables: SalesTables) -> DataFrame:
 
 @query("find_customer")
 def find_customer(tables: SalesTables) -> DataFrame:
-    found = lookups.find_all(_entries(tables), sample_outreach.lookup_keys(tables))
+    found = lookups.find_all(_entries(tables), outreach.lookup_keys(tables))
     return found.select("lookup", "found_by", "customer_id", "email")
 
 
@@ -487,7 +488,7 @@ def stream_sync(spark: SparkSession, folder: str) -> DataFrame:
     work = scratch_dir(spark, "stream")
     outbox.append_manual(_entries(tables).repartition(4), f"{work}/inbox")
     ledger = Ledger(spark, f"{work}/ledger")
-    ledger.record(sample_outreach.sent_records(tables), "before")
+    ledger.record(outreach.sent_records(tables), "before")
     sync_stream.start(spark, f"{work}/inbox", ledger, f"{work}/checkpoint", files_per_batch=2).awaitTermination()
     return ledger.rows(except_run="before").drop("source", "run_id")
 

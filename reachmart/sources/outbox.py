@@ -105,7 +105,7 @@ def read_by_name(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def _read_group(spark: SparkSession, header: str, whole: bool, paths: list[str]) -> DataFrame:
-    names = [name.strip() for name in next(csv.reader([header]))]
+    names = _column_names(header)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     reader = spark.read.schema(schema).options(**_CSV, multiLine=str(whole).lower(), ignoreCorruptFiles="true")
     # The path comes percent-encoded, but with "+" as it is.
@@ -113,6 +113,16 @@ def _read_group(spark: SparkSession, header: str, whole: bool, paths: list[str])
     return reader.csv(paths).select(*[f"`{name}`" for name in names], path.alias("_file"))
 
 
+def _column_names(header: str) -> list[str]:
+    """The names in a header line; a repeated or missing one gets a number."""
+    names: list[str] = []
+    for number, name in enumerate(next(csv.reader([header.lstrip("\ufeff")]))):
+        name = name.strip().replace("`", "") or f"Unnamed: {number}"
+        repeats = sum(known.split(".")[0] == name for known in names)
+        names.append(f"{name}.{repeats}" if repeats else name)
+    return names
+
+
 def back_up_once(spark: SparkSession, source: DataFrame, folder: str) -> bool:
     """Keeps the unrepaired rows, unless a backup exists already."""
     if exists(spark, folder):

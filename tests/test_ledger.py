@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from reachmart.operators import lookups, sent_keys
 from reachmart.plans import activation, daily, delivery, sync, warehouse
-from reachmart.sources import outbox, sample_answers
+from reachmart.samples import answers
+from reachmart.sources import outbox
 from reachmart.sources.ledger import Ledger
 from reachmart.sources.schemas import MANUAL_COLUMNS, MANUAL_SCHEMA
 from reachmart.sources.tables import SeedTables
@@ -93,6 +94,12 @@ def test_payload_files_with_different_headers(spark, tmp_path):
     assert outbox.read_payloads(spark, f"{tmp_path}/empty_payload.csv").count() == 0
 
 
+def test_odd_headers(spark, tmp_path):
+    (tmp_path / "odd_payload.csv").write_text("\ufeffcustomer_id, email,email,\n1,a@x,b@x,z\n", encoding="utf-8")
+    row = outbox.read_payloads(spark, f"{tmp_path}/odd_payload.csv").collect()[0].asDict()
+    assert row == {"customer_id": "1", "email": "a@x", "email.1": "b@x", "Unnamed: 3": "z", "source": "odd_payload.csv"}
+
+
 def test_only_files_with_line_ends_in_values_are_read_whole(spark, tmp_path):
     """A large file without them is split, and every row is read once."""
     row = '{0},"c{0}, ""x""@x",0.5\n'
@@ -194,7 +201,7 @@ def test_delivery_log(spark, records, tmp_path):
     odd = records.withColumn("email", F.when(F.col("customer_id") == 3, "none").otherwise(F.col("email")))
     odd = odd.withColumn("segment", F.when(F.col("customer_id") < 2, "high_value").otherwise(F.col("segment")))
     odd = odd.unionByName(odd.filter("customer_id = 4"))  # two records of one customer
-    send = delivery.sender(sample_answers.destination(), f"{tmp_path}/log")
+    send = delivery.sender(answers.destination(), f"{tmp_path}/log")
     send(activation.payload(odd))
     log = spark.read.parquet(f"{tmp_path}/log")
     assert rows_of(log) == [
