@@ -18,6 +18,8 @@ from reachmart.sources.files import exists
 from reachmart.sources.schemas import MANUAL_COLUMNS, MANUAL_SCHEMA
 
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
+# Files with line ends in values are read in one piece, so none may grow large.
+_ROWS_PER_FILE = 1_000_000
 
 
 def json_columns(rows: DataFrame) -> DataFrame:
@@ -28,7 +30,7 @@ def json_columns(rows: DataFrame) -> DataFrame:
 
 def write_csv(rows: DataFrame, folder: str, mode: str = "overwrite") -> None:
     """One folder per file of the model; header = column names; the action as JSON."""
-    json_columns(rows).write.mode(mode).options(**_CSV).csv(folder)
+    json_columns(rows).write.mode(mode).options(**_CSV, maxRecordsPerFile=_ROWS_PER_FILE).csv(folder)
 
 
 def write_payload(payload: DataFrame, outbox: str, name: str) -> str:

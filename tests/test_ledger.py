@@ -148,6 +148,15 @@ def test_payload_file_and_ledger(spark, records, tmp_path):
     assert [r["customer_id"] for r in ledger.rows().orderBy("customer_id").collect()] == list("01234")
 
 
+def test_empty_payload(spark, records, tmp_path):
+    """A run without records leaves an empty payload behind and sends nothing."""
+    ledger, sent = Ledger(spark, f"{tmp_path}/ledger"), []
+    for rows in (records, records.limit(0)):
+        activation.deliver(activation.payload(rows), str(tmp_path), "all", ledger, dry_run=False, send=sent.append)
+    assert [frame.count() for frame in sent[1:]] == [0] and ledger.rows().count() == 0
+    assert daily.validate(spark, str(tmp_path)).collect()[0]["activated"] == 0
+
+
 def test_failed_delivery_leaves_no_ledger_rows(spark, records, tmp_path):
     ledger = Ledger(spark, f"{tmp_path}/ledger")
 
