@@ -9,6 +9,7 @@ from reachmart.functions.decisions import TARGET_SEGMENTS
 from reachmart.functions.temporal import Instant, as_datetime, days_before, parsed_day
 from reachmart.functions.text import filled, repair_json
 from reachmart.sources import outbox
+from reachmart.sources.files import exists
 from reachmart.sources.schemas import MANUAL_COLUMNS
 
 # Fixed value: the action of a new entry.
@@ -75,3 +76,15 @@ def repair_file(spark: SparkSession, path: str, target: str) -> DataFrame:
     fixed = repaired(entries)
     outbox.write_csv(fixed, target)
     return outbox.read_payload(spark, target, fixed.schema)
+
+
+# The files of the outbox that are repaired together.
+REPAIRED_FILES = ["manual_entries.csv", "all_payload.csv", "high_value_lapse_risk_payload.csv"]
+
+
+def repair_all(spark: SparkSession, outbox_dir: str, target_dir: str) -> list[str]:
+    """Repairs the outbox files that exist; returns their names."""
+    found = [name for name in REPAIRED_FILES if exists(spark, f"{outbox_dir.rstrip('/')}/{name}")]
+    for name in found:
+        repair_file(spark, f"{outbox_dir.rstrip('/')}/{name}", f"{target_dir.rstrip('/')}/{name}")
+    return found
