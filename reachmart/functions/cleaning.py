@@ -15,7 +15,7 @@ def looks_shifted(first_name: Column, segment: Column) -> Column:
 
 def unit_score(score: Column) -> Column:
     """Scores above one are percentages; missing or negative ones become one half."""
-    value = as_number(score.cast("string"))
+    value = as_number(score)
     return F.when((value >= 0) & (value <= 1), value).when(value > 1, value / 100).otherwise(0.5)
 
 

@@ -24,6 +24,7 @@ from reachmart.sources.ledger import Ledger
 LEAD_SOURCE = "Customer Activation Platform"
 LEAD_STATUS = "Open - Not Contacted"
 LEAD_TITLE = "Customer"
+NO_NAME, NO_EMAIL, NO_ID = "Unknown", "no-email", "unknown"
 TASK_STATUS = "Not Started"
 TASK_PRIORITY = "High"
 SUBJECTS = {
@@ -128,7 +129,11 @@ def _with_lead_fields(records: DataFrame) -> DataFrame:
     """Id, name and e-mail after the swaps, in three steps that build on each other."""
     name, email, key = F.col("_name"), F.col("_email"), F.col("_id")
     start = records.withColumns(
-        {"_name": F.col("first_name").cast("string"), "_email": F.col("email"), "_id": F.col("customer_id").cast("string")}
+        {
+            "_name": _given(records, "first_name", NO_NAME),
+            "_email": _given(records, "email", NO_EMAIL),
+            "_id": _given(records, "customer_id", NO_ID),
+        }
     )
     exchanged = has_at(name) & ~has_at(email)
     swapped = start.withColumns(
@@ -141,7 +146,7 @@ def _with_lead_fields(records: DataFrame) -> DataFrame:
             "_id": F.when(id_is_email & ~key.startswith("manual-"), derived_id(key)).otherwise(key),
         }
     )
-    missing = key.isNull() | key.isin("", "unknown")
+    missing = key.isNull() | key.isin("", NO_ID)
     return moved.withColumns(
         {
             "_id": F.when(missing, derived_id(email)).otherwise(key),
@@ -150,6 +155,11 @@ def _with_lead_fields(records: DataFrame) -> DataFrame:
     )
 
 
+def _given(records: DataFrame, column: str, default: str) -> Column:
+    """A column as text; the default only where the records have no such column."""
+    return F.col(column).cast("string") if column in records.columns else F.lit(default)
+
+
 def _optional(records: DataFrame, column: str, default: Column) -> Column:
     return F.coalesce(F.col(column), default) if column in records.columns else default
 
@@ -178,12 +188,15 @@ def _lead(records: DataFrame) -> dict[str, Column]:
 
 def _task(records: DataFrame) -> dict[str, Column]:
     """The task's name is the entered one, or for a number the e-mail's."""
-    entered, email, segment = F.col("first_name").cast("string"), F.col("email"), F.col("segment")
+    entered, email = _given(records, "first_name", NO_NAME), _given(records, "email", NO_EMAIL)
+    segment = F.col("segment")
     from_email = F.when(has_at(email), capitalized(local_part(email))).otherwise("Customer")
     name = F.when(is_number_text(entered), from_email).otherwise(entered)
     template = F.coalesce(action_of(records)["template"], F.lit("general"))
     subjects = {key: F.lit(text) for key, text in SUBJECTS.items()}
-    score = F.coalesce(float_text(F.col("score").cast("double")), F.lit("N/A"))
+    score = F.lit("N/A")
+    if "score" in records.columns:
+        score = F.coalesce(float_text(F.col("score").try_cast("double")), score)
     return {
         "Subject": by_value(segment, subjects, filled(DEFAULT_SUBJECT, template=template)),
         "WhoId": lead_reference(F.col("_id")),
@@ -219,6 +232,8 @@ def outreach_rows(records: DataFrame) -> DataFrame:
 
 def action_of(records: DataFrame) -> Column:
     """The action as a struct, also where a file gave it as JSON text; null for other text."""
+    if "nba_action" not in records.columns:
+        return F.lit(None).cast(ACTION_TYPE)
     action = F.col("nba_action")
     if dict(records.dtypes)["nba_action"] != "string":
         return action

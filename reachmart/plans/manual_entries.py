@@ -46,17 +46,21 @@ def repaired(entries: DataFrame) -> DataFrame:
 
     A segment name in the name column is what makes a file count as shifted, so whether a
     record is swapped depends on that record alone, and no pass over the file comes first.
+    Columns that a file lacks are not repaired.
     """
-    swap = F.coalesce(F.col("first_name").isin(TARGET_SEGMENTS), F.lit(False))
-    fixes = {
-        "customer_id": F.col("customer_id").cast("string"),
-        "first_name": F.when(swap, F.col("segment")).otherwise(F.col("first_name")),
-        "segment": F.when(swap, F.col("first_name")).otherwise(F.col("segment")),
-        "score": unit_score(F.col("score")),
-        "created_at": parsed_day(F.col("created_at").cast("string")),
-        "last_event_ts": parsed_day(F.col("last_event_ts").cast("string")),
-    }
-    fixes = {name: column for name, column in fixes.items() if name in entries.columns}
+    text = {name: F.col(name).cast("string") for name in entries.columns}
+    fixes = {}
+    if {"first_name", "segment"} <= set(entries.columns):
+        swap = F.coalesce(F.col("first_name").isin(TARGET_SEGMENTS), F.lit(False))
+        fixes["first_name"] = F.when(swap, F.col("segment")).otherwise(F.col("first_name"))
+        fixes["segment"] = F.when(swap, F.col("first_name")).otherwise(F.col("segment"))
+    if "customer_id" in text:
+        fixes["customer_id"] = text["customer_id"]
+    if "score" in text:
+        fixes["score"] = unit_score(text["score"])
+    for name in ("created_at", "last_event_ts"):
+        if name in text:
+            fixes[name] = parsed_day(text[name])
     leading = ["customer_id", "email", "first_name", "segment", "score"]
     names = [*leading, *[name for name in entries.columns if name not in leading]]
     fixed = entries.withColumns(fixes)
