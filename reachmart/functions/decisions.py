@@ -102,7 +102,7 @@ def clamped(value: Column) -> Column:
 
 def template_message(first_name: Column, action: Column) -> Column:
     name = F.coalesce(first_name, F.lit(DEFAULT_NAME))
-    discount = float_text(F.coalesce(action["discount_pct"], F.lit(0.0)))
+    discount = discount_number(action)
     texts = {key: filled(text, name=name, discount=discount) for key, text in MESSAGES.items()}
     return by_value(action["template"], texts, filled(DEFAULT_MESSAGE, name=name))
 
@@ -120,5 +120,10 @@ def follow_up_steps(segment: Column, template: Column) -> Column:
     return by_value(segment, {name: steps(texts) for name, texts in FOLLOW_UPS.items()}, steps(DEFAULT_FOLLOW_UP))
 
 
+def discount_number(action: Column) -> Column:
+    """The discount as text, with its decimal; an action without one prints a bare zero."""
+    return F.coalesce(float_text(action["discount_pct"]), F.lit("0"))
+
+
 def discount_text(action: Column) -> Column:
-    return F.concat(float_text(F.coalesce(action["discount_pct"], F.lit(0.0))), F.lit("%"))
+    return F.concat(discount_number(action), F.lit("%"))

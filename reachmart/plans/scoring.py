@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reachmart.functions.decisions import clamped, rule_risk, template_message
+from reachmart.functions.decisions import clamped, discount_number, rule_risk, template_message
 from reachmart.functions.text import as_number, filled, float_text, stripped
 
 Scorer = Callable[[Sequence[str]], Sequence[str | None]]
@@ -112,7 +112,7 @@ def model_message(records: DataFrame, scorer: Scorer, tasks: int | None = None)
     prompt = _prompt(
         MESSAGE_PROMPT,
         template=F.coalesce(action["template"], F.lit("generic")),
-        discount_pct=float_text(F.coalesce(action["discount_pct"], F.lit(0.0))),
+        discount_pct=discount_number(action),
     )
     asked = spread(records, tasks).withColumn("_answer", ask(prompt, scorer))
     message = F.coalesce(stripped(F.col("_answer")), template_message(F.col("first_name"), action))

@@ -54,7 +54,7 @@ def test_rule_risk(column):
 
 def test_template_messages(column):
     rows = [("Ann", "winback_soft", 5.0), (None, "onboarding_tips", 0.0), ("Bo", "nps_followup_then_offer", 7.5),
-            ("Cy", "holdout", 0.0), ("Di", None, None)]
+            ("Cy", "holdout", 0.0), ("Di", None, None), ("Ed", "winback_soft", None)]
     action = F.struct(F.col("t").alias("template"), F.col("d").alias("discount_pct"))
     got = column(rows, "n string, t string, d double", decisions.template_message(F.col("n"), action))
     assert got == [
@@ -63,7 +63,10 @@ def test_template_messages(column):
         "Hi Bo, thanks for your feedback. Let's make this right with a 7.5% discount on us.",
         "Hi Cy, we have something special for you!",
         "Hi Di, we have something special for you!",
+        "Hi Ed, we miss you! Here's 0% off your next order to welcome you back.",
     ]
+    shown = column(rows, "n string, t string, d double", decisions.discount_text(action))
+    assert shown == ["5.0%", "0.0%", "7.5%", "0.0%", "0%", "0%"]
 
 
 def test_nps_classes(column):
