@@ -72,20 +72,21 @@ def deliver(
     dry_run: bool = True,
     send: Callable[[DataFrame], None] | None = None,
     run_id: str | None = None,
+    count_dry_runs: bool = False,
 ) -> str:
     """Writes the payload, hands its records to ``send``, then enters them into the ledger.
 
     The payload ``name`` is replaced by each run; the ledger keeps one entry per ``run_id``.
     Everything after the payload starts from the written file, so a model is asked once per
-    record. A dry run ends with the payload.
+    record. A dry run ends with the payload, unless ``count_dry_runs`` has its records count
+    as sent.
     """
     path = outbox.write_payload(result, outbox_dir, name)
-    if dry_run:
-        return path
     written = outbox.read_payload(result.sparkSession, path, outbox.json_columns(result).schema)
-    if send is not None:
+    if send is not None and not dry_run:
         send(written)
-    ledger.record(written, run_id or name)
+    if count_dry_runs or not dry_run:
+        ledger.record(written, run_id or name)
     return path
 
 

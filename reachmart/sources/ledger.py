@@ -24,14 +24,11 @@ class Ledger:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def record(self, sent: DataFrame, run_id: str, dry_run: bool = False) -> None:
-        """Writes the rows of a run after delivery. A dry run sends nothing, so it leaves no
-        trace here either."""
-        if dry_run:
-            return
+    def record(self, sent: DataFrame, run_id: str) -> None:
+        """Writes the rows of a run; called after their delivery."""
         rows = json_columns(sent)
         rows = rows.select(*[_ledger_column(rows, name) for name in _COLUMNS], F.lit(f"{run_id}_payload").alias("source"))
-        rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={quote(run_id, safe="")}")
+        rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={quote(run_id, safe='')}")
 
     def rows(self, except_run: str | None = None) -> DataFrame:
         """All sent rows; ``except_run`` leaves out a run that is being repeated."""

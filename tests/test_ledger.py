@@ -148,6 +148,13 @@ def test_payload_file_and_ledger(spark, records, tmp_path):
     assert [r["customer_id"] for r in ledger.rows().orderBy("customer_id").collect()] == list("01234")
 
 
+def test_dry_runs_may_count_as_sent(spark, records, tmp_path):
+    ledger, sent = Ledger(spark, f"{tmp_path}/ledger"), []
+    payload = activation.payload(records)
+    activation.deliver(payload, str(tmp_path), "all", ledger, send=sent.append, count_dry_runs=True)
+    assert not sent and ledger.rows().count() == 5
+
+
 def test_empty_payload(spark, records, tmp_path):
     """A run without records leaves an empty payload behind and sends nothing."""
     ledger, sent = Ledger(spark, f"{tmp_path}/ledger"), []
