@@ -11,7 +11,9 @@ from reachmart.functions.cleaning import unit_score
 from reachmart.functions.decisions import CHURN_RESCUE, LAPSE_RISK, next_best_action, rule_risk, template_message
 from reachmart.functions.temporal import parsed_day
 from reachmart.operators import lookups, quality, sent_keys
-from reachmart.plans import activation, delivery, manual_entries, marts, quality_suite, reports, scoring, staging, sync, warehouse
+from reachmart.plans import (
+    activation, delivery, manual_entries, marts, quality_suite, reports, scoring, staging, sync, warehouse,
+)
 from reachmart.session import scratch_dir
 from reachmart.samples import answers, outreach
 from reachmart.sources import outbox
@@ -175,7 +177,6 @@ def materialize_marts(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.row_counts(warehouse.build(SalesTables(spark, folder), AS_OF, store))
 
 
-
 # --- reports ----------------------------------------------------------------------------
 
 
@@ -270,7 +271,6 @@ def next_best_action_rows(tables: SalesTables) -> DataFrame:
     return scores.select("customer_id", "segment", action.alias("a")).select("customer_id", "segment", "a.*")
 
 
-
 @query("rule_risk")
 def rule_risk_rows(tables: SalesTables) -> DataFrame:
     profile = _profile(tables, "customer_id", "nps_score", "events_30d", "lifetime_revenue")
@@ -278,7 +278,6 @@ def rule_risk_rows(tables: SalesTables) -> DataFrame:
     return profile.select("customer_id", risk.alias("risk"))
 
 
-
 @query("template_message")
 def template_message_rows(tables: SalesTables) -> DataFrame:
     profile = marts.with_segment(_profile(tables, "customer_id", "first_name", *marts.SCORE_INPUTS))
@@ -286,7 +285,6 @@ def template_message_rows(tables: SalesTables) -> DataFrame:
     return profile.select("customer_id", message.alias("message"))
 
 
-
 @query("activation_payload")
 def activation_payload(tables: SalesTables) -> DataFrame:
     return outbox.json_columns(_payload(tables))
@@ -332,7 +330,6 @@ def payload_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return outbox.read_payload(spark, path, outbox.json_columns(rows).schema)
 
 
-
 # --- model answers, from stand-ins for the external model -----------------------------
 
 
@@ -343,7 +340,8 @@ def model_risk(tables: SalesTables) -> DataFrame:
 
 @query("model_message")
 def model_message(tables: SalesTables) -> DataFrame:
-    return scoring.model_message(_payload(tables), answers.message_answers()).select("customer_id", "personalized_message")
+    written = scoring.model_message(_payload(tables), answers.message_answers())
+    return written.select("customer_id", "personalized_message")
 
 
 @query("model_sentiment")
@@ -384,7 +382,6 @@ def manual_entries_rows(tables: SalesTables) -> DataFrame:
     return _entries(tables)
 
 
-
 @query("misalign_flag")
 def misalign_flag(tables: SalesTables) -> DataFrame:
     return manual_entries.shifted_columns(_entries(tables))
@@ -434,7 +431,6 @@ def sent_keys_rows(tables: SalesTables) -> DataFrame:
     return sent_keys.sent_keys(outreach.sent_records(tables))
 
 
-
 @query("unsent_by_id")
 def unsent_by_id(tables: SalesTables) -> DataFrame:
     return sent_keys.unsent(_entries(tables), outreach.sent_records(tables), "customer_id")
@@ -493,7 +489,6 @@ def stream_sync(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.rows(except_run="before").drop("source", "run_id")
 
 
-
 # --- data tests -------------------------------------------------------------------------
 
 

@@ -386,10 +386,6 @@ _CORE = {
                  ELSE 'Updated lead score and priority' END
                  || '; Created task: Follow up on ' || template AS steps
         FROM payload""",
-    "dq_not_null": "",
-    "dq_unique": "",
-    "dq_accepted_values": "",
-    "dq_report": "",
 }
 _CORE["segment_context_join"] = _CORE["segment_context_all"]
 _CORE["segment_performance"] = _CORE["segment_performance_join"] = """
@@ -400,11 +396,10 @@ _CORE["segment_performance"] = _CORE["segment_performance_join"] = """
            CAST(sum(CAST(floor(score * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000.0 / count(score) AS score
     FROM scores JOIN profile USING (customer_id) GROUP BY segment"""
 
-_TEST = "SELECT '{test}' AS test, '{model}' AS model, '{column}' AS column_name, failures, failures = 0 AS passed FROM ({count})"
-
 
 def _test(test: str, model: str, column: str, count: str) -> str:
-    return _TEST.format(test=test, model=model, column=column, count=count)
+    names = f"'{test}' AS test, '{model}' AS model, '{column}' AS column_name"
+    return f"SELECT {names}, failures, failures = 0 AS passed FROM ({count})"
 
 
 def _not_null(model: str, table: str, column: str) -> str:

@@ -43,7 +43,8 @@ def run(
 def check(report: DataFrame) -> None:
     failed = report.filter("NOT passed").collect()  # at most one row per test
     if failed:
-        raise DataTestsFailed("; ".join(f"{r['test']} {r['model']}.{r['column_name']}: {r['failures']}" for r in failed))
+        lines = [f"{row['test']} {row['model']}.{row['column_name']}: {row['failures']}" for row in failed]
+        raise DataTestsFailed("; ".join(lines))
 
 
 def validate(spark: SparkSession, outbox_dir: str, name: str = "all") -> DataFrame:

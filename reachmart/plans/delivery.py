@@ -29,7 +29,8 @@ class Client(Protocol):
 def outcomes(records: DataFrame, make_client: Callable[[], Client], tasks: int | None = None) -> DataFrame:
     """Creates a lead per record and then its task. Where the lead fails, the record keeps
     its stand-in id and gets no task. ``tasks`` is the number of clients at work."""
-    rows = outreach_rows(spread(records, tasks)).select("customer_id", F.to_json("lead").alias("lead"), F.to_json("task").alias("task"))
+    texts = [F.to_json(name).alias(name) for name in ("lead", "task")]
+    rows = outreach_rows(spread(records, tasks)).select("customer_id", *texts)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()

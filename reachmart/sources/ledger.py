@@ -27,7 +27,8 @@ class Ledger:
     def record(self, sent: DataFrame, run_id: str) -> None:
         """Writes the rows of a run; called after their delivery."""
         rows = json_columns(sent)
-        rows = rows.select(*[_ledger_column(rows, name) for name in _COLUMNS], F.lit(f"{run_id}_payload").alias("source"))
+        columns = [_ledger_column(rows, name) for name in _COLUMNS]
+        rows = rows.select(*columns, F.lit(f"{run_id}_payload").alias("source"))
         rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={quote(run_id, safe='')}")
 
     def rows(self, except_run: str | None = None) -> DataFrame:

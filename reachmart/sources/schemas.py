@@ -17,7 +17,9 @@ SEED_SCHEMAS = {
 SALES_SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "nation": "n_nationkey int, n_name string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+    ),
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
     "lineitem": (
         "l_suppkey bigint, l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz"
