@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import pickle
+from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reachmart.session import scratch_dir
@@ -53,10 +55,13 @@ def join_by(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
     return joined.drop("_hash")
 
 
-def arrow_map(
-    frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return frame.mapInArrow(function, schema)
+def shared(spark: SparkSession, value) -> Broadcast:
+    """Sends a value of bounded size to the executors, its class along with it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[pa.Table]:

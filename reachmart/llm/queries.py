@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import quality, sharding, simhash
+from reachmart.llm import quality, sharding, simhash, toxicity, windows
 from reachmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,19 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"), shingle=4, radius=4)
 
 
+@query("op3_toxicity")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of all documents, with the nearest labelled examples."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op4_repeated_windows")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Words left in all documents after removing passages of 50 words seen in earlier ones."""
+    cleaned = windows.remove_repeats(table(spark, folder, "documents"), window=50)
+    return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query("op6_interleave")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 8 shards of the corpus' mixture of sources."""

@@ -16,7 +16,7 @@ def interleave(
     seed: str = "0",
     stratum: str = "source",
     order: tuple[str, ...] = ("doc_id", "text"),
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 2_000,
 ) -> DataFrame:
     """``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (from 0, without gaps).
 
