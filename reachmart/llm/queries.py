@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import quality, sharding, simhash, toxicity, windows
+from reachmart.llm import language, quality, sharding, simhash, toxicity, windows
 from reachmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"), shingle=4, radius=4)
 
 
+@query("op2_language")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of all documents, learned outside the held-out fold."""
+    return language.identify(table(spark, folder, "documents"))
+
+
 @query("op3_toxicity")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of all documents, with the nearest labelled examples."""
