@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import language, quality, sharding, simhash, toxicity, windows
+from reachmart.llm import language, quality, sharding, simhash, toxicity, warc, windows
 from reachmart.llm.common import table
+from reachmart.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +73,24 @@ def shard_digest(docs: DataFrame, shards: int = 8) -> DataFrame:
     )
 
 
+@query("op7_warc_segments")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to archives in segments, and what reading them back gives."""
+    pages = table(spark, folder, "pages")
+    path = scratch_dir(spark, "archives")
+    warc.write_archives(pages, path)
+    found = warc.read_archives(spark, path)
+    kind = pages.schema["page_id"].dataType
+    return found.select(
+        F.col("page").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+        "problem",
+    )
+
+
 @query("op9_line_quality")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and verdict of the line-first rules for all documents."""
