@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import language, quality, sharding, simhash, toxicity, warc, windows
+from reachmart.llm import decontam, language, quality, sharding, simhash, toxicity, warc, windows
 from reachmart.llm.common import table
 from reachmart.session import scratch_dir
 
@@ -96,3 +96,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and verdict of the line-first rules for all documents."""
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality.clean_lines(table(spark, folder, "documents").select("doc_id", "text")).select(*columns, "lost_chars")
+
+
+@query("op10_benchmark_leaks")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the benchmark items found in them, copied or reworded."""
+    return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
