@@ -17,7 +17,7 @@ from reachmart.llm.common import join_by, stored
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _SLICES = 256  # parts in which a sketch is merged
 _ROWS = 2  # rows of the sketch; a window is repeated only if all rows say so
-_FEWEST, _MOST = 20, 29  # cells of a row as powers of two; the flags of a row take 1/8 byte a cell
+_FEWEST, _MOST = 20, 30  # cells of a row as powers of two; the flags of a row take 1/8 byte a cell
 
 
 class _Powers:
@@ -132,13 +132,13 @@ def _first_pass(window: int, anchor: int, kind: pa.DataType):
 def _merged(first: DataFrame) -> tuple[int, np.ndarray]:
     """The power of two of a row's cells, and for each row the bits of cells hit twice.
 
-    The width follows the number of anchors, four cells for each, up to a fixed bound. So
-    the flags that go to the driver and to every task never exceed 2 * 64 MB. Beyond the
+    The width follows the number of anchors, 16 cells for each, up to a fixed bound. So
+    the flags that go to the driver and to every task never exceed 2 * 128 MB. Beyond the
     bound more windows are taken for repeated and the second pass sorts them out.
     """
     sketches = first.filter("cells is not null").select("row", "slice", "cells")
     total = sketches.filter("row = 0").agg(F.sum(F.octet_length("cells"))).first()[0] or 0
-    power = min(max((total - 1).bit_length(), _FEWEST), _MOST)
+    power = min(max((4 * total - 1).bit_length(), _FEWEST), _MOST)  # four bytes each
     shift = np.uint32(32 - power)
     size = (1 << power) // _SLICES
 
@@ -264,7 +264,7 @@ def _last_pass(window: int, kind: pa.DataType, with_text: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, window: int = 50, anchor: int = 8, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, window: int = 50, anchor: int = 24, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` of every row.
 
@@ -295,7 +295,9 @@ def remove_repeats(
     copies = join_by(digests, texts, "key").filter("doc_id > first")
     copies = stored(copies.groupBy("doc_id").agg(F.collect_set("key").alias("copies")), "copies")
 
-    named = rows.filter("doc_id is not null").join(copies, "doc_id", "left").select("doc_id", "text", "copies")
+    # The copies grow with the documents, so the texts are dealt by id at every size.
+    named = rows.filter("doc_id is not null").join(copies.hint("merge"), "doc_id", "left")
+    named = named.select("doc_id", "text", "copies")
     nameless = rows.filter("doc_id is null").withColumn("copies", F.lit(None).cast(named.schema["copies"].dataType))
     sent = spark.sparkContext.broadcast(flags)
     second = named.union(nameless).mapInArrow(
