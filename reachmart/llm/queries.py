@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import decontam, language, quality, sharding, simhash, toxicity, warc, windows
+from reachmart.llm import decontam, language, mixing, pii, quality, sharding, simhash, toxicity, warc, windows
 from reachmart.llm.common import table
 from reachmart.session import scratch_dir
 
@@ -47,6 +47,13 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op5_surrogates")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with surrogates for personal data, and how many of each kind."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, key=b"surrogates of the query")
+
+
 @query("op6_interleave")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 8 shards of the corpus' mixture of sources."""
@@ -91,6 +98,16 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_mixture")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Calibrated sampling of all documents, three tenths of the tokens, raked to flattened margins."""
+    mixed = mixing.mix(table(spark, folder, "documents"), budget=0.3, power=0.8, sweeps=8)
+    return mixed.select(
+        "doc_id", "source", "lang", "topic", "n_tokens",
+        F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "sampled",
+    )
+
+
 @query("op9_line_quality")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and verdict of the line-first rules for all documents."""
