@@ -375,16 +375,17 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", tries: int = 4
         raise ValueError(f"surrogates are shared: {clashing}")
     counts = [f"n_{kind}" for kind in KINDS]
     names = [c for c in docs.columns if c not in counts]
+    numbered = {f"_{i}": name for i, name in enumerate(names) if name != text}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = Surrogates(key, attempts)
         for batch in batches:
-            made = [(None, dict.fromkeys(KINDS, 0)) if t is None else replaced(t, maps) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            made = [(None, dict.fromkeys(KINDS, 0)) if t is None else replaced(t, maps) for t in texts]
             arrays = [*batch.columns[:-1], pa.array([t for t, _ in made], pa.string())]
             arrays += [pa.array([n[kind] for _, n in made], pa.int32()) for kind in KINDS]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*carried.columns[:-1], "_text", *counts])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*numbered, "_text", *counts])
 
-    numbered = {f"_{i}": name for i, name in enumerate(names) if name != text}
     carried = docs.select(*[F.col(name).alias(n) for n, name in numbered.items()], F.col(text).alias("_text"))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in carried.schema]
     schema = ", ".join([*fields, *[f"{c} int" for c in counts]])
