@@ -44,6 +44,22 @@ def unit(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def numbered(docs: DataFrame, without: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str]]:
+    """The table with its columns under numbers, so that none can clash with a column that
+    an operator adds; and the number of each name that is not in ``without``."""
+    place = {name: f"_{i}" for i, name in enumerate(docs.columns) if name not in without}
+    return docs.select(*[quoted(name).alias(number) for name, number in place.items()]), place
+
+
+def renamed(frame: DataFrame, place: dict[str, str], *added: str) -> DataFrame:
+    """The reverse of ``numbered``, with the added columns behind."""
+    return frame.select(*[F.col(number).alias(name) for name, number in place.items()], *added)
+
+
 def join_by(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Joins a skewed table to one with a row per key.
 

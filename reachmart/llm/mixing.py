@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reachmart.llm.common import BREAKS, stored, unit
+from reachmart.llm.common import BREAKS, numbered, renamed, stored, unit
 
 # Topics by the form of the text: the first phrase list that a text contains names it.
 TOPICS = [
@@ -132,6 +132,20 @@ def drawn(doc_id: Column, text: Column, seed: str) -> Column:
     return unit(seed, F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
 
 
+RESULTS = ("topic", "n_tokens", "weight", "probability", "sampled")
+
+
+def _mixed(docs: DataFrame, place: dict[str, str], budget: float, power: float, sweeps: int, seed: str) -> DataFrame:
+    """Numbered columns and the results."""
+    doc_id, text, source, lang = (F.col(place[name]) for name in ("doc_id", "text", "source", "lang"))
+    # The draw comes before the join, which then needs no text for it.
+    frame = docs.withColumns(
+        {"topic": topic(text), "n_tokens": words(text), "source": source, "lang": lang, "_draw": drawn(doc_id, text, seed)}
+    )
+    chance = with_probability(frame, ["source", "lang", "topic"], F.col("n_tokens"), budget, power, sweeps)
+    return chance.withColumn("sampled", F.col("_draw") < F.col("probability"))
+
+
 def mix(docs: DataFrame, budget: float = 0.5, power: float = 0.5, sweeps: int = 10, seed: str = "mix") -> DataFrame:
     """Every row with ``topic``, ``n_tokens``, ``weight``, ``probability`` and ``sampled``.
 
@@ -140,17 +154,11 @@ def mix(docs: DataFrame, budget: float = 0.5, power: float = 0.5, sweeps: int =
     * Rows that repeat an id are drawn alike. An empty table stays empty.
     * Columns named like a result are replaced; others pass through.
     """
-    results = ("topic", "n_tokens", "weight", "probability", "sampled")
-    frame = docs.drop(*results).withColumns({"topic": topic(F.col("text")), "n_tokens": words(F.col("text"))})
-    chance = with_probability(frame, ["source", "lang", "topic"], F.col("n_tokens"), budget, power, sweeps)
-    number = drawn(F.col("doc_id"), F.col("text"), seed)
-    return chance.drop("_tokens").withColumn("sampled", number < F.col("probability"))
+    rows, place = numbered(docs, RESULTS)
+    return renamed(_mixed(rows, place, budget, power, sweeps, seed), place, *RESULTS)
 
 
 def sample(docs: DataFrame, budget: float = 0.5, power: float = 0.5, sweeps: int = 10, seed: str = "mix") -> DataFrame:
     """The sampled rows of ``docs`` with the same columns."""
-    names = docs.columns
-    numbered = {f"_{i}": F.col(name) for i, name in enumerate(names)}
-    carried = docs.select("doc_id", "text", "source", "lang", *[c.alias(n) for n, c in numbered.items()])
-    kept = mix(carried, budget, power, sweeps, seed).filter("sampled")
-    return kept.select(*[F.col(n).alias(name) for n, name in zip(numbered, names)])
+    rows, place = numbered(docs)
+    return renamed(_mixed(rows, place, budget, power, sweeps, seed).filter("sampled"), place)

@@ -12,6 +12,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from reachmart.llm.common import numbered, renamed
+
 KINDS = ["email", "phone", "ip", "ssn", "card", "iban", "secret", "name"]
 
 # Given names by gender and script: what is looked for, and what replaces them.
@@ -374,8 +376,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", tries: int = 4
     else:
         raise ValueError(f"surrogates are shared: {clashing}")
     counts = [f"n_{kind}" for kind in KINDS]
-    names = [c for c in docs.columns if c not in counts]
-    numbered = {f"_{i}": name for i, name in enumerate(names) if name != text}
+    rows, place = numbered(docs, tuple(counts))
+    others = [number for name, number in place.items() if name != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = Surrogates(key, attempts)
@@ -384,10 +386,9 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", tries: int = 4
             made = [(None, dict.fromkeys(KINDS, 0)) if t is None else replaced(t, maps) for t in texts]
             arrays = [*batch.columns[:-1], pa.array([t for t, _ in made], pa.string())]
             arrays += [pa.array([n[kind] for _, n in made], pa.int32()) for kind in KINDS]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*numbered, "_text", *counts])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*others, "_text", *counts])
 
-    carried = docs.select(*[F.col(name).alias(n) for n, name in numbered.items()], F.col(text).alias("_text"))
+    carried = rows.select(*others, F.col(place[text]).alias("_text"))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in carried.schema]
-    schema = ", ".join([*fields, *[f"{c} int" for c in counts]])
-    place = {name: n for n, name in numbered.items()} | {text: "_text"}
-    return carried.mapInArrow(run, schema).select(*[F.col(place[name]).alias(name) for name in names], *counts)
+    made = carried.mapInArrow(run, ", ".join([*fields, *[f"{c} int" for c in counts]]))
+    return renamed(made, place | {text: "_text"}, *counts)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reachmart.llm.common import BREAKS
+from reachmart.llm.common import BREAKS, numbered, renamed
 
 SYMBOLS = "[#*$%&|<>]"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
+RESULTS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars", "base_failed", "clean_text", "kept"
+)
 
 # A line of prose ends in one of these.
 ENDINGS = [".", "!", "?", "…", ":", ";", ",", '"', "'", "”", "’", "»", ")", "。", "！", "？", "।", "؟"]
@@ -112,7 +115,9 @@ def clean_lines(docs: DataFrame, text: str = "text", most_lost: float = 0.5) ->
     * Repeated rows get the same result each. Columns named like a result are replaced,
       and others pass through.
     """
-    frame = with_base_counts(docs, text)
+    rows, place = numbered(docs, RESULTS)
+    text = place[text]
+    frame = with_base_counts(rows, text)
     frame = frame.withColumn("_good", F.transform("_lines", lambda line: ~_has_word(line) | line_passes(line)))
     lost = F.zip_with("_lines", "_good", lambda line, good: F.when(good, 0).otherwise(F.char_length(line)))
     kept_lines = F.filter("_lines", lambda line, i: F.get("_good", i))
@@ -126,4 +131,4 @@ def clean_lines(docs: DataFrame, text: str = "text", most_lost: float = 0.5) ->
     )
     size = F.coalesce(F.char_length(F.col(text)), F.lit(0))
     kept = ~F.col("base_failed") & (F.col("lost_chars") <= size * most_lost)
-    return frame.withColumn("kept", kept).drop("_lines", "_good")
+    return renamed(frame.withColumn("kept", kept), place, *RESULTS)

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reachmart.llm.common import join_by, stored
-
-# What the operator adds for its own use; a column of this name in the input is dropped.
-_OWN = ["_key", "_h", "_bucket", "_before", "_n", "_frac"]
+from reachmart.llm.common import join_by, numbered, renamed, stored
 
 
 def interleave(
@@ -35,9 +32,10 @@ def interleave(
       other. A null in an ``order`` column is a value like any other.
     * Columns named ``shard`` and ``slot`` are replaced. An empty table stays empty.
     """
-    names = [c for c in docs.columns if c not in ("shard", "slot", *_OWN)]
-    source = F.col(stratum).cast("string")
-    rows = docs.select(*names).withColumns(
+    rows, place = numbered(docs, ("shard", "slot"))
+    names, order = list(place.values()), tuple(place[name] for name in order)
+    source = F.col(place[stratum]).cast("string")
+    rows = rows.withColumns(
         {
             "_key": F.coalesce(F.concat(F.lit("="), source), F.lit("")),
             "_h": F.xxhash64(F.lit(seed), *order),
@@ -66,13 +64,12 @@ def interleave(
     sizes = ranked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     offsets = sizes.select("_bucket", _rows_before(Window.orderBy("_bucket")).alias("_before"))
     within = Window.partitionBy("_bucket").orderBy("_frac", F.xxhash64(F.lit(seed), "_key"), "_key", "_h", *order)
-    place = F.col("_before") + F.row_number().over(within) - 1
-    placed = join_by(ranked, offsets, "_bucket").withColumn("_place", place)
-    shard = F.floor(F.col("_place") * shards / F.lit(total)).cast("int")
-    if total:
-        shard = F.expr(f"cast(_place * {shards} div {total} as int)")
+    position = F.col("_before") + F.row_number().over(within) - 1
+    placed = join_by(ranked, offsets, "_bucket").withColumn("_place", position)
+    shard = F.expr(f"cast(_place * {shards} div {max(total, 1)} as int)")
     start = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
-    return placed.withColumn("shard", shard).withColumn("slot", F.col("_place") - start).select(*names, "shard", "slot")
+    cut = placed.withColumn("shard", shard).withColumn("slot", F.col("_place") - start)
+    return renamed(cut, place, "shard", "slot")
 
 
 def _fraction(hashed: Column) -> Column:

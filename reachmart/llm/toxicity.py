@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from reachmart.llm.common import held_out, learnable, received, shared, stored
+from reachmart.llm.common import held_out, learnable, numbered, received, renamed, shared, stored
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 STEM = 5  # letters of a word's stem term
@@ -327,9 +327,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` whose score is below one half, with the same columns."""
-    names = docs.columns
-    # Columns travel under numbers, so that none can clash with a result.
-    numbered = {f"_{i}": F.col(name) for i, name in enumerate(names)}
-    carried = docs.select("doc_id", "text", *[c.alias(n) for n, c in numbered.items()])
-    kept = score(carried, train(docs, labels, settings), *numbered).filter("predicted = 0")
-    return kept.select(*[F.col(n).alias(name) for n, name in zip(numbered, names)])
+    rows, place = numbered(docs)
+    rows = rows.withColumns({"doc_id": F.col(place["doc_id"]), "text": F.col(place["text"])})
+    kept = score(rows, train(docs, labels, settings), *place.values()).filter("predicted = 0")
+    return renamed(kept, place)
