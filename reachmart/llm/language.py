@@ -32,7 +32,7 @@ class Settings:
     longest: int = 8
     steps: int = 4
     smoothing: float = 0.05
-    cache: int = 300_000
+    cache: int = 200_000
 
 
 def default_vocabulary() -> str:
@@ -229,16 +229,16 @@ class Model:
             self.scores = np.concatenate([self.scores, log_likelihoods(new, self.pieces, self.chance)])
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        split = [_LETTERS.findall((t or "").lower()) for t in texts]
         if not self.languages:
             return [(UNKNOWN_LANGUAGE, 0.0)] * len(texts)
         results: list[tuple[str, float]] = []
         part: list[list[str]] = []
         size = 0
-        for i, words in enumerate(split):
-            part.append(words)
-            size += len(words)
-            if size > 200_000 or i == len(split) - 1:
+        for i, value in enumerate(texts):
+            # A few texts at a time are split into words, which take many times their size.
+            part.append(_LETTERS.findall((value or "").lower()))
+            size += len(part[-1])
+            if size > 100_000 or i == len(texts) - 1:
                 results += self._predict(part)
                 part, size = [], 0
         return results
