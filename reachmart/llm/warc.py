@@ -10,11 +10,12 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reachmart.llm.common import join_by, stored
 
-_URN = "<urn:page:%s>"
+_URN = "<urn:page:%s>"  # a page; what follows a # tells records of one page apart
 _DATE = "2024-01-01T00:00:00Z"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = "\r\n\r\n"
@@ -43,13 +44,15 @@ def _record(kind: str, record_id: str, block: bytes, **fields: str | int | None)
     return "\r\n".join(lines).encode() + _END.encode() + block
 
 
-def records(page: str | None, url: str | None, payload: bytes, refers_to: str | None, chunk: int, segment: int) -> Iterator[bytes]:
+def records(
+    page: str | None, url: str | None, payload: bytes, refers_to: str | None, chunk: int, segment: int, row: int = 0
+) -> Iterator[bytes]:
     """The records of one page, without the two line ends that close each.
 
     A block above ``segment`` bytes becomes a response with the first part and
     continuations with the others; the last of them states the length of the whole.
     """
-    own = _URN % quote(page, safe="") if page is not None else "<urn:page>"
+    own = f"<urn:page:{quote(page, safe='')}#{row}>" if page is not None else f"<urn:page#{row}>"
     common = {
         "WARC_Target_URI": quote(url, safe=":/?#[]@!$&'()*+,;=%~") if url else None,
         "WARC_Payload_Digest": f"sha1:{digest(payload)}",
@@ -106,11 +109,13 @@ def write_archives(
     named = joined.select(F.col("page_id").cast("string").alias("page"), "url", "payload", refers.alias("refers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             out, size = [], 0
             for row in zip(*batch.columns):
                 page, url, payload, refers_to = (value.as_py() for value in row)
-                for made in records(page, url, payload, refers_to, chunk, segment):
+                number += 1
+                for made in records(page, url, payload, refers_to, chunk, segment, number):
                     out.append(made)
                     size += len(made)
                 if size > 1 << 25:
@@ -187,7 +192,7 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _page(name: str | None) -> str | None:
-    inner = (name or "").removeprefix("<urn:page").removesuffix(">")
+    inner = (name or "").removeprefix("<urn:page").removesuffix(">").partition("#")[0]
     return unquote(inner[1:]) if inner.startswith(":") else None
 
 

@@ -1,0 +1,96 @@
+import base64
+import gzip
+import hashlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from reachmart.llm import warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def plain(rows, least=0):
+    heads = {}
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        if len(payload) >= least and i is not None:
+            heads[payload] = max(heads.get(payload, i), i)
+    result = []
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        head = heads.get(payload)
+        other = head is not None and i != head
+        code = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        result.append((i, len(payload), code, "revisit" if other else "response", head if other else None, None))
+    return sorted(result, key=str)
+
+
+def found(frame):
+    keys = ["payload_bytes", "payload_digest", "record_type"]
+    number = lambda v: None if v is None else int(v)
+    return sorted(((number(r.page), *[r[k] for k in keys], number(r.refers_to), r.problem) for r in frame.collect()), key=str)
+
+
+TRICKY = "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n0\r\n\r\n" + "é日本" * 50
+ROWS = [
+    (1, "http://a.example/x?y=1#z", TRICKY), (2, "http://b", TRICKY), (3, None, None), (4, "u\r\nX: y", ""), (5, "http://c", "x" * 100_000),
+    (6, "http://d é", "small"), (7, "", "small"), (None, "http://e", "small"), (None, None, "alone"), (8, "http://f", "tail\r\n"),
+    (9, "http://g", "twice"), (9, "http://g", "twice"),
+]
+
+
+@pytest.mark.parametrize("chunk,segment,least", [(8192, 65536, 0), (7, 100, 0), (1000, 333, 6)])
+def test_round_trip(spark, tmp_path, chunk, segment, least):
+    pages = spark.createDataFrame(ROWS, PAGES).select("*", *[F.lit("x").alias(c) for c in ("key", "head", "payload", "page")])
+    warc.write_archives(pages.repartition(3), str(tmp_path / "out"), least, chunk, segment, per_file=5)
+    assert found(warc.read_archives(spark, str(tmp_path / "out"))) == plain(ROWS, least)
+
+
+def test_empty(spark, tmp_path):
+    warc.write_archives(spark.createDataFrame([], PAGES), str(tmp_path / "out"))
+    assert warc.read_archives(spark, str(tmp_path / "out")).collect() == []
+
+
+def write(path, records):
+    with gzip.open(path, "wb") as out:
+        for record in records:
+            out.write(record + b"\r\n\r\n")
+
+
+def test_segments_in_any_order_and_archive_and_what_is_wrong(spark, tmp_path):
+    whole = list(warc.records("1", "u", b"one" * 100, None, 20, 90))
+    short = list(warc.records("2", "u", b"two" * 100, None, 20, 90))
+    length = list(warc.records("3", "u", b"three" * 100, None, 20, 90))
+    length[-1] = length[-1].replace(b"Total-Length: ", b"Total-Length: 1")
+    (frame,) = warc.records("4", "u", b"four", None, 20, 9_000)
+    (wrong,) = warc.records("5", "u", b"five", None, 20, 9_000)
+    revisit = list(warc.records("6", "u", b"six", "99", 20, 9_000))
+    write(tmp_path / "a.warc.gz", whole[::-2] + short[1:] + [frame.replace(b"4\r\nfour", b"9\r\nfour")])
+    write(tmp_path / "b.warc.gz", whole[-2::-2] + length + [wrong.replace(b"five", b"fixe")] + revisit)
+    got = {r.page: (r.payload_bytes, r.problem) for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert got["1"] == (300, None)
+    assert got["2"][1] == "segments are missing or repeated"
+    assert got["3"][1] == "total length differs"
+    assert got["4"][1] == "chunk size is missing"
+    assert got["5"] == (4, "payload digest differs")
+    assert got["6"] == (None, "revisit of nothing")
+
+
+@pytest.mark.parametrize("body", [b"", b"3\r\nabc", b"x\r\n", b"3\r\nabcd\r\n0\r\n\r\n", b"0\r\n", b"-1\r\n\r\n"])
+def test_broken_chunks(body):
+    with pytest.raises(ValueError):
+        warc.dechunk(body)
+
+
+def test_chunks():
+    assert warc.dechunk(b"3;x=y\r\nabc\r\nA\r\n0123456789\r\n0\r\nT: v\r\n\r\n") == b"abc0123456789"
+    for size in (1, 3, 100):
+        assert warc.dechunk(warc.chunked(b"some bytes\r\n", size)) == b"some bytes\r\n"
+
+
+def test_cut_archive_fails():
+    (record,) = warc.records("1", "u", b"abc", None, 20, 9_000)
+    with pytest.raises(ValueError):
+        list(warc.parse(io.BytesIO(record[:-3])))
