@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from reachmart.llm.common import join_by, stored
 
@@ -79,39 +81,22 @@ def _cells(anchors: np.ndarray) -> list[np.ndarray]:
     return [(x >> np.uint64(32)).astype(np.uint32) for x in (again, again << np.uint64(32))][:_ROWS]
 
 
-def _digest(text: bytes) -> tuple[int, int]:
-    raw = hashlib.sha256(text).digest()
-    return int.from_bytes(raw[:8], "big", signed=True), int.from_bytes(raw[8:16], "big", signed=True)
-
-
 # --- first pass: a sketch of each partition, merged ---------------------------------------
 
-_FIRST = "doc_id {kind}, hi long, lo long, row int, slice int, cells binary"
 
-
-def _first_pass(window: int, anchor: int, kind: pa.DataType):
-    """Digest of every text; and per batch the cells of the documents' anchors, in slices."""
-    fields = [("doc_id", kind), ("hi", pa.int64()), ("lo", pa.int64()), ("row", pa.int32()), ("slice", pa.int32())]
-    schema = pa.schema([*fields, ("cells", pa.binary())])
+def _first_pass(window: int, anchor: int):
+    """Per batch the cells of the documents' anchors, cut into slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _Powers()
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            found, digests = [], []
-            for value in batch.column(1):
-                text = value.as_py() or b""
-                digests.append(_digest(text))
-                words = text.split()
+            found = [np.zeros(0, np.uint64)]
+            for value in batch.column(0):
+                words = unpack(value.as_py()).split()
                 if len(words) >= window:
                     powers.reach(len(words))
                     found.append(np.unique(_anchors(_word_hashes(words), window, anchor, powers)))
-            n = batch.num_rows
-            digests = np.array(digests, np.int64).reshape(-1, 2)
-            none = pa.nulls(n, pa.int32())
-            columns = [batch.column(0), pa.array(digests[:, 0]), pa.array(digests[:, 1]), none, none]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.binary())], schema=schema)
-            if not found:
-                continue
             rows, slices, blobs = [], [], []
             for row, cells in enumerate(_cells(np.concatenate(found))):
                 cells.sort()
@@ -121,22 +106,19 @@ def _first_pass(window: int, anchor: int, kind: pa.DataType):
                         rows.append(row)
                         slices.append(part)
                         blobs.append(cells[edges[part] : edges[part + 1]].tobytes())
-            n = len(rows)
-            columns = [pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-            columns += [pa.array(rows, pa.int32()), pa.array(slices, pa.int32()), pa.array(blobs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            arrays = [pa.array(rows, pa.int32()), pa.array(slices, pa.int32()), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "slice", "cells"])
 
     return run
 
 
-def _merged(first: DataFrame) -> tuple[int, np.ndarray]:
+def _merged(sketches: DataFrame) -> tuple[int, np.ndarray]:
     """The power of two of a row's cells, and for each row the bits of cells hit twice.
 
     The width follows the number of anchors, 16 cells for each, up to a fixed bound. So
     the flags that go to the driver and to every task never exceed 2 * 128 MB. Beyond the
     bound more windows are taken for repeated and the second pass sorts them out.
     """
-    sketches = first.filter("cells is not null").select("row", "slice", "cells")
     total = sketches.filter("row = 0").agg(F.sum(F.octet_length("cells"))).first()[0] or 0
     power = min(max((4 * total - 1).bit_length(), _FEWEST), _MOST)  # four bytes each
     shift = np.uint32(32 - power)
@@ -173,65 +155,117 @@ def _flags(key: tuple[int, int], counts: np.ndarray) -> pa.RecordBatch:
 # --- second pass: windows that the sketch takes for repeated ------------------------------
 
 _SECOND = (
-    "uid long, doc_id {kind}, n_words long, n_removed long, kept_sha256 string, text binary, "
-    "hi array<long>, lo array<long>, at array<int>"
+    "uid long, doc_id {kind}, n_words long, n_removed long, kept_sha256 string, packed binary, hi long, lo int, at int"
 )
 
 
 def _second_pass(window: int, anchor: int, power: int, flags, kind: pa.DataType):
-    """Final rows of documents without such windows; the others with text and windows."""
+    """A row per document, final unless it has such windows; then rows for the windows.
+
+    The windows of a partition are grouped there first. Where a smaller id of the same
+    partition has the window, the word positions are settled (``hi`` is null); of the rest
+    each window goes on once, however many documents of the partition share it.
+    """
     fields = [("uid", pa.int64()), ("doc_id", kind), ("n_words", pa.int64()), ("n_removed", pa.int64())]
-    fields += [("kept_sha256", pa.string()), ("text", pa.binary())]
-    fields += [("hi", pa.list_(pa.int64())), ("lo", pa.list_(pa.int64())), ("at", pa.list_(pa.int32()))]
-    schema = pa.schema(fields)
+    fields += [("kept_sha256", pa.string()), ("packed", pa.binary()), ("hi", pa.int64()), ("lo", pa.int32())]
+    schema = pa.schema([*fields, ("at", pa.int32())])
     shift = np.uint32(32 - power)
 
     def repeated(anchors: np.ndarray) -> np.ndarray:
         maybe = np.ones(len(anchors), bool)
         for row, cells in enumerate(_cells(anchors)):
             cells = cells >> shift
-            maybe &= (flags.value[row][cells >> np.uint32(3)] >> (cells & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
+            bits = flags.value[row][cells >> np.uint32(3)] >> (cells & np.uint32(7)).astype(np.uint8)
+            maybe &= (bits & 1).astype(bool)
         return maybe
 
+    def rows_of(**columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        arrays = [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema]
+        arrays = [a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(arrays, schema)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _Powers()
-        uid = TaskContext.get().partitionId() << 40
+        unpack = zstandard.ZstdDecompressor().decompress
+        ids, uids, keys, places = [], [], [], []  # of the documents with windows
         for batch in batches:
-            out = {name: [] for name in schema.names}
-            for text, copies in zip(batch.column(1), batch.column(2)):
-                text, copies = text.as_py() or b"", copies.as_py() or []
-                words = text.split()
-                n = len(words)
-                gone, hits = 0, ()
-                if n >= window:
+            sizes, gone, kept, packed = [], [], [], []
+            for uid, doc_id, copy, raw in zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3)):
+                raw = raw.as_py()
+                words = unpack(raw).split()
+                n, hits = len(words), ()
+                if n >= window and not copy:
                     powers.reach(n)
-                    if copies and _digest(text) in {(c["hi"], c["lo"]) for c in copies}:
-                        gone = n
-                    else:
-                        hashes = _word_hashes(words)
-                        hits = np.flatnonzero(repeated(_anchors(hashes, window, anchor, powers)))
-                uid += 1
-                out["uid"].append(uid)
-                out["n_words"].append(n)
-                out["n_removed"].append(gone)
-                if len(hits):
-                    out["kept_sha256"].append(None)
-                    out["text"].append(text)
-                    for which, name in enumerate(("hi", "lo")):
-                        found = _rolled(hashes[:, which], which, window, powers)[hits]
-                        out[name].append(found.view(np.int64))
-                    out["at"].append(hits.astype(np.int32))
-                else:
-                    out["kept_sha256"].append(hashlib.sha256(b"" if gone else b" ".join(words)).hexdigest())
-                    for name in ("text", "hi", "lo", "at"):
-                        out[name].append(None)
-            out["doc_id"] = batch.column(0)
-            arrays = [out[f.name] if f.name == "doc_id" else pa.array(out[f.name], f.type) for f in schema]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+                    hashes = _word_hashes(words)
+                    hits = np.flatnonzero(repeated(_anchors(hashes, window, anchor, powers)))
+                removed = n if copy and n >= window else 0
+                sizes.append(n)
+                gone.append(removed)
+                kept.append(hashlib.sha256(b"" if removed else b" ".join(words)).hexdigest())
+                packed.append(raw if len(hits) and doc_id is not None else None)
+                if packed[-1] is not None:
+                    ids.append(doc_id)
+                    uids.append(uid)
+                    both = [_rolled(hashes[:, k], k, window, powers)[hits] for k in (0, 1)]
+                    keys.append(np.stack([both[0].view(np.int64), (both[1] >> np.uint64(32)).astype(np.int64)], axis=1))
+                    places.append(hits.astype(np.int32))
+            columns = {"uid": batch.column(0), "doc_id": batch.column(1), "n_words": sizes, "n_removed": gone}
+            yield rows_of(**columns, kept_sha256=kept, packed=packed)
+        if not ids:
+            return
+        order = sorted(range(len(ids)), key=lambda i: ids[i])
+        rank = np.zeros(len(ids), np.int64)
+        rank[order] = np.cumsum([0] + [ids[a] != ids[b] for a, b in zip(order, order[1:])])
+        owner = np.repeat(np.arange(len(ids)), [len(p) for p in places])
+        key, at = np.concatenate(keys), np.concatenate(places)
+        by = np.lexsort((rank[owner], key[:, 1], key[:, 0]))
+        owner, key, at = owner[by], key[by], at[by]
+        new = np.r_[True, (key[1:] != key[:-1]).any(axis=1)]
+        least = rank[owner][new][np.cumsum(new) - 1]
+        later = rank[owner] > least
+        uids, ids = np.array(uids, np.int64), pa.array(ids, kind)
+        sent = np.flatnonzero(later)
+        for start in range(0, len(sent), 1 << 18):
+            some = sent[start : start + (1 << 18)]
+            yield rows_of(uid=uids[owner[some]], at=at[some])
+        # A window that only repeats within one document of this partition goes on once for
+        # each place, as any of them may be covered.
+        sent = np.flatnonzero(~later)
+        for start in range(0, len(sent), 1 << 18):
+            some = sent[start : start + (1 << 18)]
+            low = (key[some, 1] - (1 << 31)).astype(np.int32)
+            columns = {"uid": uids[owner[some]], "doc_id": ids.take(pa.array(owner[some])), "hi": key[some, 0]}
+            yield rows_of(**columns, lo=low, at=at[some])
 
     return run
 
 
+def _later_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by window and id, those behind the window's first id.
+
+    Rows stream through; of a window only its key and first id are held.
+    """
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        hi, lo = (batch.column(k).to_numpy() for k in (0, 1))
+        ids = batch.column(2)
+        same = np.r_[False, (hi[1:] == hi[:-1]) & (lo[1:] == lo[:-1])]
+        heads = np.flatnonzero(~same)
+        first = ids.take(pa.array(heads[np.cumsum(~same) - 1]))
+        later = pc.not_equal(ids, first).to_numpy(zero_copy_only=False)
+        if last is not None and (hi[0], lo[0]) == last[:2]:
+            end = int(heads[1]) if len(heads) > 1 else len(hi)
+            later[:end] = pc.not_equal(ids.slice(0, end), pa.scalar(last[2], ids.type)).to_numpy(zero_copy_only=False)
+            head = last[2] if end == len(hi) else ids[int(heads[-1])].as_py()
+        else:
+            head = ids[int(heads[-1])].as_py()
+        last = hi[-1], lo[-1], head
+        yield batch.filter(pa.array(later)).select(["uid", "at"])
+
+
 def _covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     """Which of ``n`` words lie in a window that begins at one of ``starts``."""
     edge = np.zeros(n + 1, np.int64)
@@ -240,41 +274,64 @@ def _covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _last_pass(window: int, kind: pa.DataType, with_text: bool):
+def _last_pass(window: int, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             counts, gone, kept, texts = [], [], [], []
-            for text, starts in zip(batch.column(1), batch.column(2)):
-                words = text.as_py().split()
+            for packed, starts in zip(batch.column(1), batch.column(2)):
+                words = unpack(packed.as_py()).split()
                 starts = np.array(starts.as_py() or [], np.int64)
                 covered = _covered(len(words), starts, window)
                 rest = b" ".join([w for w, c in zip(words, covered.tolist()) if not c])
                 counts.append(len(words))
                 gone.append(int(covered.sum()))
                 kept.append(hashlib.sha256(rest).hexdigest())
-                texts.append(rest)
+                texts.append(rest if len(starts) else None)
             arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
-            names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-            if with_text:
-                arrays.append(pa.array(texts, pa.binary()))
-                names.append("kept")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.binary())], names=names)
 
     return run
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the shuffle and the stored copy."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        packed = pa.array([pack(t.as_py()) for t in batch.column(2)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["doc_id", "key", "packed"])
+
+
+def _without_copies(docs: DataFrame, kind: str, text: str, doc_id: str) -> DataFrame:
+    """``uid``, ``doc_id``, ``copy`` (a smaller id has the same text) and the packed text."""
+    bytes_of = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(bytes_of, 256)).alias("key"), bytes_of.alias("text"))
+    digests = rows.filter("doc_id is not null").select("doc_id", "key")
+    texts = digests.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    texts = stored(texts.filter("first < last").select("key", "first"), "texts")
+    copies = join_by(digests, texts, "key").filter("doc_id > first").select("doc_id", "key").distinct()
+    # The copies grow with the documents, so the texts are dealt by id at every size.
+    copies = stored(copies, "copies").withColumn("copy", F.lit(True)).hint("merge")
+    packed = rows.mapInArrow(_pack, f"doc_id {kind}, key binary, packed binary")
+    joined = packed.join(copies, ["doc_id", "key"], "left")
+    uid = F.monotonically_increasing_id()
+    return stored(joined.select(uid.alias("uid"), "doc_id", F.coalesce("copy", F.lit(False)).alias("copy"), "packed"), "documents")
+
+
 def remove_repeats(
     docs: DataFrame, window: int = 50, anchor: int = 24, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` of every row.
 
     A word goes if it lies in a window of ``window`` words that also starts in a document
-    with a smaller id. The first pass counts in a count-min sketch, once per document, the
-    anchor of each window: the least hash of the ``anchor``-word runs in it. The second
-    pass groups the windows whose anchor may have been seen twice by a 128-bit hash.
-    Whole copies of a text with a smaller id are settled by their digest beforehand, so a
-    large group of copies does not multiply windows. ``kept_text`` is null where it can be
-    read off the input: nothing or everything was removed.
+    with a smaller id. Whole copies of a text with a smaller id are settled first, by their
+    digest. The first pass then counts in a count-min sketch, once per document, the anchor
+    of each window: the least hash of the ``anchor``-word runs in it. The second pass
+    groups the windows whose anchor may have been seen twice by a 96-bit hash, within each
+    partition and then across, so that a passage in very many documents moves once for each
+    partition. ``kept_text`` is null where it can be read off the input: nothing or
+    everything was removed.
 
     * A null or empty text has no words. A null id is smaller than none and none is
       smaller than it: such a row neither loses words nor takes any.
@@ -282,48 +339,28 @@ def remove_repeats(
     * An empty table gives an empty result. Only the two named columns are read.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    arrow = _arrow_type(rows)
-    first = stored(rows.mapInArrow(_first_pass(window, anchor, arrow), _FIRST.format(kind=kind)), "sketches")
-    power, flags = _merged(first)
-
-    digests = first.filter("cells is null and doc_id is not null").select("doc_id", "hi", "lo")
-    digests = digests.withColumn("key", F.struct("hi", "lo"))
-    texts = digests.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    texts = stored(texts.filter("first < last").select("key", "first"), "texts")
-    copies = join_by(digests, texts, "key").filter("doc_id > first")
-    copies = stored(copies.groupBy("doc_id").agg(F.collect_set("key").alias("copies")), "copies")
-
-    # The copies grow with the documents, so the texts are dealt by id at every size.
-    named = rows.filter("doc_id is not null").join(copies.hint("merge"), "doc_id", "left")
-    named = named.select("doc_id", "text", "copies")
-    nameless = rows.filter("doc_id is null").withColumn("copies", F.lit(None).cast(named.schema["copies"].dataType))
-    sent = spark.sparkContext.broadcast(flags)
-    second = named.union(nameless).mapInArrow(
-        _second_pass(window, anchor, power, sent, arrow), _SECOND.format(kind=kind)
-    )
-    second = stored(second, "windows")
-
-    pending = second.filter("text is not null")
-    found = pending.select("uid", "doc_id", F.explode(F.arrays_zip("hi", "lo", "at")).alias("w"))
-    found = found.select("uid", "doc_id", "w.hi", "w.lo", "w.at").filter("doc_id is not null")
-    groups = found.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    groups = stored(groups.filter("first < last").select("hi", "lo", "first"), "repeats")
-    repeats = found.join(groups, ["hi", "lo"]).filter("doc_id > first")
-    starts = repeats.groupBy("uid").agg(F.collect_list("at").alias("starts"))
-    last = pending.select("uid", "doc_id", "text").join(starts, "uid", "left").select("doc_id", "text", "starts")
-    settled = last.mapInArrow(
-        _last_pass(window, arrow, True),
+    arrow = to_arrow_type(docs.schema[doc_id].dataType)
+    texts = _without_copies(docs, kind, text, doc_id)
+    sketches = texts.filter("not copy").select("packed")
+    sketches = stored(sketches.mapInArrow(_first_pass(window, anchor), "row int, slice int, cells binary"), "sketches")
+    power, flags = _merged(sketches)
+
+    sent = docs.sparkSession.sparkContext.broadcast(flags)
+    run = _second_pass(window, anchor, power, sent, arrow)
+    second = stored(texts.mapInArrow(run, _SECOND.format(kind=kind)), "windows")
+
+    windows = second.filter("hi is not null").select("hi", "lo", "doc_id", "uid", "at")
+    windows = windows.repartition("hi", "lo").sortWithinPartitions("hi", "lo", "doc_id")
+    places = windows.mapInArrow(_later_places, "uid long, at int")
+    places = places.union(second.filter("hi is null and at is not null").select("uid", "at"))
+    starts = places.groupBy("uid").agg(F.collect_list("at").alias("starts"))
+    rows = second.filter("at is null")
+    last = rows.filter("packed is not null").select("uid", "doc_id", "packed").join(starts, "uid", "left")
+    settled = last.select("doc_id", "packed", "starts").mapInArrow(
+        _last_pass(window, arrow),
         f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept binary",
     )
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     settled = settled.select(*columns, F.col("kept").cast("string").alias("kept_text"))
-    final = second.filter("text is null").select(*columns, F.lit(None).cast("string").alias("kept_text"))
+    final = rows.filter("packed is null").select(*columns, F.lit(None).cast("string").alias("kept_text"))
     return final.union(settled)
-
-
-def _arrow_type(rows: DataFrame) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(rows.schema["doc_id"].dataType)
