@@ -185,12 +185,12 @@ def expected_counts(
     for start in range(0, len(order), 2_000):
         part = np.array(order[start : start + 2_000])
         lengths, numbers = pieces.ends([words[i] for i in part])
-        own = chance[:, language[part]] if chance.shape[1] > 1 else np.repeat(chance, len(part), axis=1)
+        own = language[part]
         n, width, longest = numbers.shape
         at = np.arange(n)
 
         def of(end: int, length: int) -> np.ndarray:
-            value = own[numbers[:, end, length], at]
+            value = chance[numbers[:, end, length], own]
             return np.where(numbers[:, end, length] > 0, value, 0.0) if length > 1 else value
 
         ahead = np.zeros((n, width))
@@ -208,7 +208,7 @@ def expected_counts(
         for end in range(1, width):
             for length in range(1, min(longest - 1, end) + 1):
                 share = weight * ahead[:, end - length] * of(end, length) * back[:, end]
-                np.add.at(counts, (numbers[:, end, length], language[part]), share)
+                np.add.at(counts, (numbers[:, end, length], own), share)
     return counts
 
 
