@@ -48,19 +48,19 @@ event_facts AS (
          CAST(date_trunc('week', event_ts) AS TIMESTAMP) AS event_week
   FROM src_events
 ),
-money AS (SELECT *, CAST(floor(amount * 10000 + 0.5) AS BIGINT) AS units FROM order_facts),
+money AS (SELECT *, CAST(amount AS DECIMAL(28, 10)) AS exact FROM order_facts),
 all_orders AS (SELECT customer_id, count(*) AS n FROM order_facts GROUP BY customer_id),
 paid_ever AS (
-  SELECT customer_id, CAST(sum(units) AS DOUBLE) / 10000.0 AS total
+  SELECT customer_id, CAST(sum(exact) AS DOUBLE) AS total
   FROM money WHERE status = 'paid' GROUP BY customer_id
 ),
 paid_12wk AS (
-  SELECT customer_id, CAST(sum(units) AS DOUBLE) / 10000.0 AS total FROM money
+  SELECT customer_id, CAST(sum(exact) AS DOUBLE) AS total FROM money
   WHERE status = 'paid' AND order_ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 12 WEEK
   GROUP BY customer_id
 ),
 paid_90d AS (
-  SELECT customer_id, CAST(sum(units) AS DOUBLE) / 10000.0 AS total FROM money
+  SELECT customer_id, CAST(sum(exact) AS DOUBLE) AS total FROM money
   WHERE status = 'paid' AND order_ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 90 DAY
   GROUP BY customer_id
 ),
@@ -86,7 +86,7 @@ profile AS (
 scores AS (
   SELECT customer_id, email,
          CASE WHEN events_30d = 0 AND revenue_90d >= 150 THEN 'high_value_lapse_risk'
-              WHEN events_30d > 1 AND revenue_90d = 0 THEN 'new_users_first_week_intent'
+              WHEN events_30d >= 2 AND revenue_90d = 0 THEN 'new_users_first_week_intent'
               WHEN nps_score < 7 THEN 'churn_rescue_nps'
               ELSE 'unclassified' END AS segment,
          revenue_90d * 0.6 + events_30d * 5 + CASE WHEN nps_score < 7 THEN 20 ELSE 0 END AS score
@@ -282,15 +282,14 @@ _CORE = {
           FROM order_facts WHERE status = 'paid')""",
     "kpi_by_filter": """
         SELECT country_filter, count(*) AS total_customers,
-               CAST(sum(CAST(floor(lifetime_revenue * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000.0 AS total_revenue,
+               CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE) AS total_revenue,
                CAST(sum(nps_score) AS DOUBLE) / count(nps_score) AS avg_nps,
                count(*) FILTER (WHERE events_30d > 0) AS active_customers
         FROM (SELECT *, 'All' AS country_filter FROM profile UNION ALL SELECT *, country FROM profile)
         WHERE country_filter IS NOT NULL GROUP BY country_filter""",
     "kpi_display": """
         SELECT country_filter, format('{:,}', count(*)) AS total_customers,
-               '$' || format('{:,}', CAST(round_even(CAST(sum(CAST(floor(lifetime_revenue * 10000 + 0.5) AS BIGINT))
-                 AS DOUBLE) / 10000.0, 0) AS BIGINT)) AS total_revenue,
+               '$' || format('{:,}', CAST(round_even(CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE), 0) AS BIGINT)) AS total_revenue,
                printf('%.1f', CAST(sum(nps_score) AS DOUBLE) / count(nps_score)) AS avg_nps,
                format('{:,}', count(*) FILTER (WHERE events_30d > 0)) AS active_customers
         FROM (SELECT *, 'All' AS country_filter FROM profile UNION ALL SELECT *, country FROM profile)
@@ -309,7 +308,7 @@ _CORE = {
                     FROM (SELECT CAST(nps_score AS DOUBLE) AS x FROM profile WHERE nps_score IS NOT NULL)))
         GROUP BY bin""",
     "revenue_by_country": """
-        SELECT country, CAST(sum(CAST(floor(lifetime_revenue * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000.0
+        SELECT country, CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE)
                  AS lifetime_revenue
         FROM profile WHERE country IS NOT NULL GROUP BY country""",
     "segment_counts": "SELECT segment, count(*) AS customers FROM scores GROUP BY segment",
@@ -354,11 +353,11 @@ _CORE = {
         UNION ALL SELECT 'Customers Activated', count(*) FROM payload""",
     "activation_metrics": """
         SELECT count(*) AS customers_activated, count(DISTINCT segment) AS segments_targeted,
-               CAST(sum(CAST(floor(risk * 1e12 + 0.5) AS BIGINT)) AS DOUBLE) / 1e12 / count(risk) AS avg_risk
+               CAST(sum(CAST(risk AS DECIMAL(28, 16))) AS DOUBLE) / count(risk) AS avg_risk
         FROM records JOIN risks USING (customer_id)""",
     "validate_activation": """
         SELECT count(*) AS activated,
-               CAST(sum(CAST(floor(risk * 1e12 + 0.5) AS BIGINT)) AS DOUBLE) / 1e12 / count(risk) AS avg_risk
+               CAST(sum(CAST(risk AS DECIMAL(28, 16))) AS DOUBLE) / count(risk) AS avg_risk
         FROM records JOIN risks USING (customer_id)""",
     "model_risk": """
         SELECT customer_id,
@@ -390,10 +389,10 @@ _CORE = {
 _CORE["segment_context_join"] = _CORE["segment_context_all"]
 _CORE["segment_performance"] = _CORE["segment_performance_join"] = """
     SELECT segment,
-           CAST(sum(CAST(floor(lifetime_revenue * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000.0
+           CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE)
              / count(lifetime_revenue) AS lifetime_revenue,
            CAST(sum(nps_score) AS DOUBLE) / count(nps_score) AS nps_score,
-           CAST(sum(CAST(floor(score * 10000 + 0.5) AS BIGINT)) AS DOUBLE) / 10000.0 / count(score) AS score
+           CAST(sum(CAST(score AS DECIMAL(28, 10))) AS DOUBLE) / count(score) AS score
     FROM scores JOIN profile USING (customer_id) GROUP BY segment"""
 
 
@@ -474,6 +473,23 @@ _OUTREACH = {
                CASE WHEN nps_score IS NOT NULL THEN 0.0::DOUBLE END AS llm_risk_score,
                '2024-01-31 00:00:00' AS _sent_to_salesforce_at
         FROM entries""",
+    "payload_files": """
+        SELECT CAST(customer_id AS VARCHAR) AS customer_id, email, segment, '  ' || first_name || ' ' AS first_name,
+               CAST(NULL AS VARCHAR) AS note, 'lapse_payload.csv' AS source
+        FROM records WHERE segment = 'high_value_lapse_risk'
+        UNION ALL
+        SELECT CAST(customer_id AS VARCHAR), email, segment, first_name,
+               'said "hi",' || chr(10) || ' bye', 'rescue_payload.csv'
+        FROM records WHERE segment = 'churn_rescue_nps'""",
+    "rejected_files": "SELECT 'damaged_payload.csv.gz' AS file, true AS has_reason",
+    "manual_files": """
+        SELECT * EXCLUDE (number), 'backup' AS version FROM entries
+        UNION ALL BY NAME
+        SELECT * EXCLUDE (number) REPLACE (CAST(score AS VARCHAR) AS score), 'repaired' AS version FROM fixed""",
+    "delivered_ledger": """
+        SELECT CAST(d.customer_id AS VARCHAR) AS customer_id, d.email, d.segment
+        FROM delivered d JOIN contacts c USING (number)
+        WHERE contains(c.email, '@') AND d.segment <> 'churn_rescue_nps'""",
     "manual_entries": _all("entries", "* EXCLUDE (number)"),
     "misalign_flag": """
         SELECT bool_or(first_name IN ('high_value_lapse_risk', 'new_users_first_week_intent', 'churn_rescue_nps')

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from reachmart.functions.decisions import discount_text, nps_class
-from reachmart.functions.money import UNITS, exact_mean, units, wide_sum
+from reachmart.functions.money import as_double, exact_mean, exact_sum, exact_total, odd_total
 from reachmart.functions.temporal import Instant
 from reachmart.functions.text import fixed_text
 from reachmart.operators.activity import rolling_count
@@ -25,7 +25,7 @@ def kpis(profile: DataFrame, country: str = "All") -> DataFrame:
     """Customers, revenue, mean NPS and active customers, for one country or all."""
     return of_country(profile, country).agg(
         F.count("*").alias("total_customers"),
-        wide_sum(F.col("lifetime_revenue")).alias("total_revenue"),
+        exact_sum(F.col("lifetime_revenue")).alias("total_revenue"),
         _mean_nps().alias("avg_nps"),
         F.count_if(F.col("events_30d") > 0).alias("active_customers"),
     )
@@ -40,7 +40,8 @@ def kpis_by_filter(profile: DataFrame) -> DataFrame:
     are aggregated first, so the grouping for the total sees one row per country."""
     per_country = profile.groupBy("country").agg(
         F.count("*").alias("customers"),
-        F.sum(units(F.col("lifetime_revenue")).cast("decimal(20,0)")).alias("units"),
+        exact_total(F.col("lifetime_revenue")).alias("revenue"),
+        odd_total(F.col("lifetime_revenue")).alias("odd_revenue"),
         F.sum("nps_score").alias("nps_sum"),
         F.count("nps_score").alias("nps_n"),
         F.count_if(F.col("events_30d") > 0).alias("active"),
@@ -49,7 +50,7 @@ def kpis_by_filter(profile: DataFrame) -> DataFrame:
     choices = per_country.withColumn("country_filter", choice).filter(F.col("country_filter").isNotNull())
     return choices.groupBy("country_filter").agg(
         F.sum("customers").alias("total_customers"),
-        (F.sum("units").cast("double") / UNITS).alias("total_revenue"),
+        as_double(F.sum("revenue"), F.sum("odd_revenue")).alias("total_revenue"),
         (F.sum("nps_sum") / F.nullif(F.sum("nps_n"), F.lit(0))).alias("avg_nps"),
         F.sum("active").alias("active_customers"),
     )
@@ -76,7 +77,7 @@ def nps_histogram(profile: DataFrame) -> DataFrame:
 
 def revenue_by_country(profile: DataFrame) -> DataFrame:
     known = profile.filter(F.col("country").isNotNull())
-    return known.groupBy("country").agg(wide_sum(F.col("lifetime_revenue")).alias("lifetime_revenue"))
+    return known.groupBy("country").agg(exact_sum(F.col("lifetime_revenue")).alias("lifetime_revenue"))
 
 
 def segment_counts(scores: DataFrame) -> DataFrame:
@@ -200,28 +201,26 @@ def activation_metrics(payload: DataFrame) -> DataFrame:
     """
     risk = _risk_of(payload)
     per_segment = payload.groupBy("segment").agg(
-        F.count("*").alias("n"), F.sum(_risk_units(risk)).alias("units"), F.count(risk).alias("risks")
+        F.count("*").alias("n"),
+        exact_total(risk).alias("risk"),
+        odd_total(risk).alias("odd_risk"),
+        F.count(risk).alias("risks"),
     )
+    total = as_double(F.sum("risk"), F.sum("odd_risk"))
     return per_segment.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("customers_activated"),
         F.count("segment").alias("segments_targeted"),
-        (F.sum("units").cast("double") / 1e12 / F.nullif(F.sum("risks"), F.lit(0))).alias("avg_risk"),
+        (total / F.nullif(F.sum("risks"), F.lit(0))).alias("avg_risk"),
     )
 
 
 def validate_run(payload: DataFrame) -> DataFrame:
     """Rows of the last payload and their mean risk; zero rows for an empty payload."""
     risk = _risk_of(payload)
-    total = F.sum(_risk_units(risk)).cast("double") / 1e12
-    return payload.agg(
-        F.count("*").alias("activated"), (total / F.nullif(F.count(risk), F.lit(0))).alias("avg_risk")
-    )
+    return payload.agg(F.count("*").alias("activated"), exact_mean(risk).alias("avg_risk"))
 
 
 def _risk_of(payload: DataFrame):
     known = "llm_risk_score" in payload.columns
     return F.col("llm_risk_score") if known else F.lit(None).cast("double")
 
-
-def _risk_units(risk):
-    return F.floor(risk * 1e12 + 0.5).cast("decimal(20,0)")
