@@ -108,10 +108,16 @@ SINGLE_QUOTED_VALUE = ": '([^']*)'"
 
 
 def is_json(text: Column) -> Column:
-    """Whether an object or list parses. What cannot be one by its first characters is not
-    tried: a failed parse costs far more than the test."""
+    """Whether the whole text is an object or list. What cannot be one by its first
+    characters is not tried: a failed parse costs far more than the test.
+
+    The parser stops after the first value. So the text is also read as a member of an
+    object with one more behind it, which fails unless the text is exactly one value.
+    """
     may_be = text.rlike(r'^(\{\s*["}]|\[)')
-    return F.when(may_be, F.try_parse_json(text).isNotNull()).otherwise(False)
+    members = F.json_object_keys(F.concat(F.lit('{"value":'), text, F.lit(',"end":0}')))
+    alone = members.eqNullSafe(F.array(F.lit("value"), F.lit("end")))
+    return F.when(may_be, F.try_parse_json(text).isNotNull() & alone).otherwise(False)
 
 
 def spaced_json(text: Column) -> Column:
