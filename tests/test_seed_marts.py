@@ -9,28 +9,32 @@ from reachmart.plans import marts, quality_suite, reports, staging, warehouse
 from reachmart.sources.tables import SeedTables, WarehouseTables
 
 UNCLASSIFIED, RESCUE, LAPSE = "unclassified", "churn_rescue_nps", "high_value_lapse_risk"
+INTENT = "new_users_first_week_intent"
 
 EXPECTED = {  # as_of: {customer: (revenue_12wk, revenue_90d, events_30d, segment, score)}
-    "2025-08-10": {
-        1: (180.0, 180.0, 2, UNCLASSIFIED, 118.0),
-        2: (45.5, 45.5, 1, RESCUE, 52.3),
-        3: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
-        4: (0.0, 0.0, 1, RESCUE, 25.0),
-        5: (200.0, 200.0, 1, UNCLASSIFIED, 125.0),
+    "2024-06-30": {
+        10: (160.2, 160.2, 1, UNCLASSIFIED, 101.12),
+        11: (0.0, 33.3, 1, RESCUE, 44.98),
+        12: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
+        13: (0.0, 0.0, 1, RESCUE, 25.0),
+        14: (175.5, 175.5, 0, LAPSE, 105.3),
+        15: (0.0, 0.0, 2, INTENT, 10.0),
     },
-    "2025-09-10": {
-        1: (180.0, 180.0, 0, LAPSE, 108.0),
-        2: (45.5, 45.5, 0, RESCUE, 47.3),
-        3: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
-        4: (0.0, 0.0, 0, RESCUE, 20.0),
-        5: (200.0, 200.0, 0, LAPSE, 120.0),
+    "2024-08-01": {
+        10: (70.0, 160.2, 0, LAPSE, 96.12),
+        11: (0.0, 0.0, 0, RESCUE, 20.0),
+        12: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
+        13: (0.0, 0.0, 0, RESCUE, 20.0),
+        14: (175.5, 175.5, 0, LAPSE, 105.3),
+        15: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
     },
-    "2026-12-01": {
-        1: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
-        2: (0.0, 0.0, 0, RESCUE, 20.0),
-        3: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
-        4: (0.0, 0.0, 0, RESCUE, 20.0),
-        5: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
+    "2025-07-01": {
+        10: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
+        11: (0.0, 0.0, 0, RESCUE, 20.0),
+        12: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
+        13: (0.0, 0.0, 0, RESCUE, 20.0),
+        14: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
+        15: (0.0, 0.0, 0, UNCLASSIFIED, 0.0),
     },
 }
 
@@ -58,22 +62,23 @@ def test_profile_and_scores(tables, as_of):
 
 
 def test_dimension(tables):
-    rows = {row["customer_id"]: row for row in marts.dim_customer(tables, "2025-08-10").collect()}
-    assert rows[1]["email"] == "alexa@example.com"
-    assert rows[3]["marketing_opt_in"] == 0 and rows[3]["nps_score"] is None
-    assert rows[3]["orders_cnt"] == 0 and rows[3]["last_event_ts"] is None
-    assert (rows[4]["orders_cnt"], rows[4]["lifetime_revenue"]) == (1, 0.0)  # only refunded
-    assert rows[1]["last_event_ts"] == datetime(2025, 8, 6, 9, 7)
-    assert rows[5]["created_at"] == date(2025, 7, 20)
+    rows = {row["customer_id"]: row for row in marts.dim_customer(tables, "2024-06-30").collect()}
+    assert rows[10]["email"] == "mia@shop.example"
+    assert rows[11]["marketing_opt_in"] == 0 and rows[12]["nps_score"] is None
+    assert rows[12]["orders_cnt"] == 0 and rows[12]["last_event_ts"] is None
+    assert (rows[13]["orders_cnt"], rows[13]["lifetime_revenue"]) == (1, 0.0)  # only refunded
+    assert rows[15]["last_event_ts"] == datetime(2024, 6, 27, 10, 5)
+    assert rows[14]["created_at"] == date(2024, 6, 1)
 
 
 def test_cohorts(tables):
     rows = marts.cohort_retention(tables).collect()
     assert sorted((r[0].date().isoformat(), r[1].date().isoformat(), r[2]) for r in rows) == [
-        ("2025-07-14", "2025-07-14", 1),
-        ("2025-07-14", "2025-07-28", 1),
-        ("2025-07-21", "2025-07-21", 1),
-        ("2025-08-04", "2025-08-04", 1),
+        ("2024-04-01", "2024-04-01", 1),
+        ("2024-05-06", "2024-05-06", 1),
+        ("2024-05-06", "2024-06-10", 1),
+        ("2024-06-10", "2024-06-10", 1),
+        ("2024-06-10", "2024-06-17", 1),
     ]
 
 
@@ -129,38 +134,38 @@ def test_window_bounds_are_inclusive_and_open_above(spark, tmp_path):
 
 
 def test_narrow_profile_equals_whole_profile(tables):
-    whole = marts.customer_360(tables, "2025-08-10")
+    whole = marts.customer_360(tables, "2024-06-30")
     for names in (["customer_id", "revenue_90d"], ["customer_id", "events_30d"], ["customer_id", "lifetime_revenue"]):
-        narrow = marts.customer_360(tables, "2025-08-10", names)
+        narrow = marts.customer_360(tables, "2024-06-30", names)
         assert sorted(narrow.collect()) == sorted(whole.select(*names).collect())
 
 
 def test_reports(tables):
-    profile = marts.customer_360(tables, "2025-08-10")
-    row = reports.kpis(profile).collect()[0]
-    assert tuple(row) == (5, 425.5, 7.0, 4)
-    assert tuple(reports.kpis(profile, "US").collect()[0]) == (3, 180.0, 6.0, 2)
+    profile = marts.customer_360(tables, "2024-06-30")
+    assert tuple(reports.kpis(profile).collect()[0]) == (6, 369.0, 6.2, 4)
+    assert tuple(reports.kpis(profile, "NL").collect()[0]) == (2, 193.5, 7.0, 2)
     assert tuple(reports.kpis(profile, "FR").collect()[0]) == (0, None, None, 0)
     by_filter = {r["country_filter"]: r for r in reports.kpis_by_filter(profile).collect()}
-    assert by_filter["All"]["total_revenue"] == sum(r["total_revenue"] for k, r in by_filter.items() if k != "All")
-    text = reports.kpi_display(reports.kpis(profile)).collect()[0]
-    assert tuple(text) == ("5", "$426", "7.0", "4")
-    assert [r["customer_id"] for r in reports.top_active(profile, 3).collect()] == [1, 2, 4]
+    assert {k: r["total_revenue"] for k, r in by_filter.items()} == {"All": 369.0, "NL": 193.5, "PT": 175.5, "SE": 0.0}
+    assert tuple(reports.kpi_display(reports.kpis(profile)).collect()[0]) == ("6", "$369", "6.2", "4")
+    assert [r["customer_id"] for r in reports.top_active(profile, 3).collect()] == [15, 10, 11]
     classes = {r["category"]: r["customers"] for r in reports.nps_categories(profile).collect()}
-    assert classes == {"Promoters": 2, "Detractors": 3}  # no answer counts as a detractor
+    assert classes == {"Promoters": 1, "Passives": 2, "Detractors": 3}  # no answer counts as a detractor
     rounded = reports.rounded(reports.segment_performance(profile)).collect()
     assert {r["segment"]: (r["lifetime_revenue"], r["score"]) for r in rounded} == {
-        UNCLASSIFIED: (126.67, 81.0),
-        RESCUE: (22.75, 38.65),
+        UNCLASSIFIED: (80.1, 50.56),
+        RESCUE: (16.65, 34.99),
+        LAPSE: (175.5, 105.3),
+        INTENT: (0.0, 10.0),
     }
 
 
 def test_ad_spend(tables):
-    assert staging.ad_spend(tables).agg(F.sum("spend")).collect()[0][0] == 1600.0
+    assert staging.ad_spend(tables).agg(F.sum("spend")).collect()[0][0] == 510.75
 
 
 def test_data_tests_pass_on_seeds(tables):
-    rows = quality_suite.suite(quality_suite.models(tables, "2025-08-10")).collect()
+    rows = quality_suite.suite(quality_suite.models(tables, "2024-06-30")).collect()
     assert len(rows) == 9 and all(row["passed"] and row["failures"] == 0 for row in rows)
 
 
@@ -172,7 +177,7 @@ def test_bad_seed_fails_loudly(spark, tmp_path):
 
 @pytest.mark.parametrize("kind", ["folders", "schema"])
 def test_stored_marts_equal_lazy_ones(spark, tables, tmp_path, kind):
-    as_of = "2025-08-10"
+    as_of = "2024-06-30"
     if kind == "folders":
         store = warehouse.Folders(spark, str(tmp_path))
     else:
