@@ -16,7 +16,7 @@ from reachmart.plans import (
 )
 from reachmart.session import scratch_dir
 from reachmart.samples import answers, outreach
-from reachmart.sources import outbox
+from reachmart.sources import files, outbox
 from reachmart.sources.ledger import Ledger
 from reachmart.sources.schemas import RECORD_COLUMNS
 from reachmart.sources.tables import SalesTables
@@ -330,6 +330,56 @@ def payload_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return outbox.read_payload(spark, path, outbox.json_columns(rows).schema)
 
 
+def _outbox_files(spark: SparkSession, folder: str) -> str:
+    """Payload files as other tools leave them: other columns and order, blanks, quotes and line
+    ends in values, and one file that is no gzip file although its name says so."""
+    work = scratch_dir(spark, "files")
+    records = _records(SalesTables(spark, folder), columns=["customer_id", "email", "first_name"])
+    rows = records.select(F.col("customer_id").cast("string"), "email", "segment", "first_name")
+    padded = rows.filter(F.col("segment") == LAPSE_RISK).withColumn("first_name", F.format_string("  %s ", "first_name"))
+    outbox.write_csv(padded, f"{work}/lapse_payload.csv")
+    noted = rows.filter(F.col("segment") == CHURN_RESCUE).withColumn("note", F.lit('said "hi",\n bye'))
+    outbox.write_csv(noted.select("note", "email", "segment", "customer_id", "first_name"), f"{work}/rescue_payload.csv")
+    rows.select("email").coalesce(1).write.text(f"{work}/text")
+    part = spark.read.text(f"{work}/text").select("_metadata.file_path").first()
+    if part is not None:
+        files.copy(spark, part[0], f"{work}/damaged_payload.csv.gz")
+    return work
+
+
+@job("payload_files")
+def payload_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Two payloads with differing headers, read back by name; the damaged file adds no row."""
+    rows = outbox.read_payloads(spark, f"{_outbox_files(spark, folder)}/*_payload.csv*")
+    return rows.select("customer_id", "email", "segment", "first_name", "note", "source")
+
+
+@job("rejected_files")
+def rejected_files(spark: SparkSession, folder: str) -> DataFrame:
+    bad = outbox.undecodable(spark, f"{_outbox_files(spark, folder)}/*_payload.csv*")
+    return bad.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("file"), F.isnotnull("reason").alias("has_reason"))
+
+
+@job("manual_files")
+def manual_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Entered records written in two forms, repaired, with the backup of what was read."""
+    work = scratch_dir(spark, "manual")
+    outbox.append_manual(_entries(SalesTables(spark, folder)), f"{work}/entries.csv")
+    manual_entries.repair_file(spark, f"{work}/entries.csv", f"{work}/fixed.csv")
+    kept = outbox.read_manual(spark, f"{work}/fixed.csv.bak").withColumn("version", F.lit("backup"))
+    return kept.unionByName(outbox.read_manual(spark, f"{work}/fixed.csv").withColumn("version", F.lit("repaired")))
+
+
+@job("delivered_ledger")
+def delivered_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ledger holds after a run in which the destination refused some records."""
+    work = scratch_dir(spark, "delivered")
+    ledger = Ledger(spark, f"{work}/ledger")
+    send = delivery.sender(answers.destination(), f"{work}/log")
+    activation.deliver(_delivered(SalesTables(spark, folder)), f"{work}/outbox", "all", ledger, dry_run=False, send=send)
+    return ledger.rows().select("customer_id", "email", "segment")
+
+
 # --- model answers, from stand-ins for the external model -----------------------------
 
 
@@ -371,7 +421,7 @@ def followup_steps(tables: SalesTables) -> DataFrame:
 
 @query("delivery_log")
 def delivery_log(tables: SalesTables) -> DataFrame:
-    return delivery.outcomes(_delivered(tables), answers.destination())
+    return delivery.outcomes(_delivered(tables), answers.destination()).drop("error")
 
 
 # --- hand-entered records ---------------------------------------------------------------

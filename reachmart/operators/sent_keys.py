@@ -40,21 +40,6 @@ def unsent(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFrame:
     return entries
 
 
-# So many entries count as few: their keys take some tens of megabytes.
-FEW = 1_000_000
-
-
-def unsent_few(entries: DataFrame, ledger: DataFrame, *columns: str) -> DataFrame:
-    """The same for at most ``FEW`` entries, which the caller has counted, and a long ledger:
-    the entries' keys go to the ledger, which is filtered where it is read, unshuffled."""
-    for column in columns:
-        ledger = with_key(ledger, column)
-        wanted = F.broadcast(key_set(entries, F.col(column)))
-        hits = join_keys(ledger.select(column), F.col(column), wanted, "left_semi")
-        entries = unsent(entries, hits, column)
-    return entries
-
-
 def mark_sent(entries: DataFrame, ledger: DataFrame, column: str = "customer_id") -> DataFrame:
     """Each entry with its status; the number of rows stays."""
     keys = key_set(with_key(ledger, column), F.col(column))

@@ -57,11 +57,11 @@ def payload(
     return result
 
 
-def manual_payload(entries: DataFrame, key: str | None = None, discount_cap: float = 10.0) -> DataFrame:
+def manual_payload(entries: DataFrame, key: str | None = None, discount_cap: float = 10.0, **scorers) -> DataFrame:
     """The payload of hand-entered records: all, or those one key finds. The action a record
-    came with is replaced by the one of its segment."""
+    came with is replaced by the one of its segment; ``scorers`` as for ``payload``."""
     chosen = entries if key is None else lookups.find_entries(entries, key)
-    return payload(chosen, discount_cap)
+    return payload(chosen, discount_cap, **scorers)
 
 
 def deliver(
@@ -70,26 +70,37 @@ def deliver(
     name: str,
     ledger: Ledger,
     dry_run: bool = True,
-    send: Callable[[DataFrame], None] | None = None,
+    send: Callable[[DataFrame], DataFrame | None] | None = None,
     run_id: str | None = None,
     count_dry_runs: bool = False,
 ) -> str:
     """Writes the payload, hands its records to ``send``, then enters them into the ledger.
 
     The payload ``name`` is replaced by each run; the ledger keeps one entry per ``run_id``.
-    Everything after the payload starts from the written file, so a model is asked once per
-    record. A dry run ends with the payload, unless ``count_dry_runs`` has its records count
-    as sent.
+    Records are also written as Parquet, and everything after that starts from there, so a
+    model is asked once per record. If ``send`` returns outcomes, as ``delivery.sender``
+    does, only records whose lead and task were created enter the ledger; all others stay
+    pending. A dry run ends with the payload, unless ``count_dry_runs`` has its records
+    count as sent.
     """
-    path = outbox.write_payload(result, outbox_dir, name)
-    written = outbox.read_payload(result.sparkSession, path, outbox.json_columns(result).schema)
+    written = outbox.hand_off(result, outbox_dir, name)
+    path = outbox.write_payload(written.drop("_record"), outbox_dir, name)
+    done = written
     if send is not None and not dry_run:
-        send(written)
+        results = send(written)
+        if results is not None:
+            done = delivered(written, results)
     if count_dry_runs or not dry_run:
-        ledger.record(written, run_id or name)
+        ledger.record(done.drop("_record"), run_id or name)
     return path
 
 
+def delivered(records: DataFrame, results: DataFrame) -> DataFrame:
+    """The numbered records whose lead and task were both created."""
+    done = results.filter("task_created").select("_record").distinct()
+    return records.join(done, "_record", "left_semi")
+
+
 def submission(
     entries: DataFrame, sent_at: Instant, risk_scorer: Scorer | None = None, message_scorer: Scorer | None = None
 ) -> DataFrame:
@@ -223,12 +234,12 @@ def task_rows(records: DataFrame) -> DataFrame:
     return fixed.select(F.col("_id").alias("customer_id"), *_named(_task(records)))
 
 
-def outreach_rows(records: DataFrame) -> DataFrame:
-    """Lead and task of a record side by side: a task needs the id of its lead, and two
-    records of one customer must not be mixed up by a join."""
+def outreach_rows(records: DataFrame, carried: list[str] = []) -> DataFrame:
+    """Lead and task of a record side by side, with the ``carried`` columns: a task needs the
+    id of its lead, and two records of one customer must not be mixed up by a join."""
     fixed = _with_lead_fields(records.filter(_is_lead()))
     lead, task = F.struct(*_named(_lead(records))), F.struct(*_named(_task(records)))
-    return fixed.select(F.col("_id").alias("customer_id"), lead.alias("lead"), task.alias("task"))
+    return fixed.select(F.col("_id").alias("customer_id"), lead.alias("lead"), task.alias("task"), *carried)
 
 
 def action_of(records: DataFrame) -> Column:

@@ -26,15 +26,17 @@ def run(
     ledger: Ledger,
     discount_cap: float = 10.0,
     dry_run: bool = True,
-    send: Callable[[DataFrame], None] | None = None,
+    send: Callable[[DataFrame], DataFrame | None] | None = None,
+    **scorers,
 ) -> DataFrame:
     """Builds the marts and, if their tests pass, activates all segments and then the
-    high-value one by itself. Returns the validation of the whole payload."""
+    high-value one by itself, with risk and message if there are ``scorers`` (as for
+    ``activation.payload``). Returns the validation of the whole payload."""
     read = warehouse.build(tables, as_of, store)
     check(quality_suite.suite({name: read(name) for name in quality_suite.MODELS}))
     for name, segment in (("all", "all"), (LAPSE_RISK, LAPSE_RISK)):
         records = marts.segment_records_from_marts(read("segment_scores"), read("customer_360"), segment)
-        payload = activation.payload(records, discount_cap)
+        payload = activation.payload(records, discount_cap, **scorers)
         run_id = f"{name}-{as_datetime(as_of):%Y%m%d}"
         activation.deliver(payload, outbox_dir, name, ledger, dry_run, send, run_id)
     return validate(spark, outbox_dir)

@@ -76,7 +76,7 @@ def repair_file(spark: SparkSession, path: str, target: str) -> DataFrame:
     Spark cannot overwrite the files it is reading, so the repaired copy has its own path.
     """
     entries = outbox.read_by_name(spark, path).drop("_file")
-    outbox.back_up_once(spark, entries, f"{target.rstrip('/')}.bak")
+    outbox.back_up_once(spark, path, f"{target.rstrip('/')}.bak")
     fixed = repaired(entries)
     outbox.write_csv(fixed, target)
     return outbox.read_payload(spark, target, fixed.schema)

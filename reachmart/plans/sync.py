@@ -2,39 +2,82 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reachmart.functions.text import float_text
 from reachmart.operators import sent_keys
 from reachmart.plans import activation, manual_entries
+from reachmart.sources import outbox
 from reachmart.sources.ledger import Ledger
 
 
-def pending(entries: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    """Repaired entries whose id and e-mail are both unsent."""
-    return sent_keys.unsent(manual_entries.repaired(entries), ledger_rows, "customer_id", "email")
+def pending(entries: DataFrame, ledger_rows: DataFrame, by: Sequence[str] = ("customer_id", "email")) -> DataFrame:
+    """Repaired entries none of whose ``by`` columns was sent."""
+    return sent_keys.unsent(manual_entries.repaired(entries), ledger_rows, *by)
 
 
-def sync(entries: DataFrame, ledger: Ledger, outbox_dir: str, run_id: str, send=None) -> str:
-    """Sends the pending entries: payload first, then delivery, then the ledger.
+def sync(
+    entries: DataFrame, ledger: Ledger, outbox_dir: str, run_id: str, send=None, discount_cap: float = 10.0, **scorers
+) -> str:
+    """Sends the entries whose id and e-mail are unsent, as ``activation.manual_payload``: with
+    the action of their segment and, given scorers, risk and message.
 
-    Repeating a run that failed halfway sends its entries again and replaces its payload and
-    its ledger rows.
+    Payload first, then delivery, then the ledger. Repeating a run that failed halfway sends
+    its entries again and replaces its payload and its ledger rows.
     """
     rows = pending(entries, ledger.rows(except_run=run_id))
+    rows = activation.manual_payload(rows, None, discount_cap, **scorers)
+    return activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
+
+
+def sync_by_id(entries: DataFrame, ledger: Ledger, outbox_dir: str, run_id: str, send=None) -> str:
+    """Sends the entries whose id is unsent, each with the action it came with."""
+    rows = pending(entries, ledger.rows(except_run=run_id), ["customer_id"])
     return activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 
 
-def send_one(entries: DataFrame, key: str, ledger: Ledger, outbox_dir: str, run_id: str, send=None) -> bool:
+def send_one(
+    entries: DataFrame,
+    key: str,
+    ledger: Ledger,
+    outbox_dir: str,
+    run_id: str,
+    send=None,
+    dry_run: bool = False,
+    discount_cap: float = 10.0,
+    **scorers,
+) -> bool:
     """Sends the entries that one id or e-mail finds, whether sent before or not; false if
     there are none."""
-    found = activation.manual_payload(entries, key)
+    found = activation.manual_payload(entries, key, discount_cap, **scorers)
     if found.isEmpty():
         return False
-    activation.deliver(found, outbox_dir, run_id, ledger, dry_run=False, send=send)
+    activation.deliver(found, outbox_dir, run_id, ledger, dry_run=dry_run, send=send)
     return True
 
 
+def send_file(
+    spark: SparkSession,
+    path: str,
+    ledger: Ledger,
+    outbox_dir: str,
+    key: str | None = None,
+    dry_run: bool = True,
+    send=None,
+    discount_cap: float = 10.0,
+    **scorers,
+) -> str | None:
+    """Exports the entries of a file, all or those one key finds, as ``manual`` or
+    ``manual_<key>``; the path of the payload, or none without a row."""
+    rows = activation.manual_payload(outbox.read_manual(spark, path), key, discount_cap, **scorers)
+    if rows.isEmpty():
+        return None
+    name = "manual" if key is None else f"manual_{key}"
+    return activation.deliver(rows, outbox_dir, name, ledger, dry_run=dry_run, send=send)
+
+
 def sync_report(entries: DataFrame, ledger_rows: DataFrame) -> DataFrame:
     """Total, sent and not sent, counted from the marks of the entries: ids that only occur
     in the ledger do not count as sent entries."""

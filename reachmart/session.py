@@ -47,7 +47,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         "spark.checkpoint.dir", None
     )
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        # Not local-cluster: its executors need not share a disk with the driver.
+        if not spark.sparkContext.master.partition("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="reachmart-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -6,18 +6,34 @@ doubling them, as spreadsheet tools and Python's csv module do.
 
 from __future__ import annotations
 
+import bz2
 import csv
+import gzip
+import io
+import os
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from reachmart.functions.text import spaced_json
-from reachmart.sources.files import exists
+from reachmart.sources.files import copy, exists
 from reachmart.sources.schemas import MANUAL_COLUMNS, MANUAL_SCHEMA
 
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
+# Blanks around a value belong to it.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# Stands for a quoted empty value while it is read: that is an empty text, no value is null.
+_EMPTY = "\u0001"
 # Files with line ends in values are read in one piece, so none may grow large.
 _ROWS_PER_FILE = 1_000_000
 
@@ -33,6 +49,15 @@ def write_csv(rows: DataFrame, folder: str, mode: str = "overwrite") -> None:
     json_columns(rows).write.mode(mode).options(**_CSV, maxRecordsPerFile=_ROWS_PER_FILE).csv(folder)
 
 
+def hand_off(payload: DataFrame, outbox: str, name: str) -> DataFrame:
+    """The payload as Parquet, read back: what is sent and recorded. ``_record`` numbers the
+    records, as ids and e-mails may repeat or be missing."""
+    folder = f"{outbox.rstrip('/')}/{name}_records.parquet"
+    rows = json_columns(payload).withColumn("_record", F.monotonically_increasing_id())
+    rows.write.mode("overwrite").parquet(folder)
+    return payload.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def write_payload(payload: DataFrame, outbox: str, name: str) -> str:
     folder = f"{outbox.rstrip('/')}/{name}_payload.csv"
     write_csv(payload, folder)
@@ -65,7 +90,14 @@ def read_manual(spark: SparkSession, path: str) -> DataFrame:
 
 def read_payload(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A payload this package wrote: the header must be the schema's, or the read fails."""
-    return spark.read.schema(schema).options(**_CSV, multiLine="true", enforceSchema="false").csv(path)
+    reader = spark.read.schema(schema).options(**_CSV, emptyValue=_EMPTY, multiLine="true", enforceSchema="false")
+    return _with_empty(reader.csv(path))
+
+
+def _with_empty(rows: DataFrame) -> DataFrame:
+    texts = [name for name, kind in rows.dtypes if kind == "string"]
+    empty = {name: F.when(F.col(f"`{name}`") == _EMPTY, "").otherwise(F.col(f"`{name}`")) for name in texts}
+    return rows.select(*[empty[name].alias(name) if name in empty else F.col(f"`{name}`") for name in rows.columns])
 
 
 def read_payloads(spark: SparkSession, glob: str) -> DataFrame:
@@ -81,11 +113,16 @@ def read_by_name(spark: SparkSession, glob: str) -> DataFrame:
     one distributed pass over the lines finds each file's header, and each distinct header
     is read once. The same pass finds the files in which a value holds a line end (a line
     with an odd number of quotes). Only those have to be read as one piece; all others can
-    be split among tasks. Empty and damaged files are skipped.
+    be split among tasks. Empty files hold no rows. A file that cannot be decoded is left
+    out whole; ``undecodable`` lists such files. A failing read fails the job.
     """
+    bad = {row["path"] for row in undecodable(spark, glob).toLocalIterator()}
+    good = glob if not bad else _other_paths(spark, glob, bad)
+    if not good:
+        return spark.createDataFrame([], f"{MANUAL_SCHEMA}, _file string")
     lines = (
-        spark.read.options(ignoreCorruptFiles="true", recursiveFileLookup="true")
-        .text(glob)
+        spark.read.options(recursiveFileLookup="true")
+        .text(good)
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
     )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
@@ -106,13 +143,43 @@ def read_by_name(spark: SparkSession, glob: str) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
+def undecodable(spark: SparkSession, glob: str) -> DataFrame:
+    """``path`` and ``reason`` of the compressed files that end early or are damaged.
+
+    Such a file cannot be split anyway; each is decompressed piece by piece in one task. An
+    error of the store is none of the file and fails the job.
+    """
+
+    def damage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        openers = {".gz": gzip.open, ".bz2": bz2.open}
+        for batch in batches:
+            found = []
+            for path, content in zip(batch["path"], batch["content"]):
+                try:
+                    with openers[os.path.splitext(path)[1]](io.BytesIO(content)) as stream:
+                        while stream.read(1 << 20):
+                            pass
+                except (EOFError, OSError, zlib.error) as error:
+                    found.append((path, str(error)))
+            yield pd.DataFrame(found, columns=["path", "reason"])
+
+    reader = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.{gz,bz2}")
+    return reader.load(glob).select("path", "content").mapInPandas(damage, "path string, reason string")
+
+
+def _other_paths(spark: SparkSession, glob: str, bad: set[str]) -> list[str]:
+    """The files that match, without the bad ones; listed as the reader lists them."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="true").load(glob).select("path")
+    return [unquote(row["path"]) for row in files.toLocalIterator() if row["path"] not in bad]
+
+
 def _read_group(spark: SparkSession, header: str, whole: bool, paths: list[str]) -> DataFrame:
     names = _column_names(header)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    reader = spark.read.schema(schema).options(**_CSV, multiLine=str(whole).lower(), ignoreCorruptFiles="true")
+    reader = spark.read.schema(schema).options(**_CSV, emptyValue=_EMPTY, multiLine=str(whole).lower())
     # The path comes percent-encoded, but with "+" as it is.
     path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    return reader.csv(paths).select(*[f"`{name}`" for name in names], path.alias("_file"))
+    return _with_empty(reader.csv(paths).select(*[f"`{name}`" for name in names], path.alias("_file")))
 
 
 def _column_names(header: str) -> list[str]:
@@ -125,9 +192,9 @@ def _column_names(header: str) -> list[str]:
     return names
 
 
-def back_up_once(spark: SparkSession, source: DataFrame, folder: str) -> bool:
-    """Keeps the unrepaired rows, unless a backup exists already."""
+def back_up_once(spark: SparkSession, source: str, folder: str) -> bool:
+    """Keeps a copy of the unrepaired file or folder, byte for byte, unless one exists."""
     if exists(spark, folder):
         return False
-    write_csv(source, folder)
+    copy(spark, source, folder)
     return True

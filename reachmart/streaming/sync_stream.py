@@ -13,31 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from reachmart.operators import sent_keys
-from reachmart.plans import manual_entries
+from reachmart.plans import activation, manual_entries
 from reachmart.sources.ledger import Ledger
 from reachmart.sources.schemas import MANUAL_SCHEMA
 
 
 def sync_batch(
-    batch: DataFrame, ledger: Ledger, run_id: str, send: Callable[[DataFrame], None] | None = None
+    batch: DataFrame,
+    ledger: Ledger,
+    run_id: str,
+    outbox_dir: str,
+    send: Callable[[DataFrame], DataFrame | None] | None = None,
 ) -> None:
-    """Repairs one batch, drops what the ledger knows, sends and records the rest.
-
-    The batch is counted, used for its keys and for its rows; it is kept meanwhile, and what
-    an executor loses of it is read from the files again.
-    """
-    fixed = manual_entries.repaired(batch).persist()
-    try:
-        number = fixed.count()
-        if number == 0:
-            return
-        unsent = sent_keys.unsent_few if number <= sent_keys.FEW else sent_keys.unsent
-        rows = unsent(fixed, ledger.rows(except_run=run_id), "customer_id", "email")
-        if send is not None:
-            send(rows)
-        ledger.record(rows, run_id)
-    finally:
-        fixed.unpersist()
+    """Repairs one batch and sends what the ledger does not know, by ``activation.deliver``:
+    the payload is written once, and sending and the ledger start from there."""
+    rows = sent_keys.unsent(manual_entries.repaired(batch), ledger.rows(except_run=run_id), "customer_id", "email")
+    activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 
 
 def start(
@@ -48,17 +39,21 @@ def start(
     name: str = "manual_sync",
     files_per_batch: int = 1000,
     multi_line: bool = True,
-    send: Callable[[DataFrame], None] | None = None,
+    send: Callable[[DataFrame], DataFrame | None] | None = None,
+    outbox_dir: str | None = None,
 ) -> StreamingQuery:
     """Works off all files that are there and ends; run it again for later ones.
 
     Without ``multi_line`` large files are split among tasks, but no value may hold a line
-    end.
+    end. Payloads go to ``outbox_dir``, or beside the checkpoint.
     """
+    payloads = outbox_dir or f"{checkpoint.rstrip('/')}-outbox"
     entries = (
         spark.readStream.schema(MANUAL_SCHEMA)
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("multiLine", multi_line)
         # A file with other columns stops the stream instead of being read askew.
         .option("enforceSchema", False)
@@ -68,6 +63,6 @@ def start(
     return (
         entries.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, number: sync_batch(batch, ledger, f"{name}-{number}", send))
+        .foreachBatch(lambda batch, number: sync_batch(batch, ledger, f"{name}-{number}", payloads, send))
         .start()
     )

@@ -131,15 +131,6 @@ def test_hot_entry_key_is_split(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_few_entries_do_not_shuffle_the_ledger(spark, tmp_path):
-    spark.range(1000).select(F.col("id").cast("string").alias("customer_id")).write.parquet(f"{tmp_path}/l")
-    entries = spark.createDataFrame([("1",), ("5000",), (None,)], "customer_id string")
-    frame = sent_keys.unsent_few(entries, spark.read.parquet(f"{tmp_path}/l"), "customer_id")
-    above_scan = plan_of(frame).split("LeftSemi, BuildRight", 1)[1].split("FileScan", 1)[0]
-    assert "Exchange" not in above_scan
-    assert {row["customer_id"] for row in frame.collect()} == {"5000", None}
-
-
 def test_histogram(spark):
     frame = spark.createDataFrame([(x,) for x in (0.0, 0.5, 1.0, 9.99, 10.0, None)], "x double")
     rows = {r["bin"]: (r["bin_start"], r["customers"]) for r in histogram(frame, "x", 10).collect()}

@@ -51,10 +51,10 @@ def test_repeated_batch_leaves_one_copy(spark, tmp_path):
     """What a restart does after the ledger was written but the batch not yet committed."""
     ledger = Ledger(spark, f"{tmp_path}/ledger")
     batch = manual(spark, {"customer_id": "m1", "email": "a@x", **SEGMENT})
-    sync_stream.sync_batch(batch, ledger, "manual_sync-0")
-    sync_stream.sync_batch(batch, ledger, "manual_sync-0")
+    sync_stream.sync_batch(batch, ledger, "manual_sync-0", f"{tmp_path}/outbox")
+    sync_stream.sync_batch(batch, ledger, "manual_sync-0", f"{tmp_path}/outbox")
     assert ids(ledger) == ["m1"]
-    sync_stream.sync_batch(batch, ledger, "manual_sync-1")
+    sync_stream.sync_batch(batch, ledger, "manual_sync-1", f"{tmp_path}/outbox")
     assert ids(ledger) == ["m1"]
 
 
