@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 REPORT_COLUMNS = ["test", "model", "column_name", "failures", "passed"]
 
 
-def _row(result: DataFrame, test: str | Column, model: str, column: str) -> DataFrame:
+def _row(result: DataFrame, test: str, model: str, column: str) -> DataFrame:
     return result.select(
-        (test if isinstance(test, Column) else F.lit(test)).alias("test"),
+        F.lit(test).alias("test"),
         F.lit(model).alias("model"),
         F.lit(column).alias("column_name"),
         F.col("failures"),
@@ -30,17 +30,37 @@ def unique(rows: DataFrame, model: str, column: str) -> DataFrame:
     return _row(counts.agg(F.count_if(F.col("n") > 1).alias("failures")), "unique", model, column)
 
 
-def key(rows: DataFrame, model: str, column: str) -> DataFrame:
-    """Both tests of a key column from one grouping: a row for not_null, one for unique."""
-    counts = rows.groupBy(column).agg(F.count("*").alias("n"))
-    missing = F.col(column).isNull()
-    totals = counts.agg(
-        F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("missing"),
-        F.count_if(~missing & (F.col("n") > 1)).alias("repeated"),
-    )
-    tests = [("not_null", "missing"), ("unique", "repeated")]
-    pairs = F.array(*[F.struct(F.lit(test).alias("test"), F.col(name).alias("failures")) for test, name in tests])
-    return _row(totals.select(F.inline(pairs)), F.col("test"), model, column)
+def model_tests(rows: DataFrame, model: str, tests: list[tuple[str, str, list[str] | None]]) -> DataFrame:
+    """All tests (name, column, accepted values) of a model from one read and one grouping.
+
+    Every row gives a (column, value) pair for each tested column; equal pairs are counted
+    before they are shuffled. A column that is only tested for presence gives no values.
+    """
+    valued = {column for test, column, _ in tests if test != "not_null"}
+    columns = list(dict.fromkeys(column for _, column, _ in tests))
+    pairs = [
+        F.struct(
+            F.lit(column).alias("tested"),
+            (F.col(column).cast("string") if column in valued else F.when(F.col(column).isNotNull(), "")).alias("value"),
+        )
+        for column in columns
+    ]
+    counts = rows.select(F.inline(F.array(*pairs))).groupBy("tested", "value").agg(F.count("*").alias("n"))
+    missing = F.col("value").isNull()
+    failures = {
+        "not_null": lambda of, _: F.coalesce(F.sum(F.when(of & missing, F.col("n"))), F.lit(0)),
+        "unique": lambda of, _: F.count_if(of & ~missing & (F.col("n") > 1)),
+        "accepted_values": lambda of, values: F.count_if(of & ~missing & ~F.col("value").isin(values or [])),
+    }
+    found = [failures[test](F.col("tested") == column, values) for test, column, values in tests]
+    totals = counts.agg(*[f.alias(f"t{i}") for i, f in enumerate(found)])
+    lines = [
+        F.struct(F.lit(test).alias("test"), F.lit(column).alias("column_name"), F.col(f"t{i}").alias("failures"))
+        for i, (test, column, _) in enumerate(tests)
+    ]
+    result = totals.select(F.inline(F.array(*lines)))
+    passed = (F.col("failures") == 0).alias("passed")
+    return result.select("test", F.lit(model).alias("model"), "column_name", "failures", passed)
 
 
 def accepted_values(rows: DataFrame, model: str, column: str, values: list[str]) -> DataFrame:

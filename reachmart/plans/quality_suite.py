@@ -45,10 +45,12 @@ def accepted_tests(by_name: dict[str, DataFrame]) -> list[DataFrame]:
 
 
 def suite(by_name: dict[str, DataFrame]) -> DataFrame:
-    """All tests; a column that must be present and unique is read once for both."""
-    keys = [test for test in UNIQUE if test in NOT_NULL]
-    both = [quality.key(by_name[model], model, column) for model, column in keys]
-    rest = {"not_null": [t for t in NOT_NULL if t not in keys], "unique": [t for t in UNIQUE if t not in keys]}
-    single = [quality.not_null(by_name[model], model, column) for model, column in rest["not_null"]]
-    single += [quality.unique(by_name[model], model, column) for model, column in rest["unique"]]
-    return quality.report([*both, *single, *accepted_tests(by_name)])
+    """All tests; every model is read once."""
+    tests = [("not_null", model, column, None) for model, column in NOT_NULL]
+    tests += [("unique", model, column, None) for model, column in UNIQUE]
+    tests += [("accepted_values", *test) for test in ACCEPTED]
+    results = []
+    for model in dict.fromkeys(model for _, model, _, _ in tests):
+        own = [(test, column, values) for test, of, column, values in tests if of == model]
+        results.append(quality.model_tests(by_name[model], model, own))
+    return quality.report(results)

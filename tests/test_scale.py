@@ -152,8 +152,8 @@ def test_data_tests_count_failures(spark):
     rows = {r["test"]: (r["failures"], r["passed"]) for r in report.collect()}
     assert rows == {"not_null": (2, False), "unique": (1, False), "accepted_values": (2, False)}
     both = quality.report([quality.not_null(frame, "m", "k"), quality.unique(frame, "m", "k")]).collect()
-    assert sorted(quality.key(frame, "m", "k").collect()) == sorted(both)
-    assert [r["failures"] for r in quality.key(frame.limit(0), "m", "k").collect()] == [0, 0]
+    assert sorted(quality.model_tests(frame, "m", [("not_null", "k", None), ("unique", "k", None)]).collect()) == sorted(both)
+    assert [r["failures"] for r in quality.model_tests(frame.limit(0), "m", [("not_null", "k", None), ("unique", "k", None)]).collect()] == [0, 0]
 
 
 def test_leads_read_only_the_windows(tables):
