@@ -95,3 +95,49 @@ def test_empty(spark, make_docs):
     assert decontam.find_leaks(make_docs([]), spark.createDataFrame([(1, "a b")], ITEMS)).collect() == []
     with pytest.raises(ValueError):
         decontam.prepare(make_docs([]), spark.createDataFrame([(1, "a"), (2, "b")], ITEMS), decontam.Settings(items=1))
+
+
+def zipf(rng, n, size=20_000):
+    return [f"z{int(size ** rng.random())}" for _ in range(n)]
+
+
+def test_recall_does_not_fall_with_the_benchmark(spark, make_docs):
+    """Thousands of items need more dimensions than the latent space has."""
+    rng = random.Random(5)
+    items = [(i, " ".join(zipf(rng, rng.randrange(16, 60)))) for i in range(3_000)]
+    rows, wanted = [], set()
+    for i in range(200):
+        own = items[7 * i][1].split()
+        if i % 2:
+            own = [w if rng.random() > 0.2 else f"other{rng.randrange(99)}" for w in own]
+        words = zipf(rng, rng.randrange(20, 200))
+        at = rng.randrange(len(words))
+        words[at:at] = own
+        rows.append((i, " ".join(words)))
+        if plain_lcs(items[7 * i][1].split(), words) >= 0.6 * len(own):
+            wanted.add((i, 7 * i))
+    assert len(wanted) >= 190
+    got = decontam.find_leaks(make_docs(rows), spark.createDataFrame(items, ITEMS)).collect()
+    assert wanted <= {(r.doc_id, r.item_id) for r in got}
+
+
+@pytest.mark.parametrize("cells", [1, 50, 1 << 22])
+def test_candidates_are_complete(monkeypatch, cells):
+    monkeypatch.setattr(decontam._Lists, "CELLS", cells)
+    rng = random.Random(cells)
+    items = [(i, [w.encode() for w in zipf(rng, rng.choice([1, 2, 9, 30, 40, 64, 65, 150, 300]), 300)]) for i in range(40)]
+    terms = sorted({w for _, words in items for w in words})
+    idf = np.array([rng.random() for _ in terms])
+    settings = decontam.Settings(stride=16)
+    search = decontam.Search(items, terms, idf, np.zeros((len(terms), 0)), settings)
+    for n in (1, 15, 16, 17, 33, 200, 700):
+        words = [w.encode() for w in zipf(rng, n, 500)]
+        passages = max(1, -(-n // 16) - 1)
+        wanted = set()
+        for i, own in items:
+            reach = max(16, len(own))
+            for p in range(passages):
+                around = set(words[max(0, p * 16 - reach) : p * 16 + 32 + reach])
+                if sum(w in around for w in own) >= settings.part * len(own):
+                    wanted.add((p, i))
+        assert wanted <= set(search.candidates(words))
