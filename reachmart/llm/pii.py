@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import re
 import unicodedata
@@ -43,13 +44,17 @@ _DIGITS = re.compile(
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<phone>(?<![\w+])(?:\+?\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3}[ .\-]?\d{3,4}(?!\w)"
     r"|(?<![\w+.\-])\d{3}([.\- ])\d{3}\5\d{4}(?![\w\-])"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\w))"
-    rf"|(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d))"
+    r"|(?<![\w+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\w)"
+    r"|(?<![\w+.\-])0\d(?:[ .\-]\d{2}){4}(?![\w\-])|(?<![\w+.\-])0\d{1,4}[ /\-]\d{5,8}(?![\w\-])"
+    r"|(?<![\w+.\-])\d{10}(?![\w\-]))"
+    rf"|(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"
+    r"|(?<![\w:.])(?=[a-fA-F:]*\d)(?=[0-9a-fA-F]*:[0-9a-fA-F]*:)[0-9a-fA-F:]{3,39}(?![\w:]))"
     r"|(?P<ssn>(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-]))"
     r"|(?P<card>(?<!\w)(?:\d{13,19}|\d{4}([ \-])\d{4}\9\d{4}\9\d{1,7}|\d{4}([ \-])\d{6}\10\d{5})(?!\w))"
 )
 _HINT = re.compile(r"[0-9@]")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(rf"\b(?:{_FAMILY}|[^\W\d_]+)\b")
 _GIVEN_OF = {name: key for key, names in GIVEN.items() for name in names}
 _MARKERS = frozenset(_GIVEN_OF) | frozenset(TITLES)
 _NAMES = re.compile(
@@ -170,6 +175,8 @@ class Surrogates:
             lead = value[:-10] if len(value) > 10 else ""
             return lead + self._digits("phone", value[len(lead) :])
         if kind == "ip":
+            if ":" in value:
+                return str(ipaddress.IPv6Address(self._map("ip", "6", 2**128)(int(ipaddress.IPv6Address(value)))))
             number = 0
             for part in value.split("."):
                 number = number * 256 + int(part)
@@ -255,7 +262,7 @@ def canonical(kind: str, text: str) -> str:
     if kind == "iban":
         return text.replace(" ", "")
     if kind == "ip":
-        return text
+        return str(ipaddress.IPv6Address(text)) if ":" in text else text
     if kind == "secret":
         # Hexadecimal codes mean the same in capitals; other codes do not.
         return text.lower() if re.fullmatch("[0-9a-fA-F]+", text) else text
@@ -285,12 +292,21 @@ def laid_out(kind: str, text: str, surrogate: str) -> str:
     return "".join(out) + "".join(letters)
 
 
+def _is_ipv6(text: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(text))
+    except ValueError:
+        return False
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and canonical value of the entities of a text, in order."""
     found = []
     if _HINT.search(text):
         for match in _DIGITS.finditer(text):
             kind = match.lastgroup
+            if kind == "ip" and ":" in match[kind] and not _is_ipv6(match[kind]):
+                continue
             found.append((match.start(kind), match.end(kind), kind, canonical(kind, match[kind])))
     if not _MARKERS.isdisjoint(_LETTERS.findall(text)):
         for match in _NAMES.finditer(text):
@@ -302,6 +318,23 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
                     found.append((start, end, "name", f"{_GIVEN_OF[value][0]}-{_GIVEN_OF[value][1]}:{value}"))
                 else:
                     found.append((start, end, "name", f"family:{bare(value)}"))
+        # Names seen once in full are the same person's where they stand alone.
+        known = {value for _, _, kind, value in found if kind == "name"}
+        whole = list(found)
+        for match in _WORDS.finditer(text) if known else ():
+            last = match[0].split()[-1]
+            given = _GIVEN_OF.get(last.capitalize())
+            for own, value in (
+                (match[0], f"family:{bare(match[0])}"),
+                (last, f"{given[0]}-{given[1]}:{last.capitalize()}" if given else ""),
+                (last, f"family:{bare(last)}"),
+            ):
+                if value in known and last[0].isupper():
+                    start = match.end() - len(own)
+                    # Part of an address or of a full name: replaced with that.
+                    if not any(start < e and match.end() > b for b, e, _, _ in whole):
+                        found.append((start, match.end(), "name", value))
+                    break
         found.sort()
     kept, end = [], 0
     for one in found:
@@ -361,6 +394,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", tries: int = 4
     all distinct entities are checked for shared surrogates; a kind that has some takes
     other maps and is checked again, and the job fails if that does not help.
 
+    * A family or given name found with a title or a listed given name is also replaced where
+      it stands alone in the same document. Other persons are not detected.
     * A null text stays null, and texts without an entity stay as they are.
     * A surrogate can equal some other real value by chance; that value is replaced, too.
     * Repeated rows are replaced alike. An empty table stays empty. Columns named like a

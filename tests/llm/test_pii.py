@@ -91,3 +91,21 @@ def test_collisions_are_found_and_mended(make_docs, monkeypatch):
     monkeypatch.setattr(pii, "collisions", lambda *a: {"email": 1})
     with pytest.raises(ValueError):
         pii.pseudonymise(docs, KEY)
+
+
+def test_bare_mentions_keep_the_surrogates():
+    made = surrogate("Anna Schmidt came. Schmidt said so, Anna left; SCHMIDT, Schmidt's.")
+    words = re.findall("[A-Za-z]+", made)
+    assert "schmidt" not in made.lower() and "Anna" not in words
+    assert "von berg" not in surrogate("Herr von Berg; von Berg").lower()
+    assert re.fullmatch(r"Mr [a-z]{7} [^ ]+@[^ ]+\.org", surrogate("Mr Schmidt Schmidt.x@a.org"), re.I)
+    assert "x@a" not in surrogate("Mr Schmidt Schmidt.x@a.org")
+    assert words[0] == words[6] and {words[i].lower() for i in (1, 3, 8, 9)} == {words[1].lower()}
+
+
+@pytest.mark.parametrize("own", ["030 1234567", "06 12 34 56 78", "1365557479", "2001:db8::1"])
+def test_national_phones_and_ipv6(own):
+    made = surrogate(f"at {own}, ok")
+    assert own not in made and made.startswith("at ") and made.endswith(", ok")
+    if ":" not in own:
+        assert re.sub(r"\d", "0", made) == re.sub(r"\d", "0", f"at {own}, ok")
