@@ -23,8 +23,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
-    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold no item of the benchmark and no passage of a longer one."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"), decontam.Settings(passages=True))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

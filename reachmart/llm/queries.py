@@ -118,4 +118,6 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_benchmark_leaks")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Documents and the benchmark items found in them, copied or reworded."""
-    return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontam.find_leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), decontam.Settings(passages=True)
+    )

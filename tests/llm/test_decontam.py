@@ -141,3 +141,15 @@ def test_candidates_are_complete(monkeypatch, cells):
                 if sum(w in around for w in own) >= settings.part * len(own):
                     wanted.add((p, i))
         assert wanted <= set(search.candidates(words))
+
+
+def test_passages_of_long_items(spark, tmp_path):
+    from reachmart.llm import queries
+
+    rng = random.Random(9)
+    item = zipf(rng, 200)
+    rows = [(i, " ".join(zipf(rng, 90) + item[at : at + 64] + zipf(rng, 90))) for i, at in enumerate((0, 17, 80, 136))]
+    rows.append((9, " ".join(zipf(rng, 200))))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(item))], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r.doc_id for r in queries.op10(spark, str(tmp_path)).collect()) == [0, 1, 2, 3]
