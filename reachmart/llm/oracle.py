@@ -138,9 +138,38 @@ FROM judged
 """
 
 
+# Every anchor against every row; windows by cross-multiplied integers.
+OP11 = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.uid, a.vec_id AS anchor_id, b.uid AS other, b.vec_id AS other_id, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.uid <> b.uid
+),
+positives AS (
+  SELECT uid, anchor_id, other_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY uid ORDER BY score DESC, other_id NULLS LAST) AS positive
+  FROM scored WHERE same QUALIFY positive <= 5
+),
+ranked AS (
+  SELECT p.*, n.other_id AS negative_id, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.uid, positive ORDER BY n.score DESC, n.other_id NULLS LAST) AS rank
+  FROM positives p JOIN scored n ON p.uid = n.uid AND NOT n.same
+    AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score, positive::INTEGER AS positive
+FROM ranked WHERE rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op4_repeated_windows": OP4,
     "op7_warc_segments": OP7,
     "op8_mixture": op8(budget=0.3, power=0.8, sweeps=8),
     "op9_line_quality": op9(),
+    "op11_hard_negatives": OP11,
 }

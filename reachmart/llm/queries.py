@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import decontam, language, mixing, pii, quality, sharding, simhash, toxicity, warc, windows
+from reachmart.llm import decontam, language, mixing, negatives, pii, quality, sharding, simhash, toxicity, warc, windows
 from reachmart.llm.common import table
 from reachmart.session import scratch_dir
 
@@ -121,3 +121,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.find_leaks(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), decontam.Settings(passages=True)
     )
+
+
+@query("op11_hard_negatives")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector against all vectors."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=shifted)

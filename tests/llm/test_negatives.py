@@ -1,0 +1,120 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reachmart.llm import negatives
+from reachmart.llm.negatives import Settings
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+SMALL = Settings(positives=3, negatives=4, references=3, sample=20, block=5, rows=7)
+
+
+def plain(rows, settings, every):
+    """Every pair scored, sorted and cut."""
+    rows = [r for r in rows if r[2] is not None and r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    whole = [[math.floor(settings.scale * float(np.float32(x))) for x in v] for _, v, _ in rows]
+    found = []
+    for a, (anchor, _, label) in enumerate(rows):
+        if anchor is None or anchor % every:
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(whole[a], whole[b])), other is None, other or 0, other, theirs)
+            for b, (other, _, theirs) in enumerate(rows)
+            if b != a
+        ]
+        scored.sort(key=lambda s: s[:3])
+        same, others = ([s for s in scored if (s[4] == label) == k] for k in (True, False))
+        for p in same[: settings.positives]:
+            inside = [n for n in others if -settings.low * p[0] <= -100 * n[0] <= -settings.high * p[0]]
+            for rank, n in enumerate(inside[: settings.negatives], 1):
+                found.append((anchor, p[3], rank, n[3], -p[0], -n[0]))
+    return sorted(found, key=repr)
+
+
+def ours(spark, rows, settings, every):
+    frame = spark.createDataFrame(rows, VECTORS)
+    frame = frame.select("*", *[F.lit("x").alias(c) for c in ("rank", "uid", "anchor", "score", "vector", "slot")])
+    got = negatives.hard_negatives(frame, F.col("vec_id") % every == 0, settings).collect()
+    return sorted((tuple(r)[:6] for r in got), key=repr)
+
+
+def clustered(seed, n, width=6, ties=False):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(4)]
+    rows = []
+    for i in range(n):
+        noise = 0 if ties else 0.2
+        centre = centres[rng.randrange(4)]
+        rows.append((i, [x * rng.choice([1, 2]) + rng.gauss(0, noise) for x in centre], rng.randrange(3)))
+    return rows
+
+
+@pytest.mark.parametrize("seed, ties", [(1, False), (2, False), (3, True)])
+def test_brute_force(spark, seed, ties):
+    rows = clustered(seed, 60, ties=ties)
+    assert ours(spark, rows, SMALL, 5) == plain(rows, SMALL, 5)
+
+
+def test_odd_rows(spark):
+    v = [0.5, -0.25, 1.0]
+    rows = [
+        (0, v, 1), (0, v, 1), (0, v, 1), (0, [9.0, 1.0, 1.0], 2), (5, [], 1), (10, [0.0, 0.0, 0.0], 1), (15, None, 1), (20, v, None),
+        (25, [float("nan"), 1.0, 1.0], 1), (30, [float("inf"), 1.0, 1.0], 2), (35, [None, 1.0, 1.0], 1), (None, v, 1), (None, v, 2),
+        (1, [0.3, -0.1, 0.2], 2), (2, [0.3, -0.1, 0.2], 2), (3, [0.3], 3), (4, [0.3, 0.1, 0.2, 8.0], 3), (-5, [-1.0, -1.0, -1.0], 1),
+        (6, [1e5, 2e5, -1e5], 1), (7, [3e4, 6e4, 1e4], 3),
+    ]
+    for settings in (SMALL, Settings(positives=30, negatives=30)):
+        got = ours(spark, rows, settings, 5)
+        assert got and got == plain(rows, settings, 5)
+
+
+def test_empty_and_no_anchor(spark):
+    assert ours(spark, [], SMALL, 5) == []
+    assert ours(spark, [(1, [1.0], 1), (2, [1.0], 2)], SMALL, 5) == []
+
+
+def test_scores_beyond_doubles():
+    a = np.array([[2.0**31 + 1, 3.0]])
+    assert negatives.exact_scores(a, a, 2.0**63)[0, 0] == (2**31 + 1) ** 2 + 9
+    with pytest.raises(ValueError):
+        negatives.exact_scores(a * 2.0**20, a, 2.0**84)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_bounds_hold(seed):
+    rng = np.random.default_rng(seed)
+    a, b = (np.floor(rng.normal(size=(40, 5)) * rng.choice([3, 300, 1e6])) for _ in range(2))
+    b[:5], b[5:8], b[8] = a[:5], -2 * a[5:8], 0
+    references = negatives.spread(b, 4)
+    (own, theta), (norms, edges) = negatives.angles(a, references), negatives.angles(b, references)
+    lower, upper = negatives.score_bounds(own, theta, (norms[None], norms[None]), edges, edges)
+    scores = a @ b.T
+    assert (lower <= scores).all() and (scores <= upper).all()
+    ends = [np.array([f(norms)]) for f in (np.min, np.max)]
+    sides = [f(edges, axis=0)[None] for f in (np.min, np.max)]
+    lower, upper = negatives.score_bounds(own, theta, ends, *sides)
+    assert (lower <= scores).all() and (scores <= upper).all()
+
+
+def test_angles_spare_scores():
+    """Blocks that point elsewhere are not scored, and rows neither."""
+    rng = np.random.default_rng(1)
+    centres = np.eye(6)
+    rows = np.floor(256 * (centres[np.arange(600) % 6] + rng.normal(size=(600, 6)) * 0.03))
+    references = negatives.spread(rows, 6)
+    norms, theta = negatives.angles(rows, references)
+    order = np.lexsort((theta.min(axis=1), theta.argmin(axis=1)))
+    at = np.arange(6)
+    low, high = (np.full((6, 1), x) for x in (60_000, 70_000))
+    anchors = negatives.Anchors(at, at % 2, rows[at], norms[at], theta[at], low, high)
+    best = negatives.Best(anchors, 10, False)
+    for start in range(0, 600, 50):
+        some = order[start : start + 50]
+        best.add(negatives.Block(some, some, some < 0, some // 6 % 2, rows[some], norms[some], theta[some]))
+    assert best.compared == 3600 and best.scored < 400
+    scores = rows[at] @ rows.T
+    fits = (scores >= 60_000) & (scores <= 70_000) & (at[:, None] % 2 != np.arange(600) // 6 % 2)
+    assert len(best.rows[0]) == np.minimum(fits.sum(axis=1), 10).sum() > 30
