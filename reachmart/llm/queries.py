@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import decontam, language, mixing, negatives, pii, quality, sharding, simhash, toxicity, warc, windows
+from reachmart.llm import decontam, fingerprints, language, mixing, negatives, pii, quality, sharding, simhash, toxicity, warc, windows
 from reachmart.llm.common import table
 from reachmart.session import scratch_dir
 
@@ -130,3 +130,9 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     label = F.col("label").cast("long")
     shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=shifted)
+
+
+@query("op12_fingerprints")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of texts whose last quarter is the next document's start."""
+    return fingerprints.edited_likeness(table(spark, folder, "documents"))
