@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reachmart.llm import decontam, fingerprints, language, mixing, negatives, pii, quality, sharding, simhash, toxicity, warc, windows
+from reachmart.llm import (
+    alignment,
+    decontam,
+    fingerprints,
+    language,
+    mixing,
+    negatives,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+    windows,
+)
 from reachmart.llm.common import table
 from reachmart.session import scratch_dir
 
@@ -136,3 +150,9 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of texts whose last quarter is the next document's start."""
     return fingerprints.edited_likeness(table(spark, folder, "documents"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of a byte-level and of a sentence-piece vocabulary line up in all documents."""
+    return alignment.align(table(spark, folder, "documents"))
