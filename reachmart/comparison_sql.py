@@ -48,7 +48,7 @@ event_facts AS (
          CAST(date_trunc('week', event_ts) AS TIMESTAMP) AS event_week
   FROM src_events
 ),
-money AS (SELECT *, CAST(amount AS DECIMAL(28, 10)) AS exact FROM order_facts),
+money AS (SELECT *, CAST(CAST(amount AS VARCHAR) AS DECIMAL(38, 16)) AS exact FROM order_facts),
 all_orders AS (SELECT customer_id, count(*) AS n FROM order_facts GROUP BY customer_id),
 paid_ever AS (
   SELECT customer_id, CAST(sum(exact) AS DOUBLE) AS total
@@ -282,14 +282,14 @@ _CORE = {
           FROM order_facts WHERE status = 'paid')""",
     "kpi_by_filter": """
         SELECT country_filter, count(*) AS total_customers,
-               CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE) AS total_revenue,
+               CAST(sum(CAST(CAST(lifetime_revenue AS VARCHAR) AS DECIMAL(38, 16))) AS DOUBLE) AS total_revenue,
                CAST(sum(nps_score) AS DOUBLE) / count(nps_score) AS avg_nps,
                count(*) FILTER (WHERE events_30d > 0) AS active_customers
         FROM (SELECT *, 'All' AS country_filter FROM profile UNION ALL SELECT *, country FROM profile)
         WHERE country_filter IS NOT NULL GROUP BY country_filter""",
     "kpi_display": """
         SELECT country_filter, format('{:,}', count(*)) AS total_customers,
-               '$' || format('{:,}', CAST(round_even(CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE), 0) AS BIGINT)) AS total_revenue,
+               '$' || format('{:,}', CAST(round_even(CAST(sum(CAST(CAST(lifetime_revenue AS VARCHAR) AS DECIMAL(38, 16))) AS DOUBLE), 0) AS BIGINT)) AS total_revenue,
                printf('%.1f', CAST(sum(nps_score) AS DOUBLE) / count(nps_score)) AS avg_nps,
                format('{:,}', count(*) FILTER (WHERE events_30d > 0)) AS active_customers
         FROM (SELECT *, 'All' AS country_filter FROM profile UNION ALL SELECT *, country FROM profile)
@@ -308,7 +308,7 @@ _CORE = {
                     FROM (SELECT CAST(nps_score AS DOUBLE) AS x FROM profile WHERE nps_score IS NOT NULL)))
         GROUP BY bin""",
     "revenue_by_country": """
-        SELECT country, CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE)
+        SELECT country, CAST(sum(CAST(CAST(lifetime_revenue AS VARCHAR) AS DECIMAL(38, 16))) AS DOUBLE)
                  AS lifetime_revenue
         FROM profile WHERE country IS NOT NULL GROUP BY country""",
     "segment_counts": "SELECT segment, count(*) AS customers FROM scores GROUP BY segment",
@@ -353,11 +353,11 @@ _CORE = {
         UNION ALL SELECT 'Customers Activated', count(*) FROM payload""",
     "activation_metrics": """
         SELECT count(*) AS customers_activated, count(DISTINCT segment) AS segments_targeted,
-               CAST(sum(CAST(risk AS DECIMAL(28, 16))) AS DOUBLE) / count(risk) AS avg_risk
+               CAST(sum(CAST(CAST(risk AS VARCHAR) AS DECIMAL(38, 16))) AS DOUBLE) / count(risk) AS avg_risk
         FROM records JOIN risks USING (customer_id)""",
     "validate_activation": """
         SELECT count(*) AS activated,
-               CAST(sum(CAST(risk AS DECIMAL(28, 16))) AS DOUBLE) / count(risk) AS avg_risk
+               CAST(sum(CAST(CAST(risk AS VARCHAR) AS DECIMAL(38, 16))) AS DOUBLE) / count(risk) AS avg_risk
         FROM records JOIN risks USING (customer_id)""",
     "model_risk": """
         SELECT customer_id,
@@ -389,10 +389,10 @@ _CORE = {
 _CORE["segment_context_join"] = _CORE["segment_context_all"]
 _CORE["segment_performance"] = _CORE["segment_performance_join"] = """
     SELECT segment,
-           CAST(sum(CAST(lifetime_revenue AS DECIMAL(28, 10))) AS DOUBLE)
+           CAST(sum(CAST(CAST(lifetime_revenue AS VARCHAR) AS DECIMAL(38, 16))) AS DOUBLE)
              / count(lifetime_revenue) AS lifetime_revenue,
            CAST(sum(nps_score) AS DOUBLE) / count(nps_score) AS nps_score,
-           CAST(sum(CAST(score AS DECIMAL(28, 10))) AS DOUBLE) / count(score) AS score
+           CAST(sum(CAST(CAST(score AS VARCHAR) AS DECIMAL(38, 16))) AS DOUBLE) / count(score) AS score
     FROM scores JOIN profile USING (customer_id) GROUP BY segment"""
 
 
