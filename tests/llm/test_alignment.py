@@ -123,3 +123,27 @@ def test_letters_of_bytes():
     _, letters, decoder = spelled_first()
     assert len(letters) == 256 and sorted(letters.values()) == list(range(256))
     assert all(letters[c] == b[0] for c, b in decoder.items() if len(c) == 1)
+
+
+def test_words_are_those_of_the_tokenizer():
+    """Every settled character, next to letters, numbers, blanks and marks."""
+    side = alignment.ByteLevel(FIRST)
+    letter = {b: c for c, b in alignment.byte_of_letter().items()}
+    cut = side.tokenizer.pre_tokenizer.pre_tokenize_str
+    settled = [chr(i) for i in range(0x3000) if alignment._SETTLED.fullmatch(chr(i))]
+    assert len(settled) > 1400 and not alignment._SETTLED.fullmatch("a\u00a0") and not alignment._SETTLED.fullmatch("日")
+    for c in settled:
+        t = f" a{c}a1{c}1 {c} {c}.{c}\n{c}'s'{c}  {c}{c}"
+        own = ["".join(letter[b] for b in w.encode()) for w in alignment._WORDS.findall(t)]
+        assert own == [w for w, _ in cut(t)], c
+
+
+def test_remembered_words(monkeypatch):
+    side = alignment.ByteLevel(FIRST)
+    rng = random.Random(3)
+    signs = "aab  \n\t.,'!?’é1\u00a0" + "".join(STRANGE)[:300]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(80))) for _ in range(400)] + [" don't we'll", "''s  ", "x" * 500]
+    wanted = [side.tokenizer.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(alignment, "_KNOWN", 50)
+    assert [i for start in range(0, len(texts), 20) for i in side.encode(texts[start : start + 20])] == wanted
+    assert side.by_word and any(alignment._SETTLED.fullmatch(t) for t in texts)
