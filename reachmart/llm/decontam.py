@@ -1,15 +1,16 @@
-"""Benchmark passages in documents, also reworded: a complete search by shared words, then two exact checks."""
+"""Benchmark passages in documents, also reworded: a latent cosine search, then checks in place."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reachmart.llm.common import numbered, received, renamed, shared, stored
 
@@ -21,20 +22,37 @@ _PLAIN = bytes(
 
 @dataclass(frozen=True)
 class Settings:
-    """Words are runs of letters and digits. ``stride`` words make a block and two blocks a passage.
-    A match needs a share of ``whole`` of the item's words in order, or of ``part`` of them
-    with a share of ``answer`` of its last ``answer_words`` words nearby. With ``passages`` a
-    share of ``whole`` of any passage of a longer item is a match, too."""
-
-    stride: int = 32
+    """Words are runs of letters and digits. Items are searched by passages of ``long`` words,
+    those of under ``long`` / 2 words by passages of ``short`` words; passages overlap by half.
+    An item of over ``part`` words is searched by overlapping parts of that size.
+
+    A passage whose vector has a cosine of at least ``cosine`` with an item's is a candidate.
+    Near it, in a stretch of text not much longer than the item, a match needs a share of
+    ``whole`` of the item's words in order, or of ``partly`` of them with a share of ``answer``
+    of its last ``answer_words`` words in order where the item ends; and the words in order
+    must carry a share of ``weight`` of the item's term weights, and ``least`` in all, which is
+    the logarithm of how rarely they come together, or be a share of ``nearly`` of it. With ``passages`` a part of a
+    longer item that passes is a match, too.
+
+    The latent space has as many dimensions, up to ``rank``, as keep a share of ``energy`` of
+    each item. A benchmark of more than ``items`` items is searched in several passes."""
+
+    long: int = 32
+    short: int = 8
+    part: int = 64
+    cosine: float = 0.55
     rank: int = 256
+    energy: float = 0.6
     extra: int = 16  # further columns of the random projection
     rounds: int = 2  # power iterations
     whole: float = 0.6
-    part: float = 0.45
+    partly: float = 0.45
+    weight: float = 0.5
+    least: float = 12.0
+    nearly: float = 0.9
     answer: float = 0.75
     answer_words: int = 8
-    items: int = 50_000  # bound of the benchmark
+    items: int = 50_000
     passages: bool = False
 
 
@@ -108,6 +126,14 @@ def latent_space(passages: DataFrame, size: int, settings: Settings) -> np.ndarr
     return basis @ vectors[:, order]
 
 
+def dimensions(kept: np.ndarray, energy: float) -> int:
+    """How many dimensions keep a share of ``energy`` of every row of unit length; ``kept`` has
+    the rows' places in the space. All of them where that is not to be had."""
+    least = np.cumsum(kept * kept, axis=1).min(axis=0, initial=1.0)
+    enough = np.flatnonzero(least >= energy)
+    return int(enough[0]) + 1 if len(enough) else kept.shape[1]
+
+
 # --- exact checks -------------------------------------------------------------------------
 
 
@@ -124,238 +150,275 @@ def common_subsequence(item: list[bytes], text: list[bytes]) -> int:
     return len(item) - row.bit_count()
 
 
-class _Lists:
-    """Inverted lists of the items that reach equally far, and the count each has to reach.
+def in_order(item: list[bytes], text: list[bytes]) -> list[int]:
+    """Places in ``item`` of the words of one longest common subsequence, found backwards."""
+    table = [[0] * (len(text) + 1)]
+    for x in item:
+        above, row = table[-1], [0]
+        for j, y in enumerate(text):
+            row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+        table.append(row)
+    places, i, j = [], len(item), len(text)
+    while i and j:
+        if item[i - 1] == text[j - 1]:
+            i, j = i - 1, j - 1
+            places.append(i)
+        elif table[i - 1][j] >= table[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return places[::-1]
+
 
-    Of an item's n words, ``least`` must be near for a match, so n - least may be missing. The
-    lists hold the rarest n - least + h words of each item; a match has h of them at least,
-    whatever the others are. No match is lost, and the commonest words need no lists.
-    """
+@dataclass
+class Unit:
+    """An item, or a part of a longer one, that passages are compared with."""
 
-    CELLS = 1 << 22  # counted at a time
-
-    def __init__(self, items: list[tuple[int, np.ndarray]], idf: np.ndarray, far: int, share: float):
-        # Passages that are counted together; the blocks of their surroundings overlap by half.
-        self.far, self.step = far, 2 * far + 2
-        self.places = np.array([place for place, _ in items], np.int64)
-        self.hits = np.zeros(len(items), np.int64)
-        terms, rows, counts = [], [], []
-        for row, (_, numbers) in enumerate(items):
-            least = max(1, math.ceil(share * len(numbers) - 1e-9))
-            self.hits[row] = max(1, least * 3 // 4)
-            kept = len(numbers) - least + self.hits[row]
-            listed, times = np.unique(numbers[np.lexsort((numbers, -idf[numbers]))][:kept], return_counts=True)
-            terms.append(listed)
-            counts.append(times)
-            rows.append(np.full(len(listed), row, np.int64))
-        term = np.concatenate(terms)
-        order = np.argsort(term, kind="stable")
-        self.rows, self.counts = np.concatenate(rows)[order], np.concatenate(counts)[order].astype(float)
-        self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
-
-    def near(self, numbers: np.ndarray, at: np.ndarray, passages: int) -> Iterator[tuple[int, int]]:
-        """First passage and item place of all groups of passages that have enough of an item's
-        words around them; ``numbers`` are the known words, ``at`` their blocks."""
-        groups = -(-passages // self.step)
-        listed = self.starts[numbers + 1] > self.starts[numbers]
-        numbers, at = numbers[listed], at[listed]
-        low = np.maximum((at - self.far - 1) // self.step, 0)
-        high = np.minimum((at + self.far) // self.step, groups - 1)
-        size = len(self.starts)
-        pairs = np.unique(np.concatenate([g[fits] * size + numbers[fits] for g in (low, low + 1) for fits in [g <= high]]))
-        group, term = pairs // size, pairs % size
-        first, lengths = self.starts[term], self.starts[term + 1] - self.starts[term]
-        ends = np.cumsum(lengths)
-        begin = 0
-        while begin < len(pairs):
-            # As many whole groups as fit in the cells, by the lists' lengths and the items.
-            over = int(np.searchsorted(ends, ends[begin] + self.CELLS, "right"))
-            last = int(group[begin]) + max(1, self.CELLS // len(self.places))
-            if over < len(pairs):
-                last = min(last, max(int(group[over]), int(group[begin]) + 1))
-            end = int(np.searchsorted(group, last))
-            n = lengths[begin:end]
-            where = np.repeat(first[begin:end] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            origin = int(group[begin])
-            cell = np.repeat(group[begin:end] - origin, n) * len(self.places) + self.rows[where]
-            found = np.bincount(cell, self.counts[where], (int(group[end - 1]) - origin + 1) * len(self.places))
-            enough = np.flatnonzero(found.reshape(-1, len(self.places)) >= self.hits)
-            for hit in enough.tolist():
-                yield (hit // len(self.places) + origin) * self.step, int(self.places[hit % len(self.places)])
-            begin = end
+    item: int
+    words: list[bytes]
+    numbers: np.ndarray
+    last: list[bytes]  # the item's answer; none for a part that does not end it
+    matches: bool  # whether finding it is a match
 
 
 class Search:
-    """The benchmark's items by their words and as vectors of the space; and the checks of candidates."""
+    """The benchmark's items as vectors of the space, and the checks of candidates."""
 
-    def __init__(self, items, terms, idf, space, settings: Settings):
+    ROWS = 1024  # passages that are compared at a time
+
+    def __init__(self, items, terms, idf, settings: Settings):
         self.items, self.settings = items, settings
         self.number = {t: i for i, t in enumerate(terms)}
-        self.space = (space * idf[:, None]).astype(np.float32)
-        passages, owners = [], []
-        by_reach: dict[int, list] = {}
-        # What is looked for, with the item's place: the items, then passages of longer ones.
-        self.units = [(place, words) for place, (_, words) in enumerate(items)]
+        self.idf = np.append(idf, 0.0)
+        self.own = np.zeros(len(idf) + 1, bool)  # the terms of the unit that is being checked
+        self.units: list[Unit] = []
         for place, (_, words) in enumerate(items):
+            last = words[-settings.answer_words :]
             parts = self._parts(words)
-            if settings.passages and len(parts) > 1:
-                self.units += [(place, part) for part in parts]
-        for unit, (_, words) in enumerate(self.units):
-            far = -(-self._reach(words) // settings.stride)
-            numbers = np.array([self.number[w] for w in words], np.int64)
-            by_reach.setdefault(1 << (far - 1).bit_length(), []).append((unit, numbers))
-        for place, (_, words) in enumerate(items):
-            for part in self._parts(words):
-                passages.append(self._vector(part))
-                owners.append(place)
-        self.vectors = np.array(passages, np.float32).reshape(len(passages), space.shape[1])
-        self.owners = np.array(owners, np.int64)
-        share = min(settings.part, settings.whole)
-        self.lists = [_Lists(own, idf, far, share) for far, own in sorted(by_reach.items())]
+            if len(parts) > 1:
+                # Passages inside a long item resemble its parts, not all of it.
+                self.units += [self._unit(place, part, part[-len(last) :], settings.passages) for part in parts]
+            else:
+                self.units.append(self._unit(place, words, last, True))
+        self.whole = {u: self._unit(u, items[u][1], items[u][1][-settings.answer_words :], True) for u in self._long()}
+
+    def _long(self) -> list[int]:
+        return [place for place, (_, words) in enumerate(self.items) if len(words) > self.settings.part]
+
+    def _unit(self, place: int, words: list[bytes], last: list[bytes], matches: bool) -> Unit:
+        return Unit(place, words, np.array([self.number[w] for w in words], np.int64), last, matches)
 
     def _parts(self, words: list[bytes]) -> list[list[bytes]]:
-        """An item, or overlapping passages of it where it is longer than a passage."""
-        size, stride = 2 * self.settings.stride, self.settings.stride
+        size = self.settings.part
         if len(words) <= size:
             return [words]
-        return [words[i : i + size] for i in range(0, len(words) - stride, stride)]
-
-    def _reach(self, words: list[bytes]) -> int:
-        """Words before and behind a passage in which an item is looked for."""
-        return max(self.settings.stride, len(words))
-
-    def _vector(self, words: list[bytes]) -> np.ndarray:
-        """Unit vector of the space, or zeros."""
-        numbers = [self.number[w] for w in words if w in self.number]
-        vector = self.space[numbers].sum(axis=0)
-        return vector / max(float(np.linalg.norm(vector)), 1e-12)
-
-    def cosine(self, item: int, passage: list[bytes]) -> float:
-        """Of the projections of a passage and the item, or the nearest passage of the item."""
-        own = slice(*np.searchsorted(self.owners, [item, item + 1]))
-        return float((self.vectors[own] @ self._vector(passage)).max())
-
-    def candidates(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
-        """Passage (first block) and unit of all pairs that can pass the checks."""
-        stride, other = self.settings.stride, len(self.number)
-        numbers = np.fromiter(map(self.number.get, words, repeat(other)), np.int64, len(words))
-        known = np.flatnonzero(numbers < other)
-        if not len(known):
+        starts = [*range(0, len(words) - size, size // 2), len(words) - size]
+        return [words[i : i + size] for i in starts]
+
+    def weights(self, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a unit and their TF-IDF weights, of unit length."""
+        numbers, counts = np.unique(unit.numbers, return_counts=True)
+        weights = counts * self.idf[numbers]
+        return numbers, weights / np.linalg.norm(weights)
+
+    def project(self, space: np.ndarray) -> None:
+        """Cuts the space to the dimensions that are needed and places the units in it."""
+        rows = [self.weights(u) for u in self.units]
+        kept = np.array([w @ space[n] for n, w in rows]).reshape(len(rows), space.shape[1])
+        rank = dimensions(kept, self.settings.energy)
+        # Words that are in no item have no direction: the last row.
+        self.space = np.vstack([space[:, :rank] * self.idf[:-1, None], np.zeros((1, rank))]).astype(np.float32)
+        vectors = kept[:, :rank].astype(np.float32)
+        vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
+        short = np.array([2 * len(u.words) < self.settings.long for u in self.units], bool)
+        self.scales = [
+            (size, np.flatnonzero(which), vectors[which])
+            for size, which in ((self.settings.long, ~short), (self.settings.short, short))
+            if which.any()
+        ]
+
+    def passages(self, numbers: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """First words of a text's passages and their unit vectors; none of them is zero.
+        At most ``ROWS`` passages come together."""
+        half = size // 2
+        blocks = -(-len(numbers) // half)
+        padded = np.full(blocks * half, len(self.number), np.int64)
+        padded[: len(numbers)] = numbers
+        padded = padded.reshape(blocks, half)
+        for start in range(0, max(blocks - 1, 1), self.ROWS):
+            sums = self.space[padded[start : start + self.ROWS + 1]].sum(axis=1)
+            vectors = sums[:-1] + sums[1:] if blocks > 1 else sums
+            norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+            some = np.flatnonzero(norms > 1e-6)
+            yield (start + some) * half, vectors[some] / norms[some, None]
+
+    def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """Unit, stretch of words and highest cosine of passages that follow each other."""
+        for size, which, vectors in self.scales:
+            for firsts, own in self.passages(numbers, size):
+                cosines = (own @ vectors.T).T
+                columns, rows = np.nonzero(cosines >= self.settings.cosine)
+                if not len(rows):
+                    continue
+                first = firsts[rows]
+                new = np.r_[True, (columns[1:] != columns[:-1]) | (first[1:] - first[:-1] > size)]
+                heads = np.flatnonzero(new)
+                best = np.maximum.reduceat(cosines[columns, rows], heads)
+                ends = np.r_[heads[1:], len(rows)] - 1
+                yield from zip(which[columns[heads]].tolist(), first[heads].tolist(), (first[ends] + size).tolist(), best.tolist())
+
+    def _stretches(self, numbers: np.ndarray, unit: Unit, low: int, high: int, least: int) -> Iterator[tuple[int, int]]:
+        """Where the most words of a unit lie within little more than its length, if enough do."""
+        n = len(unit.words)
+        low, high = max(0, low - n), min(len(numbers), high + n)
+        size = n + max(4, n // 4)
+        self.own[unit.numbers] = True
+        hits = np.concatenate([[0], np.cumsum(self.own[numbers[low:high]])])
+        self.own[unit.numbers] = False
+        if hits[-1] < least:
             return
-        passages = max(1, -(-len(words) // stride) - 1)
-        for lists in self.lists:
-            for first, item in lists.near(numbers[known], known // stride, passages):
-                for passage in range(first, min(first + lists.step, passages)):
-                    yield passage, item
+        counts = hits[size:] - hits[:-size] if len(hits) > size else hits[-1:]
+        most = counts.max()
+        if most < least:
+            return
+        at = np.flatnonzero(counts == most)
+        for start in dict.fromkeys((int(at[len(at) // 2]), int(at[0]), int(at[-1]))):
+            yield low + start, min(low + start + size, high)
+
+    def check(self, words: list[bytes], numbers: np.ndarray, unit: Unit, low: int, high: int) -> tuple[float, float] | None:
+        """Shares in order of a unit and of its answer in the stretches, if they make a match."""
+        s, n = self.settings, len(unit.words)
+        least = max(1, math.ceil(min(s.whole, s.partly) * n - 1e-9))
+        found = None
+        for start, end in self._stretches(numbers, unit, low, high, least):
+            text = words[start:end]
+            common = common_subsequence(unit.words, text)
+            if common < least:
+                continue
+            behind = text[-(len(unit.last) + max(4, n // 4) + n - common) :]
+            answer = common_subsequence(unit.last, behind) / len(unit.last)
+            share = common / n
+            if share < s.whole and answer < s.answer:
+                continue
+            weights = self.idf[unit.numbers]
+            carried = weights[in_order(unit.words, text)].sum()
+            if carried >= s.weight * weights.sum() and (carried >= s.least or share >= s.nearly):
+                found = max(found or (0.0, 0.0), (share, answer))
+        return found
 
     def matches(self, text: bytes | None) -> list[tuple[int, float, float, float]]:
         """Item place, cosine, share in order and share of the answer, for each item found."""
         words = words_of(text)
-        if not words or not len(self.items):
+        if not words or not self.units:
             return []
+        numbers = np.fromiter(map(self.number.get, words, repeat(len(self.number))), np.int64, len(words))
         best: dict[int, tuple[float, float, float]] = {}
-        stride = self.settings.stride
-        for passage, unit in self.candidates(words):
-            item, own = self.units[unit]
-            reach = self._reach(own)
-            around = words[max(0, passage * stride - reach) : passage * stride + 2 * stride + reach]
-            held = set(around).__contains__
-            most = sum(map(held, own)) / len(own)  # in common, in whatever order
-            if most < self.settings.part:
-                continue
-            last = self.items[item][1][-self.settings.answer_words :]
-            answer = sum(map(held, last)) / len(last)
-            if most < self.settings.whole and answer < self.settings.answer:
-                continue
-            share = common_subsequence(own, around) / len(own)
-            answered = unit < len(self.items) and share >= self.settings.part and answer >= self.settings.answer
-            if share >= self.settings.whole or answered:
-                cosine = self.cosine(item, words[passage * stride : passage * stride + 2 * stride])
-                if (share, cosine) > best.get(item, (0.0, -2.0, 0.0))[:2]:
-                    best[item] = (share, cosine, answer)
+        for place, low, high, cosine in self.candidates(numbers):
+            unit = self.units[place]
+            tried = [unit] if unit.matches else []
+            if unit.item in self.whole:
+                tried.append(self.whole[unit.item])
+            for one in tried:
+                found = self.check(words, numbers, one, low, high)
+                if found:
+                    best[one.item] = max(best.get(one.item, (0.0, 0.0, 0.0)), (found[0], cosine, found[1]))
         return [(i, cosine, share, answer) for i, (share, cosine, answer) in sorted(best.items())]
 
 
-def prepare(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> tuple[Search, str]:
-    """The search over all items, with term weights from all documents; and the id's type."""
+def prepare(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> list[Search]:
+    """The searches over all items, with term weights from all documents. Each holds at most
+    ``settings.items`` items or so; which one an item falls to is a matter of its hash."""
+    total = benchmark.count()
+    passes = max(1, -(-total // settings.items))
+    own = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    return [_search(docs, benchmark.filter(own == i) if passes > 1 else benchmark, settings) for i in range(passes)]
+
+
+def _search(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> Search:
     spark = docs.sparkSession
-    if benchmark.count() > settings.items:
-        raise ValueError("the benchmark exceeds its bound; search it in parts")
     rows = benchmark.select("item_id", F.col("text").cast("binary").alias("text")).collect()
     items = [(r["item_id"], words_of(r["text"])) for r in rows if r["text"] is not None]
     items = sorted((i for i in items if i[1]), key=lambda i: (i[0] is None, i[0] if i[0] is not None else 0, i[1]))
     terms = sorted({w for _, words in items for w in words})
     total, frequency = _frequencies(docs, terms)
     idf = np.log((total + 1) / (frequency + 0.5)).clip(1e-3)
-    empty = np.zeros((len(terms), 0))
-    search = Search(items, terms, idf, empty, settings)
-    space = empty
+    search = Search(items, terms, idf, settings)
+    space = np.zeros((len(terms), 0))
     if items:
-        vectors = []
-        for _, words in items:
-            for part in search._parts(words):
-                numbers, counts = np.unique([search.number[w] for w in part], return_counts=True)
-                weights = counts * idf[numbers]
-                vectors.append((numbers.tolist(), (weights / np.linalg.norm(weights)).tolist()))
+        vectors = [(n.tolist(), w.tolist()) for n, w in map(search.weights, search.units)]
         passages = spark.createDataFrame(vectors, "terms array<long>, weights array<double>")
         space = latent_space(stored(passages, "passages"), len(terms), settings)
-    kind = benchmark.schema["item_id"].dataType.simpleString()
-    return Search(items, terms, idf, space, settings), kind
+    search.project(space)
+    return search
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """A row for each row of ``docs`` and item found in it: ``doc_id``, ``item_id``,
     ``cosine``, ``lcs_share`` and ``answer_share``.
 
-    Every item that shares enough words with the surroundings of a passage of two blocks is a
-    candidate, whatever the size of the benchmark. Candidates must share a long subsequence
-    of words with the item around the passage, or a shorter one together with the item's
-    last words, its answer. ``cosine`` says how near the passage is to the item in the latent
-    space of the benchmark's own passages, which are weighted by TF-IDF with frequencies from
-    all documents; both projections are taken at unit length. It decides nothing. Where a
-    passage of an item decides (``Settings.passages``), ``lcs_share`` is the passage's.
+    Passages and items are placed in the latent space of the benchmark's TF-IDF vectors, with
+    frequencies from all documents, and compared at unit length: so a passage that holds an
+    item is near it however little of the item the space keeps. Candidates must then hold a
+    long subsequence of the item's words within a stretch of about its length, or a shorter
+    one with its last words, its answer, at its end; common words alone do not
+    suffice, unless they are nearly all of the item. Where a part of an item decides
+    (``Settings.passages``), the shares are the part's.
+
+    The search may miss a candidate; tests measure its recall. Every passage of every text is
+    compared with every item, by matrix products of bounded size in the tasks.
 
     * Null or empty texts and items match nothing. A null id is passed on.
-    * Repeated rows give repeated matches. Empty tables give no rows.
+    * Texts of any length are searched whole, in blocks of passages.
+    * Repeated rows give repeated matches, repeated items a match each. Empty tables: no rows.
     * Only ``doc_id`` and ``text``, ``item_id`` and ``text`` are read.
     """
-    search, item_kind = prepare(docs, benchmark, settings)
-    sent = shared(docs.sparkSession, search)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = received(sent)
-        for batch in batches:
-            rows, found = [], []
-            for i, text in enumerate(batch.column(1)):
-                for match in own.matches(text.as_py()):
-                    rows.append(i)
-                    found.append(match)
-            ids = [own.items[m[0]][0] for m in found]
-            arrays = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids)]
-            if not ids:
-                continue
-            arrays += [pa.array([m[k] for m in found], pa.float64()) for k in (1, 2, 3)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
-
     kind = docs.schema["doc_id"].dataType.simpleString()
+    item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, cosine double, lcs_share double, answer_share double"
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+
+    def matcher(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = received(sent)
+            for batch in batches:
+                rows, found = [], []
+                for i, text in enumerate(batch.column(1)):
+                    for match in own.matches(text.as_py()):
+                        rows.append(i)
+                        found.append(match)
+                if not found:
+                    continue
+                ids = pa.array([own.items[m[0]][0] for m in found])
+                arrays = [batch.column(0).take(pa.array(rows, pa.int64())), ids]
+                arrays += [pa.array([m[k] for m in found], pa.float64()) for k in (1, 2, 3)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
+
+        return run
+
+    parts = [texts.mapInArrow(matcher(shared(docs.sparkSession, s)), schema) for s in prepare(docs, benchmark, settings)]
+    return reduce(DataFrame.union, parts)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with the same columns."""
+    """The rows of ``docs`` in which no item is found, with the same columns.
+
+    Rows with null or empty texts stay, repeated rows stay or go together, and columns of any
+    name pass through. An empty benchmark drops nothing.
+    """
     rows, place = numbered(docs)
     numbers = list(place.values())
-    search, _ = prepare(docs, benchmark, settings)
-    sent = shared(docs.sparkSession, search)
+    carried = rows.withColumn("_text", F.col(place["text"]).cast("binary"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = received(sent)
-        for batch in batches:
-            clean = [not own.matches(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-            kept = batch.filter(pa.array(clean, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=numbers)
+    def cleaner(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = received(sent)
+            for batch in batches:
+                clean = [not own.matches(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
-    carried = rows.withColumn("_text", F.col(place["text"]).cast("binary"))
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema]
-    return renamed(carried.mapInArrow(run, ", ".join(fields)), place)
+        return run
+
+    for search in prepare(docs, benchmark, settings):
+        carried = carried.mapInArrow(cleaner(shared(docs.sparkSession, search)), fields)
+    return renamed(carried.select(*numbers), place)

@@ -25,6 +25,20 @@ def test_common_subsequence():
         assert decontam.common_subsequence(a, b) == plain_lcs(a, b)
 
 
+def test_in_order():
+    rng = random.Random(1)
+    for _ in range(100):
+        a, b = ([rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randrange(0, 30))] for _ in "ab")
+        places = decontam.in_order(a, b)
+        assert len(places) == plain_lcs(a, b) == plain_lcs([a[i] for i in places], b)
+
+
+def test_dimensions():
+    kept = np.array([[0.9, 0.3, 0.2], [0.1, 0.9, 0.3]])
+    assert [decontam.dimensions(kept, e) for e in (0.005, 0.5, 0.85, 0.99)] == [1, 2, 3, 3]
+    assert decontam.dimensions(np.zeros((2, 0)), 0.5) == 0
+
+
 def test_space_has_the_singular_vectors(spark):
     rng = np.random.default_rng(0)
     matrix = rng.random((40, 25)) * (rng.random((40, 25)) < 0.3)
@@ -58,25 +72,44 @@ def corpus():
     return items, rows, planted
 
 
-def test_recall_against_all_pairs(spark, make_docs, corpus):
+def test_against_all_pairs(spark, make_docs, corpus):
+    """What is found holds the item in order; nearly all planted items are found, and only they."""
     items, rows, planted = corpus
     benchmark = spark.createDataFrame(items + [(50, None)], ITEMS)
-    got = {(r.doc_id, r.item_id): r for r in decontam.find_leaks(make_docs(rows, clashing=True), benchmark).collect()}
-    share = decontam.Settings().whole
-    wanted = set()
-    for i, value in rows:
-        words = decontam.words_of(value.encode())
-        for j, item in items:
-            own = decontam.words_of(item.encode())
-            if own and set(own) & set(words) and plain_lcs(own, words) >= share * len(own):
-                wanted.add((i, j))
-    found = wanted & set(got)
-    assert len(found) >= 0.95 * len(wanted)
-    assert {(i, j) for i, (kind, j) in planted.items() if kind == 1} <= set(got)
-    reworded = {(i, j) for i, (kind, j) in planted.items() if kind == 2}
-    assert len(reworded & set(got)) >= 0.9 * len(reworded)
-    assert not {(i, j) for i, (kind, j) in planted.items() if kind == 3 and j != 40} & set(got)
-    assert set(got) <= wanted | {k for k, r in got.items() if r.answer_share >= 0.75}
+    docs = make_docs(rows, clashing=True)
+    found = decontam.find_leaks(docs, benchmark)
+    got = {(r.doc_id, r.item_id): r for r in found.collect()}
+    texts, own = dict(rows), dict(items)
+    for (i, j), r in got.items():
+        item = decontam.words_of(own[j].encode())
+        assert r.lcs_share <= plain_lcs(item, decontam.words_of(texts[i].encode())) / len(item) + 1e-9
+        assert r.lcs_share >= 0.6 or (r.lcs_share >= 0.45 and r.answer_share >= 0.75)
+    kinds = {kind: {(i, j) for i, (k, j) in planted.items() if k == kind} for kind in (1, 2, 3)}
+    assert kinds[1] <= set(got)
+    assert len(kinds[2] & set(got)) >= 0.9 * len(kinds[2])
+    assert set(got) <= kinds[1] | kinds[2]
+    # In several passes over the documents, with a space each, the same items are found.
+    again = decontam.find_leaks(docs, benchmark, decontam.Settings(items=15)).collect()
+    assert kinds[1] <= {(r.doc_id, r.item_id) for r in again} <= kinds[1] | kinds[2]
+    kept = decontam.drop_leaks(docs, benchmark, decontam.Settings(items=15)).collect()
+    assert {r.doc_id for r in kept} == {i for i, _ in rows} - {r.doc_id for r in again}
+
+
+def test_common_words_are_no_match(spark, make_docs):
+    story = (
+        "the harbour was quiet in the morning and the name of the boat was painted in red on the side of it what the men "
+        "of the city said is that the north wind is the worst of the year and that it was the end of the season in the town"
+    )
+    rows = [(i, " ".join(random.Random(i).sample(story.split(), 40) + story.split() * 3)) for i in range(30)]
+    rows += [(i, text(i, 60, 3_000) + story) for i in range(30, 400)]
+    rows += [(500, text(7, 50) + " What is the name of the city in the north? Oslo. " + text(8, 50))]
+    items = [
+        (1, "what is the name of the city in the north oslo"),
+        (2, "The heatou ononat to to the anor shheed eronnten onnt thin ndonsh, of. Is the was that of."),
+        (3, "is it that the name of the end was in the year of the"),
+    ]
+    got = decontam.find_leaks(make_docs(rows), spark.createDataFrame(items, ITEMS)).collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(500, 1)]
 
 
 def test_odd_rows(spark, make_docs, odd_rows):
@@ -93,54 +126,37 @@ def test_empty(spark, make_docs):
     none = spark.createDataFrame([], ITEMS)
     assert decontam.find_leaks(make_docs([(1, "a")]), none).collect() == []
     assert decontam.find_leaks(make_docs([]), spark.createDataFrame([(1, "a b")], ITEMS)).collect() == []
-    with pytest.raises(ValueError):
-        decontam.prepare(make_docs([]), spark.createDataFrame([(1, "a"), (2, "b")], ITEMS), decontam.Settings(items=1))
 
 
 def zipf(rng, n, size=20_000):
     return [f"z{int(size ** rng.random())}" for _ in range(n)]
 
 
-def test_recall_does_not_fall_with_the_benchmark(spark, make_docs):
+@pytest.mark.parametrize("n", [40, 3_000, 50_000])
+def test_recall_does_not_fall_with_the_benchmark(spark, make_docs, n):
     """Thousands of items need more dimensions than the latent space has."""
     rng = random.Random(5)
-    items = [(i, " ".join(zipf(rng, rng.randrange(16, 60)))) for i in range(3_000)]
-    rows, wanted = [], set()
-    for i in range(200):
-        own = items[7 * i][1].split()
-        if i % 2:
-            own = [w if rng.random() > 0.2 else f"other{rng.randrange(99)}" for w in own]
-        words = zipf(rng, rng.randrange(20, 200))
-        at = rng.randrange(len(words))
-        words[at:at] = own
+    items = [(i, " ".join(zipf(rng, rng.randrange(16, 60)))) for i in range(n)]
+    rows, whole, reworded, clean = [], set(), set(), set()
+    for i in range(300):
+        item, words = 7 * i % n, zipf(rng, rng.randrange(20, 200))
+        if i % 3:
+            own = items[item][1].split()
+            if i % 3 == 1:
+                own = [w if rng.random() > 0.2 else f"other{rng.randrange(99)}" for w in own]
+            at = rng.randrange(len(words))
+            words[at:at] = own
+            if plain_lcs(items[item][1].split(), own) >= 0.6 * len(own):
+                (reworded if i % 3 == 1 else whole).add((i, item))
+        else:
+            clean.add(i)
         rows.append((i, " ".join(words)))
-        if plain_lcs(items[7 * i][1].split(), words) >= 0.6 * len(own):
-            wanted.add((i, 7 * i))
-    assert len(wanted) >= 190
-    got = decontam.find_leaks(make_docs(rows), spark.createDataFrame(items, ITEMS)).collect()
-    assert wanted <= {(r.doc_id, r.item_id) for r in got}
-
-
-@pytest.mark.parametrize("cells", [1, 50, 1 << 22])
-def test_candidates_are_complete(monkeypatch, cells):
-    monkeypatch.setattr(decontam._Lists, "CELLS", cells)
-    rng = random.Random(cells)
-    items = [(i, [w.encode() for w in zipf(rng, rng.choice([1, 2, 9, 30, 40, 64, 65, 150, 300]), 300)]) for i in range(40)]
-    terms = sorted({w for _, words in items for w in words})
-    idf = np.array([rng.random() for _ in terms])
-    settings = decontam.Settings(stride=16)
-    search = decontam.Search(items, terms, idf, np.zeros((len(terms), 0)), settings)
-    for n in (1, 15, 16, 17, 33, 200, 700):
-        words = [w.encode() for w in zipf(rng, n, 500)]
-        passages = max(1, -(-n // 16) - 1)
-        wanted = set()
-        for i, own in items:
-            reach = max(16, len(own))
-            for p in range(passages):
-                around = set(words[max(0, p * 16 - reach) : p * 16 + 32 + reach])
-                if sum(w in around for w in own) >= settings.part * len(own):
-                    wanted.add((p, i))
-        assert wanted <= set(search.candidates(words))
+    found = decontam.find_leaks(make_docs(rows), spark.createDataFrame(items, ITEMS)).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert len(whole) == 100 and len(reworded) >= 90
+    assert len(whole & got) >= 0.95 * len(whole)
+    assert len(reworded & got) >= 0.9 * len(reworded)
+    assert len({i for i, _ in got} & clean) <= 2
 
 
 def test_passages_of_long_items(spark, tmp_path):
