@@ -20,18 +20,17 @@ STEM = 5  # letters of a word's stem term
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of what is learned, and the size of the vote.
+    """The bound of what is learned from, and the size of the vote.
 
-    ``examples`` bounds the labelled rows that are learned from: where there are more, a
-    share of them is drawn by a hash of the id. ``terms`` bounds the terms of the index.
+    ``examples`` bounds the labelled rows: where there are more, a share of them is drawn by
+    a hash of the id. ``floor`` is the part of a term's weight that its label has no say in.
     """
 
-    examples: int = 20_000
-    terms: int = 8_192
-    least_chi2: float = 40.0
+    examples: int = 4_000
+    floor: float = 0.02
     neighbours: int = 15
     prior_weight: float = 0.5
-    block: int = 64
+    block: int = 1024
 
 
 # --- terms -----------------------------------------------------------------------------
@@ -41,33 +40,41 @@ def words_of(text: str | None) -> list[str]:
     return _LETTERS.findall((text or "").lower())
 
 
-def _stems(words) -> Iterator[str]:
-    return (w[:STEM] + "-" for w in words if len(w) > STEM)
-
-
 def _terms(words: list[str]) -> set[str]:
     """Words, and the stems of longer words (marked by a hyphen)."""
     distinct = set(words)
-    return distinct.union(_stems(distinct))
+    return distinct.union(w[:STEM] + "-" for w in distinct if len(w) > STEM)
 
 
 class Vocabulary:
+    REMEMBERED = 200_000  # words whose terms are kept at hand
+
     def __init__(self, terms: list[str], weights: list[float]):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.known = frozenset(terms)
         self.weights = np.array(weights, float)
+        self.terms_of: dict[str, tuple[int, ...]] = {}
+
+    def _numbers(self, word: str) -> tuple[int, ...]:
+        own = (word, word[:STEM] + "-") if len(word) > STEM else (word,)
+        found = tuple(self.number[t] for t in own if t in self.number)
+        if len(self.terms_of) >= self.REMEMBERED:
+            self.terms_of.clear()
+        self.terms_of[word] = found
+        return found
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and normalised TF-IDF weights of the known terms of a text."""
-        words = words_of(text)
-        hits = self.known & _terms(words)
-        if not hits:
+        counts: dict[int, int] = {}
+        known = self.terms_of
+        for word, n in Counter(words_of(text)).items():
+            for number in known[word] if word in known else self._numbers(word):
+                counts[number] = counts.get(number, 0) + n
+        if not counts:
             return np.zeros(0, np.int64), np.zeros(0)
-        counts = Counter(filter(hits.__contains__, words))
-        counts.update(filter(hits.__contains__, _stems(words)))
-        ordered = sorted(hits)
-        numbers = np.array([self.number[t] for t in ordered], np.int64)
-        weights = (1 + np.log([counts[t] for t in ordered])) * self.weights[numbers]
+        numbers = np.fromiter(counts.keys(), np.int64, len(counts))
+        order = np.argsort(numbers)
+        numbers = numbers[order]
+        weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts))[order])) * self.weights[numbers]
         return numbers, weights / np.linalg.norm(weights)
 
 
@@ -84,26 +91,23 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _vocabulary(examples: DataFrame, settings: Settings) -> Vocabulary | None:
-    """Terms that speak for toxicity, by a chi-squared test on the examples."""
+    """All terms that at least two examples share, of whatever class.
+
+    A term's weight is its IDF times how it goes with the label: the correlation of the two
+    over the examples, in either direction, which does not grow with their number, and the
+    floor. The terms of the bounded examples come to the driver.
+    """
     n, positive = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not positive or positive == n:
         return None
     counted = examples.select("text", "toxic").mapInArrow(_term_counts, "term string, toxic long, other long")
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    c, d = positive - a, (n - positive) - b
-    chi2 = n * F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * float(positive) * float(n - positive))
-    kept = (
-        counted.groupBy("term")
-        .agg(F.sum("toxic").alias("a"), F.sum("other").alias("b"))
-        .filter((a + b >= 2) & (a + b < n) & (a * (n - positive) > b * positive))
-        .withColumn("chi2", chi2)
-        .filter(F.col("chi2") >= settings.least_chi2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(settings.terms)
-        .collect()
-    )
-    kept = sorted(kept, key=lambda row: row["term"])
-    return Vocabulary([r["term"] for r in kept], [math.log(1 + n / (r["a"] + r["b"])) for r in kept])
+    kept = counted.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("other").alias("b")).filter(F.col("a") + F.col("b") >= 2)
+    kept = sorted(kept.collect(), key=lambda row: row["term"])
+    a, b = (np.array([r[name] for r in kept], float) for name in ("a", "b"))
+    c, d = positive - a, n - positive - b
+    apart = np.sqrt((a + b) * (c + d) * positive * (n - positive))
+    correlation = np.abs(a * d - b * c) / np.where(apart > 0, apart, 1)
+    return Vocabulary([r["term"] for r in kept], np.log(1 + n / (a + b)) * (correlation + settings.floor))
 
 
 # --- index -----------------------------------------------------------------------------
@@ -239,7 +243,7 @@ def _examples(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFra
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Learns from ``labels`` (``doc_id``, ``toxic``) outside the held-out fold.
 
-    What comes to the driver is bounded by ``settings``: terms, and the examples' terms.
+    What comes to the driver are the terms of the examples, whose number ``settings`` bounds.
     The vote is calibrated on the examples themselves, each without its own vote.
     """
     spark = docs.sparkSession
@@ -311,14 +315,15 @@ def score(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence`` of every row of ``docs``.
 
-    The score is the calibrated vote of the ``neighbours`` nearest labelled examples, each
-    weighted by its cosine; ``evidence`` names the nearest of them. A text without any term
+    The score is the calibrated vote of the ``neighbours`` nearest labelled examples of both
+    classes, by the exact cosine over all their terms, each weighted by its cosine; ``evidence`` names the nearest of them. A text without any term
     of the index gets the rate of toxic examples among such texts.
 
     * A null text counts as empty. Labels that are null, not 0 or 1, or of a null id teach
       nothing; if an id has several, the largest counts.
     * Without toxic or without other examples every score is the rate of toxic ones (0
       without examples). Repeated rows get the same score each; an empty table, no rows.
+    * A text of any length is one vector of all its terms.
     * Only ``doc_id`` and ``text`` of ``docs`` are read, so other columns cannot clash.
     """
     scored = score(docs, train(docs, labels, settings))
@@ -326,7 +331,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` whose score is below one half, with the same columns."""
+    """The rows of ``docs`` whose score is below one half, with the same columns.
+
+    Null and empty texts have the score of texts without terms; repeated rows stay or go
+    together; columns of any name pass through; an empty table stays empty.
+    """
     rows, place = numbered(docs)
     rows = rows.withColumns({"doc_id": F.col(place["doc_id"]), "text": F.col(place["text"])})
     kept = score(rows, train(docs, labels, settings), *place.values()).filter("predicted = 0")

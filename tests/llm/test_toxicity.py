@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -86,3 +88,68 @@ def test_nothing_to_learn(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [(r.score, r.predicted) for r in toxicity.toxicity(make_docs([(1, "a")]), none).collect()] == [(0.0, 0)]
     assert toxicity.toxicity(make_docs([]), none).collect() == []
+
+
+def plain_scores(docs, examples, settings):
+    """Cosines with every example in turn, over all terms of both."""
+    counts = {i: Counter(toxicity.words_of(t)) for i, (t, _) in examples.items()}
+
+    def terms_of(words):
+        found = Counter(words)
+        for w, n in words.items():
+            if len(w) > 5:
+                found[w[:5] + "-"] += n
+        return found
+
+    counts = {i: terms_of(c) for i, c in counts.items()}
+    n, positive = len(examples), sum(y for _, y in examples.values())
+    a, b = (Counter(t for i, (_, y) in examples.items() if y == k for t in counts[i]) for k in (1, 0))
+    weight = {}
+    for t in a | b:
+        if a[t] + b[t] >= 2:
+            c, d = positive - a[t], n - positive - b[t]
+            apart = math.sqrt((a[t] + b[t]) * (c + d) * positive * (n - positive))
+            weight[t] = math.log(1 + n / (a[t] + b[t])) * ((abs(a[t] * d - b[t] * c) / apart if apart else 0) + settings.floor)
+
+    def vector(c):
+        v = {t: (1 + math.log(k)) * weight[t] for t, k in c.items() if t in weight}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    own = {i: vector(c) for i, c in counts.items()}
+    found = {}
+    for i, t in docs:
+        q = vector(terms_of(Counter(toxicity.words_of(t))))
+        near = sorted(((sum(x * v.get(k, 0) for k, x in q.items()), j) for j, v in own.items()), reverse=True)
+        near = [(c, examples[j][1]) for c, j in near[: settings.neighbours] if c > 1e-12]
+        share = positive / n
+        yes, no = (sum(c for c, y in near if y == k) + settings.prior_weight * s for k, s in ((1, share), (0, 1 - share)))
+        found[i] = math.log(yes / no) if near else None
+    return found
+
+
+def test_whole_query_against_plain_cosines(spark, make_docs, corpus):
+    rows, labels = corpus
+    settings = toxicity.Settings(block=16)
+    frame = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(make_docs(rows), frame, settings)
+    truth, texts = dict(labels), dict(rows)
+    learned = {i: (texts[i], y) for i, y in truth.items() if zlib.crc32(str(i).encode()) % 5}
+    assert sorted(model.ids) == sorted(learned) and set(model.labels) == {0.0, 1.0}
+    wanted = plain_scores(rows, learned, settings)
+    for r in toxicity.score(make_docs(rows), model).collect():
+        odds = wanted[r.doc_id]
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(model.shift + model.slope * odds))), rel=1e-6)
+
+
+@pytest.mark.parametrize("size, least", [("sf0.001", 0.9), ("sf0.01", 0.5), ("sf0.1", 0.9)])
+def test_recall_on_the_given_labels(spark, size, least):
+    """Every size learns from all its examples; the middle one has 6 held-out toxic documents."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{size}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    assert set(model.labels) == {0.0, 1.0} and 0.05 < model.labels.mean() < 0.3
+    held = labels.filter("toxic is not null").select("doc_id", "toxic")
+    rows = toxicity.score(docs.join(held, "doc_id"), model, "toxic").collect()
+    rows = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    toxic, clean = ([r.predicted for r in rows if r.toxic == y] for y in (1, 0))
+    assert np.mean(toxic) >= least and np.mean(clean) <= 0.02
