@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
 from reachmart.llm.common import join_by, stored
@@ -20,9 +21,9 @@ from reachmart.llm.common import join_by, stored
 _BATCH = 1 << 20  # characters that are encoded at a time
 BROADCAST_ROWS = 1_000_000  # rows of the table of id pairs that are sent to every task
 _IDS = 1 << 32
-_KNOWN = 300_000  # words whose tokens a worker remembers
 # Characters whose class (letter, number, blank, other) every version of Unicode agrees on.
 _SETTLED = regex.compile(r"[\t\n\r -~¡-¬®-ʯͰ-ͷͺ-ͿΑ-ΡΣ-ϿЀ-ҁҊ-ԧ‐-‧‰-⁞₠-₿℀-⅏←-⇿─-▟]*+")
+_RUN = regex.compile(r"\S{200}|\s{200}")
 # Where byte-level tokenizers cut a text before they merge bytes; fixed.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -50,8 +51,9 @@ def byte_of_letter() -> dict[str, int]:
 class ByteLevel:
     """A byte-level tokenizer's file; texts are encoded behind a space.
 
-    Words do not merge with each other, so a word's tokens are remembered. Texts with
-    characters that libraries might classify differently are left to the tokenizer whole.
+    Where its merges are numbered in the order of the vocabulary, as in the public files, a
+    merge by rank gives the same tokens in a fraction of the time. Texts with characters that
+    libraries might classify differently, or with very long words, are left to the tokenizer.
     """
 
     path: str
@@ -68,28 +70,22 @@ class ByteLevel:
         for entry, number in entries.items():
             self.bytes[number] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
 
-        self.known: dict[str, list[int]] = {}
-        self.before: dict[str, list[int]] = {}
         step = self.tokenizer.pre_tokenizer
-        self.by_word = type(step).__name__ == "ByteLevel" and step.use_regex and not step.add_prefix_space
-        self.by_word = self.by_word and self.tokenizer.normalizer is None
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        usual = type(step).__name__ == "ByteLevel" and step.use_regex and not step.add_prefix_space
+        merges = json.loads(self.tokenizer.to_str())["model"]["merges"]
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
+        in_order = all(entries.get("".join(pair)) == 256 + i for i, pair in enumerate(pairs))
+        self.ranks = None
+        if usual and in_order and self.tokenizer.normalizer is None:
+            ranks = {b: i for i, b in enumerate(self.bytes) if i < 256 + len(merges)}
+            self.ranks = tiktoken.Encoding("file", pat_str=_WORDS.pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         texts = [" " + t for t in texts]
-        settled = [self.by_word and _SETTLED.fullmatch(t) is not None for t in texts]
-        words = [_WORDS.findall(t) if s else [] for t, s in zip(texts, settled)]
-        if len(self.known) > _KNOWN:
-            self.known, self.before = {}, self.known  # words that still occur move over
-        known, before = self.known, self.before
-        missing = {w for some in words for w in some if w not in known}
-        known.update((w, before[w]) for w in missing & before.keys())
-        missing = list(missing - before.keys())
-        known.update(zip(missing, self._whole(missing)))
-        others = iter(self._whole([t for t, s in zip(texts, settled) if not s]))
-        return [list(chain.from_iterable(map(known.__getitem__, w))) if s else next(others) for w, s in zip(words, settled)]
+        plain = [self.ranks is not None and _SETTLED.fullmatch(t) is not None and not _RUN.search(t) for t in texts]
+        rest = [t for t, p in zip(texts, plain) if not p]
+        others = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
+        return [self.ranks.encode_ordinary(t) if p else next(others).ids for t, p in zip(texts, plain)]
 
 
 @dataclass

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from reachmart.llm import alignment
+from tests.llm.conftest import text
 
 FIRST, SECOND = alignment.vocabulary("byte_bpe_50k.json"), alignment.vocabulary("piece_bpe_32k.model")
 STRANGE = [
@@ -138,12 +139,14 @@ def test_words_are_those_of_the_tokenizer():
         assert own == [w for w, _ in cut(t)], c
 
 
-def test_remembered_words(monkeypatch):
+def test_merges_by_rank():
     side = alignment.ByteLevel(FIRST)
     rng = random.Random(3)
     signs = "aab  \n\t.,'!?’é1\u00a0" + "".join(STRANGE)[:300]
-    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(80))) for _ in range(400)] + [" don't we'll", "''s  ", "x" * 500]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(80))) for _ in range(400)] + [" don't we'll", "''s  ", "x" * 500, " " * 500]
+    texts += [text(i, 40) + " Größe déjà señor lärm’s" for i in range(50)]
     wanted = [side.tokenizer.encode(" " + t, add_special_tokens=False).ids for t in texts]
-    monkeypatch.setattr(alignment, "_KNOWN", 50)
-    assert [i for start in range(0, len(texts), 20) for i in side.encode(texts[start : start + 20])] == wanted
-    assert side.by_word and any(alignment._SETTLED.fullmatch(t) for t in texts)
+    assert side.encode(texts) == wanted
+    assert side.ranks is not None and any(alignment._SETTLED.fullmatch(t) for t in texts)
+    side.ranks = None
+    assert side.encode(texts) == wanted
