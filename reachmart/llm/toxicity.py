@@ -114,7 +114,13 @@ def _vocabulary(examples: DataFrame, settings: Settings) -> Vocabulary | None:
 
 
 class BlockMaxIndex:
-    """Inverted lists cut into blocks of examples, with the largest weight in each block."""
+    """Inverted lists cut into blocks of examples, with the largest weight in each block.
+
+    Lists that hold a large part of all examples are kept as full rows instead, which are
+    added up without looking up places.
+    """
+
+    FULL = 16  # a list with more than one of so many examples is a full row
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int):
         self.block, self.n = block, len(vectors)
@@ -122,13 +128,19 @@ class BlockMaxIndex:
         terms = np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.int64)])
         rows = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
         weights = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
+        self.most = np.zeros((n_terms, n_blocks))
+        np.maximum.at(self.most.reshape(-1), terms * n_blocks + rows // block, weights)
+        often = np.bincount(terms, minlength=n_terms) * self.FULL > self.n
+        self.place = np.where(often, np.cumsum(often) - 1, -1)
+        self.full = np.zeros((int(often.sum()), n_blocks * block))
+        listed = often[terms]
+        self.full[self.place[terms[listed]], rows[listed]] = weights[listed]
+        terms, rows, weights = terms[~listed], rows[~listed], weights[~listed]
         order = np.lexsort((rows, terms))
         self.rows, self.weights = rows[order], weights[order]
         cell = terms[order] * n_blocks + self.rows // block
-        self.starts = np.searchsorted(cell, np.arange(n_terms * n_blocks + 1)).reshape(-1)
+        self.starts = np.searchsorted(cell, np.arange(n_terms * n_blocks + 1))
         self.n_blocks = n_blocks
-        self.most = np.zeros((n_terms, n_blocks))
-        np.maximum.at(self.most.reshape(-1), cell, self.weights)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of largest cosine above zero, ties by position.
@@ -137,33 +149,36 @@ class BlockMaxIndex:
         k-th best cosine.
         """
         bounds = weights @ self.most[terms]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
+        place = self.place[terms]
+        often = place >= 0
+        full = (place[often], weights[often])
+        lists = (terms[~often], weights[~often])
         best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 4
-        while at < len(order) and (len(best) < k or bounds[order[at]] >= best[-1] - 1e-12):
-            rows, scores = self._score(order[at : at + step], terms, weights)
-            if leave >= 0:
-                scores = scores[rows != leave]
-                rows = rows[rows != leave]
-            rows, scores = np.concatenate([best_rows, rows]), np.concatenate([best, scores])
-            top = np.lexsort((rows, -np.round(scores, 12)))[:k]
-            best_rows, best = rows[top], scores[top]
-            at, step = at + step, step * 2
+        for b in np.argsort(-bounds, kind="stable").tolist():
+            least = best[-1] - 1e-11 if len(best) == k else 0.0
+            if bounds[b] <= 0 or bounds[b] < least:
+                break
+            scores = self._score(b, *full, *lists)
+            if leave >= 0 and leave // self.block == b:
+                scores[leave % self.block] = 0
+            hit = np.flatnonzero((scores > 0) & (scores >= least))
+            if len(hit) > 4 * k:
+                hit = hit[scores[hit] >= np.partition(scores[hit], -k)[-k] - 1e-11]
+            rows, near = np.concatenate([best_rows, b * self.block + hit]), np.concatenate([best, scores[hit]])
+            top = np.lexsort((rows, -np.round(near, 12)))[:k]
+            best_rows, best = rows[top], near[top]
         return best_rows, best
 
-    def _score(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cells = (terms[:, None] * self.n_blocks + blocks[None, :]).reshape(-1)
+    def _score(self, b: int, place: np.ndarray, full: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        scores = full @ self.full[place, b * self.block : (b + 1) * self.block]
+        cells = terms * self.n_blocks + b
         starts = self.starts[cells]
         lengths = self.starts[cells + 1] - starts
-        total = int(lengths.sum())
-        offsets = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(total)
-        by_term = np.repeat(np.repeat(weights, len(blocks)), lengths)
-        local = np.repeat(np.tile(np.arange(len(blocks)), len(terms)), lengths) * self.block
-        local += self.rows[offsets] % self.block
-        scores = np.bincount(local, by_term * self.weights[offsets], len(blocks) * self.block)
-        hit = np.flatnonzero(scores > 0)
-        return blocks[hit // self.block] * self.block + hit % self.block, scores[hit]
+        some = np.flatnonzero(lengths)
+        starts, lengths, weights = starts[some], lengths[some], weights[some]
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return scores + np.bincount(self.rows[at] % self.block, np.repeat(weights, lengths) * self.weights[at], self.block)
 
 
 class Model:
