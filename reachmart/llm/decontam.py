@@ -42,7 +42,7 @@ class Settings:
     part: int = 64
     cosine: float = 0.55
     rank: int = 256
-    energy: float = 0.6
+    energy: float = 0.5
     extra: int = 16  # further columns of the random projection
     rounds: int = 2  # power iterations
     whole: float = 0.6
@@ -256,14 +256,16 @@ class Search:
         """Unit, stretch of words and highest cosine of passages that follow each other."""
         for size, which, vectors in self.scales:
             for firsts, own in self.passages(numbers, size):
-                cosines = (own @ vectors.T).T
-                columns, rows = np.nonzero(cosines >= self.settings.cosine)
+                cosines = own @ vectors.T
+                rows, columns = np.nonzero(cosines >= self.settings.cosine)
                 if not len(rows):
                     continue
+                order = np.lexsort((rows, columns))
+                rows, columns = rows[order], columns[order]
                 first = firsts[rows]
                 new = np.r_[True, (columns[1:] != columns[:-1]) | (first[1:] - first[:-1] > size)]
                 heads = np.flatnonzero(new)
-                best = np.maximum.reduceat(cosines[columns, rows], heads)
+                best = np.maximum.reduceat(cosines[rows, columns], heads)
                 ends = np.r_[heads[1:], len(rows)] - 1
                 yield from zip(which[columns[heads]].tolist(), first[heads].tolist(), (first[ends] + size).tolist(), best.tolist())
 
@@ -301,7 +303,7 @@ class Search:
             if share < s.whole and answer < s.answer:
                 continue
             weights = self.idf[unit.numbers]
-            carried = weights[in_order(unit.words, text)].sum()
+            carried = weights.sum() if common == n else weights[in_order(unit.words, text)].sum()
             if carried >= s.weight * weights.sum() and (carried >= s.least or share >= s.nearly):
                 found = max(found or (0.0, 0.0), (share, answer))
         return found
