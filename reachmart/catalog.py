@@ -491,6 +491,18 @@ def unsent_by_id_email(tables: SalesTables) -> DataFrame:
     return sent_keys.unsent(_entries(tables), outreach.sent_records(tables), "customer_id", "email")
 
 
+@job("unsent_by_key_index")
+def unsent_by_key_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The same against a ledger whose first campaign is compacted and whose second is not."""
+    tables = SalesTables(spark, folder)
+    ledger = Ledger(spark, f"{scratch_dir(spark, 'indexed')}/ledger")
+    sent = outreach.sent_records(tables)
+    ledger.record(sent.filter("run_id = 'machinery'"), "machinery")
+    ledger.compact()
+    ledger.record(sent.filter("run_id <> 'machinery'"), "furniture")
+    return ledger.unsent(_entries(tables), "customer_id", "email")
+
+
 @query("sent_status")
 def sent_status(tables: SalesTables) -> DataFrame:
     marked = sent_keys.mark_sent(_entries(tables), outreach.sent_records(tables))

@@ -27,14 +27,14 @@ def sync(
     Payload first, then delivery, then the ledger. Repeating a run that failed halfway sends
     its entries again and replaces its payload and its ledger rows.
     """
-    rows = pending(entries, ledger.rows(except_run=run_id))
+    rows = ledger.unsent(manual_entries.repaired(entries), "customer_id", "email", except_run=run_id)
     rows = activation.manual_payload(rows, None, discount_cap, **scorers)
     return activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 
 
 def sync_by_id(entries: DataFrame, ledger: Ledger, outbox_dir: str, run_id: str, send=None) -> str:
     """Sends the entries whose id is unsent, each with the action it came with."""
-    rows = pending(entries, ledger.rows(except_run=run_id), ["customer_id"])
+    rows = ledger.unsent(manual_entries.repaired(entries), "customer_id", except_run=run_id)
     return activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 
 

@@ -11,6 +11,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reachmart.sources.files import exists
+from reachmart.sources.key_index import KeyIndex
 from reachmart.sources.outbox import json_columns
 
 LEDGER_SCHEMA = (
@@ -23,12 +24,14 @@ _COLUMNS = ["customer_id", "email", "segment", "score", "first_name", "nba_actio
 class Ledger:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.index = KeyIndex(spark, f"{self.folder}-keys")
 
     def record(self, sent: DataFrame, run_id: str) -> None:
         """Writes the rows of a run; called after their delivery."""
         rows = json_columns(sent)
         columns = [_ledger_column(rows, name) for name in _COLUMNS]
         rows = rows.select(*columns, F.lit(f"{run_id}_payload").alias("source"))
+        self.index.forget(run_id)
         rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={quote(run_id, safe='')}")
 
     def rows(self, except_run: str | None = None) -> DataFrame:
@@ -38,6 +41,14 @@ class Ledger:
         rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.folder)
         return rows.filter(F.col("run_id") != except_run) if except_run else rows
 
+    def compact(self) -> None:
+        """Brings the keys of all runs into the index; to be called now and then."""
+        self.index.compact(self.rows())
+
+    def unsent(self, entries: DataFrame, *columns: str, except_run: str | None = None) -> DataFrame:
+        """Entries none of whose ``columns`` (``customer_id``, ``email``) was sent."""
+        return self.index.unsent(entries, self.rows(), list(columns), except_run)
+
 
 def _ledger_column(rows: DataFrame, name: str):
     """Scores are numbers, all other columns text; a score that is none becomes null."""

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from reachmart.operators import sent_keys
 from reachmart.plans import activation, manual_entries
 from reachmart.sources.ledger import Ledger
 from reachmart.sources.schemas import MANUAL_SCHEMA
@@ -27,7 +26,7 @@ def sync_batch(
 ) -> None:
     """Repairs one batch and sends what the ledger does not know, by ``activation.deliver``:
     the payload is written once, and sending and the ledger start from there."""
-    rows = sent_keys.unsent(manual_entries.repaired(batch), ledger.rows(except_run=run_id), "customer_id", "email")
+    rows = ledger.unsent(manual_entries.repaired(batch), "customer_id", "email", except_run=run_id)
     activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 
 
