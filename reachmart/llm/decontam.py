@@ -237,37 +237,46 @@ class Search:
             if which.any()
         ]
 
-    def passages(self, numbers: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """First words of a text's passages and their unit vectors; none of them is zero.
-        At most ``ROWS`` passages come together."""
-        half = size // 2
+    def passages(self, numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """A text's passages of each size, at most some ``ROWS`` of the long ones at a time: the
+        size, their first words and their unit vectors, none of which is zero.
+
+        Words are added up once, to blocks of half a short passage.
+        """
+        half, fine = self.settings.long // 2, self.settings.short // 2
+        if half % fine:
+            raise ValueError("a long passage must be a multiple of a short one")
         blocks = -(-len(numbers) // half)
         padded = np.full(blocks * half, len(self.number), np.int64)
         padded[: len(numbers)] = numbers
-        padded = padded.reshape(blocks, half)
+        padded = padded.reshape(-1, fine)
+        ratio = half // fine
         for start in range(0, max(blocks - 1, 1), self.ROWS):
-            sums = self.space[padded[start : start + self.ROWS + 1]].sum(axis=1)
-            vectors = sums[:-1] + sums[1:] if blocks > 1 else sums
-            norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-            some = np.flatnonzero(norms > 1e-6)
-            yield (start + some) * half, vectors[some] / norms[some, None]
+            sums = self.space[padded[start * ratio : (start + self.ROWS + 1) * ratio]].sum(axis=1)
+            for size, _, _ in self.scales:
+                own = sums if size == self.settings.short else sums.reshape(-1, ratio, sums.shape[1]).sum(axis=1)
+                vectors = own[:-1] + own[1:] if len(own) > 1 else own
+                norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+                some = np.flatnonzero(norms > 1e-6)
+                yield size, start * half + some * (size // 2), vectors[some] / norms[some, None]
 
     def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """Unit, stretch of words and highest cosine of passages that follow each other."""
-        for size, which, vectors in self.scales:
-            for firsts, own in self.passages(numbers, size):
-                cosines = own @ vectors.T
-                rows, columns = np.nonzero(cosines >= self.settings.cosine)
-                if not len(rows):
-                    continue
-                order = np.lexsort((rows, columns))
-                rows, columns = rows[order], columns[order]
-                first = firsts[rows]
-                new = np.r_[True, (columns[1:] != columns[:-1]) | (first[1:] - first[:-1] > size)]
-                heads = np.flatnonzero(new)
-                best = np.maximum.reduceat(cosines[rows, columns], heads)
-                ends = np.r_[heads[1:], len(rows)] - 1
-                yield from zip(which[columns[heads]].tolist(), first[heads].tolist(), (first[ends] + size).tolist(), best.tolist())
+        units = {size: (which, vectors) for size, which, vectors in self.scales}
+        for size, firsts, own in self.passages(numbers):
+            which, vectors = units[size]
+            cosines = own @ vectors.T
+            rows, columns = np.nonzero(cosines >= self.settings.cosine)
+            if not len(rows):
+                continue
+            order = np.lexsort((rows, columns))
+            rows, columns = rows[order], columns[order]
+            first = firsts[rows]
+            new = np.r_[True, (columns[1:] != columns[:-1]) | (first[1:] - first[:-1] > size)]
+            heads = np.flatnonzero(new)
+            best = np.maximum.reduceat(cosines[rows, columns], heads)
+            ends = np.r_[heads[1:], len(rows)] - 1
+            yield from zip(which[columns[heads]].tolist(), first[heads].tolist(), (first[ends] + size).tolist(), best.tolist())
 
     def _stretches(self, numbers: np.ndarray, unit: Unit, low: int, high: int, least: int) -> Iterator[tuple[int, int]]:
         """Where the most words of a unit lie within little more than its length, if enough do."""
