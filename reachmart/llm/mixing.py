@@ -39,20 +39,27 @@ def _marked(name: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
 
 
-def rake(cells: DataFrame, dims: Sequence[str], power: float = 0.5, sweeps: int = 10) -> DataFrame:
+def rake(
+    cells: DataFrame, dims: Sequence[str], power: float = 0.5, sweeps: int = 10, budget: float | None = None
+) -> DataFrame:
     """``cells`` (the dims and ``tokens``) with ``share``, the raked share of each cell.
 
     The target of a category is its share of the tokens to the given power, scaled to one
     within its dimension. In turn, the shares of every dimension's categories are scaled to
     their targets. A sweep ends with the last dimension, so that marginal is met exactly.
 
+    With a ``budget`` there is ``reachable``, too: shares raked in the same sweeps, none above
+    what its cell has. A full cell stays at that, and the others of its category are scaled
+    to what is left of the target. A category that has less than its target gives all.
+
     One factor per category and dimension is all that changes, so the cells stay in place
     and only the small factor tables are written in each step; nothing is collected.
     """
     cells = stored(cells.filter("tokens > 0"), "cells")
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
-        return cells.withColumn("share", F.lit(0.0))
+        cells = cells.withColumn("share", F.lit(0.0))
+        return cells if budget is None else cells.withColumn("reachable", F.lit(0.0))
     factors = {}
     targets = {}
     for dim in dims:
@@ -60,47 +67,93 @@ def rake(cells: DataFrame, dims: Sequence[str], power: float = 0.5, sweeps: int
         weighted = sums.select(dim, F.pow(F.col("n") / F.lit(float(total)), F.lit(power)).alias("w"))
         whole = weighted.agg(F.sum("w")).first()[0]
         targets[dim] = stored(weighted.select(dim, (F.col("w") / F.lit(whole)).alias(f"target_{dim}")), "targets")
-        factors[dim] = targets[dim].select(dim, F.lit(1.0).alias(f"f_{dim}"))
+        factors[dim] = targets[dim].select(dim, F.lit(1.0).alias(f"f_{dim}"), F.lit(1.0).alias(f"g_{dim}"))
     start = F.col("tokens") / F.lit(float(total))
+
+    def times(letter: str, among: Sequence[str]) -> Column:
+        product = start
+        for dim in among:
+            product = product * F.col(f"{letter}_{dim}")
+        return product
+
+    # A cell is full where it would give all its tokens or more.
+    most = start / F.lit(float(budget)) if budget else None
     for _ in range(sweeps):
         for dim in dims:
             others = [d for d in dims if d != dim]
             now = cells
-            weight = start
-            for other in others:
+            for other in others if budget is None else dims:
                 now = now.join(factors[other], other)
-                weight = weight * F.col(f"f_{other}")
-            sums = now.groupBy(dim).agg(F.sum(weight).alias("n"))
-            scaled = sums.join(targets[dim], dim).select(dim, (F.col(f"target_{dim}") / F.col("n")).alias(f"f_{dim}"))
-            factors[dim] = stored(scaled, "factors")
-    weight = start
+            sums = [F.sum(times("f", others)).alias("n")]
+            if budget:
+                rest, full = times("g", others), times("g", dims) >= most
+                sums += [
+                    F.sum(rest).alias("every"),
+                    F.sum(F.when(full, 0.0).otherwise(rest)).alias("free"),
+                    F.sum(F.when(full, most).otherwise(0.0)).alias("fixed"),
+                    F.first(f"g_{dim}").alias("g"),
+                ]
+            target = F.col(f"target_{dim}")
+            scaled = [(target / F.col("n")).alias(f"f_{dim}")]
+            if budget:
+                left = target - F.col("fixed")
+                held = F.when(left <= 0, target / F.col("every")).when(F.col("free") > 0, left / F.col("free"))
+                scaled.append(held.otherwise(F.col("g")).alias(f"g_{dim}"))
+            found = now.groupBy(dim).agg(*sums).join(targets[dim], dim)
+            factors[dim] = stored(found.select(dim, *scaled), "factors")
     for dim in dims:
         cells = cells.join(factors[dim], dim)
-        weight = weight * F.col(f"f_{dim}")
-    return cells.select(*dims, "tokens", weight.alias("share"))
+    shares = [times("f", dims).alias("share")]
+    if budget:
+        shares.append(F.least(times("g", dims), most).alias("reachable"))
+    return cells.select(*dims, "tokens", *shares)
 
 
 def probabilities(raked: DataFrame, budget: float) -> DataFrame:
     """Adds ``weight``, the wanted tokens per token of the corpus, and ``probability``.
 
-    ``budget`` is the wanted part of all tokens. A probability cannot exceed one; what full
-    cells cannot give, the others give in proportion, until the budget is met.
+    ``budget`` is the wanted part of all tokens. A probability cannot exceed one; it follows
+    the column ``reachable`` where there is one, else the share. What full cells cannot give
+    and raking has not made up for, the others give in proportion, until the budget is met.
     """
     raked = stored(raked, "raked")
+    given = "reachable" if "reachable" in raked.columns else "share"
     total = raked.agg(F.sum("tokens")).first()[0] or 0
     wanted = budget * total
-    weight = F.when(F.col("tokens") > 0, F.lit(float(wanted)) * F.col("share") / F.col("tokens")).otherwise(0.0)
-    raked = raked.withColumn("weight", weight)
+
+    def per_token(share: str) -> Column:
+        return F.when(F.col("tokens") > 0, F.lit(float(wanted)) * F.col(share) / F.col("tokens")).otherwise(0.0)
+
+    raked = raked.withColumns({"weight": per_token("share"), "_given": per_token(given)})
     scale, full = 1.0, -1
     while total:
-        over = F.col("weight") * F.lit(scale) >= 1
+        over = F.col("_given") * F.lit(scale) >= 1
         cells, tokens, rest = raked.agg(
-            F.count(F.when(over, 1)), F.sum(F.when(over, F.col("tokens")).otherwise(0)), F.sum(F.when(over, 0.0).otherwise(F.col("share")))
+            F.count(F.when(over, 1)), F.sum(F.when(over, F.col("tokens")).otherwise(0)), F.sum(F.when(over, 0.0).otherwise(F.col(given)))
         ).first()
         if cells == full or not rest:
             break
         full, scale = cells, (wanted - tokens) / (wanted * rest)
-    return raked.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
+    return raked.withColumn("probability", F.least(F.lit(1.0), F.col("_given") * F.lit(scale))).drop("_given")
+
+
+def margins(chances: DataFrame, dims: Sequence[str], budget: float, power: float = 0.5) -> DataFrame:
+    """How well a mixture meets its targets: ``dim``, ``category``, ``target`` and ``reached``
+    (parts of the wanted tokens) and ``scarce``, whether the category has fewer tokens than
+    its target asks for. ``chances`` are cells with ``tokens`` and ``probability``."""
+    chances = chances.filter("tokens > 0")
+    names = F.inline(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("category")) for d in dims]))
+    given = (F.col("tokens") * F.col("probability")).alias("given")
+    sums = chances.select("tokens", given, names).groupBy("dim", "category").agg(F.sum("tokens").alias("n"), F.sum("given").alias("given"))
+    total = float(chances.agg(F.sum("tokens")).first()[0] or 0)
+    sums = sums.withColumn("w", F.pow(F.col("n") / F.lit(total), F.lit(power)))
+    scales = sums.groupBy("dim").agg(F.sum("w").alias("of"))
+    target = F.col("w") / F.col("of")
+    wanted = F.lit(budget * total)
+    return sums.join(scales, "dim").select(
+        "dim", "category", target.alias("target"), (F.col("given") / wanted).alias("reached"),
+        (F.col("n") < target * wanted).alias("scarce"),
+    )
 
 
 def with_probability(
@@ -113,7 +166,7 @@ def with_probability(
     keys = [f"_dim{i}" for i in range(len(dims))]
     marked = docs.withColumns({**{k: _marked(d) for k, d in zip(keys, dims)}, "_tokens": tokens})
     cells = marked.groupBy(*keys).agg(F.sum("_tokens").alias("tokens"))
-    chances = stored(probabilities(rake(cells, keys, power, sweeps), budget), "chances")
+    chances = stored(probabilities(rake(cells, keys, power, sweeps, budget), budget), "chances")
     chances = chances.select(*[F.col(k).alias(f"{k}_c") for k in keys], "weight", "probability")
     # The hash takes the join off the partitioning of one key, so a hot cell can be split.
     same = F.xxhash64(*keys) == F.xxhash64(*[F.col(f"{k}_c") for k in keys])
@@ -150,7 +203,10 @@ def mix(docs: DataFrame, budget: float = 0.5, power: float = 0.5, sweeps: int =
     """Every row with ``topic``, ``n_tokens``, ``weight``, ``probability`` and ``sampled``.
 
     * Null sources and languages are categories of their own, apart from the empty text.
-    * A text without words (null, empty) has no tokens to weigh and is never sampled.
+    * ``weight`` is what the targets ask of a token and may exceed one; ``probability`` is raked
+      with full cells held at one, see ``rake``. ``margins`` says what is reached.
+    * A text without words (null, empty) has no tokens to weigh and is never sampled. A very
+      long text counts with all its words.
     * Rows that repeat an id are drawn alike. An empty table stays empty.
     * Columns named like a result are replaced; others pass through.
     """

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reachmart.llm.common import join_by, runs, stored
+from reachmart.llm.common import join_by, numbered, renamed, runs, stored
 from reachmart.llm.components import connected_components
 
 BITS = 64
@@ -43,17 +43,23 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Columns ``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, text: str = "text", doc_id: str = "doc_id", mark: Column | None = None
+) -> DataFrame:
+    """Columns ``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number; and ``mark``,
+    a number that the caller tells rows apart by, if one is given."""
+    names = ["doc_id", "fp"] if mark is None else ["doc_id", "fp", "mark"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            ids, texts, *marks = batch.columns
+            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(found.view(np.int64)), *marks], names=names)
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    columns = [F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")]
+    rows = docs.select(*columns, *([] if mark is None else [mark.alias("mark")]))
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long" + ("" if mark is None else ", mark long"))
 
 
 # --- bit-sliced comparison -------------------------------------------------------------
@@ -245,28 +251,45 @@ def simhash_groups(
     * Rows with the same id keep one row each. An empty table gives an empty result.
     * Only the two named columns are read, so other columns cannot clash.
     """
-    hashed = stored(fingerprints(docs, shingle, text, doc_id), "fingerprints")
+    found = _grouped(fingerprints(docs, shingle, text, doc_id), radius, group)
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def _grouped(hashed: DataFrame, radius: int, group: int = 2048) -> DataFrame:
+    """Rows of ``fingerprints`` with ``root``, a fingerprint that names their component, and
+    its least id as ``component_id``."""
+    hashed = stored(hashed, "fingerprints")
     first = stored(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = connected_components(_links(first.select("fp"), radius, group))
     roots = roots.select(F.col("node").alias("fp"), "root")
     roots = roots.union(roots.select(F.col("root").alias("fp"), "root").distinct())
     linked = join_by(first, roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = stored(join_by(linked, least, "root").select("fp", "component_id"), "members")
-    found = join_by(hashed, member, "fp")
-    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+    member = stored(join_by(linked, least, "root").select("fp", "root", "component_id"), "members")
+    return join_by(hashed, member, "fp")
 
 
 def one_per_group(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """The documents whose id is the least of their group, with the columns of ``docs``.
+    """One document of each group of near copies, with the columns of ``docs``.
+
+    It is a row whose id is the least of the group and whose own text is in the group; of
+    several such rows the first by text, language and source stays. An id that has different
+    texts can thus keep several rows, one for each group that it heads, and a copy under that
+    id goes.
 
-    Of several rows with that id one stays, the first by text, language and source. Rows
-    with a null id cannot be named by a group and stay.
+    * Null and empty texts have the fingerprint zero and make a group like any other.
+    * Rows with a null id cannot be named by a group and stay.
+    * A very long text is one fingerprint like any other. An empty table stays empty.
+    * Columns of ``docs`` cannot clash with the operator's own.
     """
-    groups = simhash_groups(docs, shingle, radius)
-    keep = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
-    order = [F.col(name) for name in ("text", "lang", "source") if name in docs.columns]
-    first = kept.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)))
-    return first.filter("_nth = 1").select(docs.columns).union(docs.filter("doc_id is null"))
+    rows, place = numbered(docs)
+    doc_id, text = F.col(place["doc_id"]), F.col(place["text"])
+    mark = F.xxhash64(text)
+    groups = _grouped(fingerprints(rows, shingle, place["text"], place["doc_id"], mark), radius)
+    heads = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("id"), "mark", "root").distinct()
+    kept = rows.withColumn("own", mark).join(heads, (doc_id == F.col("id")) & (F.col("own") == F.col("mark")))
+    order = [F.col(place[name]) for name in ("text", "lang", "source") if name in place]
+    first = kept.withColumn("nth", F.row_number().over(Window.partitionBy("id", "root").orderBy(*order)))
+    whole = first.filter("nth = 1").select(*place.values()).union(rows.filter(doc_id.isNull()))
+    return renamed(whole, place)

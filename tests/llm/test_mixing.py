@@ -47,6 +47,33 @@ def test_budget_with_full_cells(spark, budget):
     assert sum(r.probability * r.tokens for r in got) == pytest.approx(budget * 1150)
 
 
+def test_full_cells_are_held_while_the_others_are_raked(spark):
+    rng = random.Random(5)
+    cells = {(f"s{a}", f"l{b}", f"t{c}"): rng.randrange(50, 400) * 5**a for a in range(5) for b in range(3) for c in range(3)}
+    cells["s0", "l0", "t0"] = 3
+    frame = spark.createDataFrame([(*k, n) for k, n in cells.items()], "a string, b string, c string, tokens long")
+    dims = ["a", "b", "c"]
+    for budget, power in ((0.3, 0.8), (0.6, 0.9)):
+        chances = mixing.probabilities(mixing.rake(frame, dims, power, 40, budget), budget)
+        plain = mixing.probabilities(mixing.rake(frame, dims, power, 40), budget).collect()
+        got = chances.collect()
+        total = sum(cells.values())
+        assert sum(r.probability * r.tokens for r in got) == pytest.approx(budget * total)
+        assert any(r.probability > 0.999 for r in got) and all(0 <= r.probability <= 1 for r in got)
+        assert sorted(r.weight for r in got) == pytest.approx(sorted(r.weight for r in plain))
+        told = {(r.dim, r.category): r for r in mixing.margins(chances, dims, budget, power).collect()}
+        _, targets = plain_rake(cells, power, 1)
+        for d, name in enumerate(dims):
+            for value, target in targets[d].items():
+                told_now = told[name, value]
+                of = [r for r in got if r[name] == value]
+                reached = sum(r.probability * r.tokens for r in of) / (budget * total)
+                assert (told_now.target, told_now.reached) == (pytest.approx(target), pytest.approx(reached))
+                assert told_now.scarce == (sum(r.tokens for r in of) < target * budget * total)
+                if not any(t.scarce for t in told.values()):
+                    assert reached == pytest.approx(target, rel=0.01), (budget, value)
+
+
 def test_mix(make_docs, odd_rows):
     rng = random.Random(3)
     rows = list(odd_rows) + [(None, "a b c")]

@@ -110,3 +110,14 @@ def test_one_stays(make_docs, odd_rows):
     assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 2, 3, 6, 7, 8, 9, 11]
     assert sum(r.doc_id is None for r in rows) == 2
     assert [r.text for r in rows if r.doc_id == 2] == [min(text(1, 80), text(2, 70))]
+
+
+def test_groups_headed_by_a_repeated_id(spark, make_docs):
+    a, b, c = text(21, 90), text(22, 90), text(23, 90)
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, a), (5, c), (4, c), (6, None), (6, "")]
+    kept = simhash.one_per_group(make_docs(rows, clashing=True)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, a), (2, b), (4, c), (6, "")]
+    # Two groups with the same least id keep a row each.
+    kept = simhash.one_per_group(make_docs([(1, a), (1, b), (2, a), (3, b)])).collect()
+    assert sorted(r.text for r in kept) == sorted([a, b])
+    assert {r.doc_id for r in kept} == {1}
