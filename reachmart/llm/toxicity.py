@@ -16,6 +16,7 @@ from reachmart.llm.common import held_out, learnable, numbered, received, rename
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 STEM = 5  # letters of a word's stem term
+_TOGETHER = 64  # texts that are searched for at a time
 
 
 @dataclass(frozen=True)
@@ -102,12 +103,12 @@ def _vocabulary(examples: DataFrame, settings: Settings) -> Vocabulary | None:
         return None
     counted = examples.select("text", "toxic").mapInArrow(_term_counts, "term string, toxic long, other long")
     kept = counted.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("other").alias("b")).filter(F.col("a") + F.col("b") >= 2)
-    kept = sorted(kept.collect(), key=lambda row: row["term"])
-    a, b = (np.array([r[name] for r in kept], float) for name in ("a", "b"))
+    kept = kept.toArrow().sort_by("term")
+    a, b = (kept.column(name).to_numpy().astype(float) for name in ("a", "b"))
     c, d = positive - a, n - positive - b
     apart = np.sqrt((a + b) * (c + d) * positive * (n - positive))
     correlation = np.abs(a * d - b * c) / np.where(apart > 0, apart, 1)
-    return Vocabulary([r["term"] for r in kept], np.log(1 + n / (a + b)) * (correlation + settings.floor))
+    return Vocabulary(kept.column("term").to_pylist(), np.log(1 + n / (a + b)) * (correlation + settings.floor))
 
 
 # --- index -----------------------------------------------------------------------------
@@ -125,16 +126,16 @@ class BlockMaxIndex:
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int):
         self.block, self.n = block, len(vectors)
         n_blocks = -(-self.n // block) or 1
-        terms = np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.int64)])
+        terms = np.concatenate([v[0] for v in vectors] or [np.zeros(0)]).astype(np.int64)
         rows = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
         weights = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
         self.most = np.zeros((n_terms, n_blocks))
         np.maximum.at(self.most.reshape(-1), terms * n_blocks + rows // block, weights)
         often = np.bincount(terms, minlength=n_terms) * self.FULL > self.n
         self.place = np.where(often, np.cumsum(often) - 1, -1)
-        self.full = np.zeros((int(often.sum()), n_blocks * block))
+        self.full = np.zeros((n_blocks, int(often.sum()), block))
         listed = often[terms]
-        self.full[self.place[terms[listed]], rows[listed]] = weights[listed]
+        self.full[rows[listed] // block, self.place[terms[listed]], rows[listed] % block] = weights[listed]
         terms, rows, weights = terms[~listed], rows[~listed], weights[~listed]
         order = np.lexsort((rows, terms))
         self.rows, self.weights = rows[order], weights[order]
@@ -143,34 +144,59 @@ class BlockMaxIndex:
         self.n_blocks = n_blocks
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of largest cosine above zero, ties by position.
-
-        Blocks are scored in the order of their bounds, until no other block can reach the
-        k-th best cosine.
+        return self.nearest_of_each([(terms, weights)], k, [leave])[0]
+
+    def nearest_of_each(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the ``k`` examples of largest cosine above zero, ties by position;
+        ``leave`` names an example for each vector that does not count.
+
+        Each vector takes the blocks in the order of their bounds, until no other block can
+        reach its k-th best cosine. Vectors that take the same block in the same turn have
+        their full rows added up as one matrix product. Cosines have twelve digits, so they
+        do not depend on which vectors come together.
         """
-        bounds = weights @ self.most[terms]
-        place = self.place[terms]
-        often = place >= 0
-        full = (place[often], weights[often])
-        lists = (terms[~often], weights[~often])
-        best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            least = best[-1] - 1e-11 if len(best) == k else 0.0
-            if bounds[b] <= 0 or bounds[b] < least:
-                break
-            scores = self._score(b, *full, *lists)
-            if leave >= 0 and leave // self.block == b:
-                scores[leave % self.block] = 0
-            hit = np.flatnonzero((scores > 0) & (scores >= least))
-            if len(hit) > 4 * k:
-                hit = hit[scores[hit] >= np.partition(scores[hit], -k)[-k] - 1e-11]
-            rows, near = np.concatenate([best_rows, b * self.block + hit]), np.concatenate([best, scores[hit]])
-            top = np.lexsort((rows, -np.round(near, 12)))[:k]
-            best_rows, best = rows[top], near[top]
-        return best_rows, best
-
-    def _score(self, b: int, place: np.ndarray, full: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        scores = full @ self.full[place, b * self.block : (b + 1) * self.block]
+        n = len(vectors)
+        leave = leave or [-1] * n
+        bounds = np.zeros((n, self.n_blocks))
+        common = np.zeros((n, self.full.shape[1]))
+        lists = []
+        for i, (terms, weights) in enumerate(vectors):
+            bounds[i] = weights @ self.most[terms]
+            place = self.place[terms]
+            often = place >= 0
+            common[i, place[often]] = weights[often]
+            lists.append((terms[~often], weights[~often]))
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * n
+        alive = np.arange(n)
+        for turn in range(self.n_blocks):
+            at = order[alive, turn]
+            bound = bounds[alive, at]
+            least = np.array([best[i][1][-1] - 1e-11 if len(best[i][1]) == k else 0.0 for i in alive.tolist()])
+            going = (bound > 0) & (bound >= least)
+            alive, at, least = alive[going], at[going], least[going]
+            for b in np.unique(at).tolist():
+                mine = np.flatnonzero(at == b)
+                for row, of, i in zip(common[alive[mine]] @ self.full[b], least[mine].tolist(), alive[mine].tolist()):
+                    scores = row + self._listed(b, *lists[i])
+                    if leave[i] >= 0 and leave[i] // self.block == b:
+                        scores[leave[i] % self.block] = 0
+                    best[i] = self._better(best[i], scores, b, k, of)
+        return best
+
+    def _better(self, best: tuple[np.ndarray, np.ndarray], scores: np.ndarray, b: int, k: int, least: float):
+        hit = np.flatnonzero((scores > 1e-12) & (scores >= least))
+        if len(hit) > 4 * k:
+            hit = hit[scores[hit] >= np.partition(scores[hit], -k)[-k] - 1e-11]
+        rows = np.concatenate([best[0], b * self.block + hit])
+        near = np.concatenate([best[1], np.round(scores[hit], 12)])
+        top = np.lexsort((rows, -near))[:k]
+        return rows[top], near[top]
+
+    def _listed(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The part of a block's scores that comes from the inverted lists."""
         cells = terms * self.n_blocks + b
         starts = self.starts[cells]
         lengths = self.starts[cells + 1] - starts
@@ -178,7 +204,7 @@ class BlockMaxIndex:
         starts, lengths, weights = starts[some], lengths[some], weights[some]
         ends = np.cumsum(lengths)
         at = np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-        return scores + np.bincount(self.rows[at] % self.block, np.repeat(weights, lengths) * self.weights[at], self.block)
+        return np.bincount(self.rows[at] % self.block, np.repeat(weights, lengths) * self.weights[at], self.block)
 
 
 class Model:
@@ -196,27 +222,28 @@ class Model:
         self.index = BlockMaxIndex(vectors, n_terms, settings.block)
         self.nothing, self.slope, self.shift = share, 1.0, 0.0
 
-    def vote(self, vector, leave: int = -1) -> tuple[float | None, list]:
-        """Log odds of the distance-weighted vote, and the neighbours' ids; None without any."""
-        terms, weights = vector
-        if not len(terms):
-            return None, []
-        rows, near = self.index.nearest(terms, weights, self.settings.neighbours, leave)
-        if not len(rows):
-            return None, []
-        votes = self.labels[rows]
-        prior = self.settings.prior_weight
-        yes = float(near @ votes) + prior * self.share
-        no = float(near @ (1 - votes)) + prior * (1 - self.share)
-        return math.log(yes / no), [self.ids[r] for r in rows]
-
-    def score(self, text: str | None) -> tuple[float, list]:
+    def votes(self, vectors, leave: list[int] | None = None) -> list[tuple[float | None, list]]:
+        """For each vector the log odds of the distance-weighted vote, and the neighbours' ids;
+        None without any."""
+        found = []
+        for rows, near in self.index.nearest_of_each(vectors, self.settings.neighbours, leave):
+            if not len(rows):
+                found.append((None, []))
+                continue
+            labels = self.labels[rows]
+            prior = self.settings.prior_weight
+            yes = float(near @ labels) + prior * self.share
+            no = float(near @ (1 - labels)) + prior * (1 - self.share)
+            found.append((math.log(yes / no), [self.ids[r] for r in rows]))
+        return found
+
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list]]:
         if self.vocabulary is None:
-            return self.share, []
-        odds, evidence = self.vote(self.vocabulary.vector(text))
-        if odds is None:
-            return self.nothing, []
-        return 1 / (1 + math.exp(-(self.shift + self.slope * odds))), evidence
+            return [(self.share, [])] * len(texts)
+        return [
+            (self.nothing if odds is None else 1 / (1 + math.exp(-(self.shift + self.slope * odds))), evidence)
+            for odds, evidence in self.votes([self.vocabulary.vector(t) for t in texts])
+        ]
 
 
 def _calibrate(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -274,31 +301,39 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         own = received(terms_sent)
         for batch in batches:
             found = [own.vector(t) for t in batch.column(2).to_pylist()]
-            terms = pa.array([v[0] for v in found], pa.list_(pa.int64()))
+            terms = pa.array([v[0] for v in found], pa.list_(pa.int32()))
             weights = pa.array([v[1] for v in found], pa.list_(pa.float64()))
             arrays = [batch.column(0), batch.column(1), terms, weights]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "terms", "weights"])
 
     kind = examples.schema["doc_id"].dataType.simpleString()
-    made = examples.mapInArrow(vectors, f"doc_id {kind}, toxic int, terms array<long>, weights array<double>")
-    rows = sorted(made.collect(), key=lambda r: r["doc_id"])
-    silent = [r["toxic"] for r in rows if not r["terms"]]
-    rows = [r for r in rows if r["terms"]]
-    made_vectors = [(np.array(r["terms"], np.int64), np.array(r["weights"])) for r in rows]
-    labels_of = [r["toxic"] for r in rows]
-    model = Model(vocabulary, made_vectors, labels_of, [r["doc_id"] for r in rows], share, settings)
+    made = examples.mapInArrow(vectors, f"doc_id {kind}, toxic int, terms array<int>, weights array<double>").toArrow()
+    terms_sent.destroy()
+    ids, toxic = made.column("doc_id").to_pylist(), made.column("toxic").to_pylist()
+    terms, weights = (made.column(name).combine_chunks() for name in ("terms", "weights"))
+    cuts = terms.offsets.to_numpy()
+    terms, weights = terms.values.to_numpy(), weights.values.to_numpy()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], toxic[i], int(cuts[i + 1] - cuts[i])))
+    silent = [toxic[i] for i in order if cuts[i] == cuts[i + 1]]
+    order = [i for i in order if cuts[i] < cuts[i + 1]]
+    made_vectors = [(terms[cuts[i] : cuts[i + 1]], weights[cuts[i] : cuts[i + 1]]) for i in order]
+    labels_of = [toxic[i] for i in order]
+    model = Model(vocabulary, made_vectors, labels_of, [ids[i] for i in order], share, settings)
 
     sent = shared(spark, (model, made_vectors))
 
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, own_vectors = received(sent)
         for batch in batches:
-            at = batch.column(0).to_pylist()
-            odds = [own.vote(own_vectors[i], own.place[i])[0] for i in at]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(odds, pa.float64())], names=["id", "odds"])
-
-    tasks = max(1, min(len(rows) // 500, spark.sparkContext.defaultParallelism))
-    voted = spark.range(0, len(rows), 1, tasks).mapInArrow(leave_one_out, "id long, odds double").collect()
+            for start in range(0, batch.num_rows, _TOGETHER):
+                part = batch.slice(start, _TOGETHER).column(0)
+                at = part.to_pylist()
+                odds = [o for o, _ in own.votes([own_vectors[i] for i in at], [own.place[i] for i in at])]
+                yield pa.RecordBatch.from_arrays([part, pa.array(odds, pa.float64())], names=["id", "odds"])
+
+    tasks = max(1, min(len(order) // 500, spark.sparkContext.defaultParallelism))
+    voted = spark.range(0, len(order), 1, tasks).mapInArrow(leave_one_out, "id long, odds double").collect()
+    sent.destroy()
     with_odds = [(r["odds"], labels_of[r["id"]]) for r in voted if r["odds"] is not None]
     silent += [labels_of[r["id"]] for r in voted if r["odds"] is None]
     model.nothing = (sum(silent) + share) / (len(silent) + 1)
@@ -315,7 +350,9 @@ def score(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(sent)
         for batch in batches:
-            found = [own.score(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+            texts, found = batch.column(batch.num_columns - 1), []
+            for start in range(0, batch.num_rows, _TOGETHER):
+                found += own.scores(texts.slice(start, _TOGETHER).to_pylist())
             scores = pa.array([s for s, _ in found], pa.float64())
             predicted = pa.array([int(s >= 0.5) for s, _ in found], pa.int32())
             evidence = pa.array([[str(i) for i in e[:5]] for _, e in found], pa.list_(pa.string()))
