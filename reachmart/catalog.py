@@ -18,6 +18,7 @@ from reachmart.session import scratch_dir
 from reachmart.samples import answers, outreach
 from reachmart.sources import files, outbox
 from reachmart.sources.ledger import Ledger
+from reachmart.sources.payload_files import PayloadFiles
 from reachmart.sources.schemas import RECORD_COLUMNS
 from reachmart.sources.tables import SalesTables
 from reachmart.streaming import sync_stream
@@ -503,6 +504,20 @@ def unsent_by_key_index(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.unsent(_entries(tables), "customer_id", "email")
 
 
+@job("payload_ledger")
+def payload_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where what was sent is known from payload files alone, of which the second came
+    after the first was entered."""
+    tables, work = SalesTables(spark, folder), scratch_dir(spark, "payloads")
+    found = PayloadFiles(Ledger(spark, f"{work}/ledger"), f"{work}/outbox")
+    sent = outreach.sent_records(tables).drop("source")
+    first = sent.filter("run_id = 'machinery'").select("email", "first_name", "customer_id", "score")
+    for name, rows in (("machinery", first), ("furniture", sent.filter("run_id <> 'machinery'"))):
+        outbox.write_csv(rows, f"{work}/outbox/{name}_payload.csv")
+        found.enter()
+    return found.ledger.unsent(_entries(tables), "customer_id", "email")
+
+
 @query("sent_status")
 def sent_status(tables: SalesTables) -> DataFrame:
     marked = sent_keys.mark_sent(_entries(tables), outreach.sent_records(tables))

@@ -539,7 +539,7 @@ _OUTREACH = {
         WHERE NOT EXISTS (SELECT 1 FROM sent s WHERE s.customer_id = f.customer_id)
           AND NOT EXISTS (SELECT 1 FROM sent s WHERE s.email = f.email)""",
 }
-_OUTREACH["unsent_by_key_index"] = _OUTREACH["unsent_by_id_email"]
+_OUTREACH["unsent_by_key_index"] = _OUTREACH["payload_ledger"] = _OUTREACH["unsent_by_id_email"]
 
 
 def statements() -> dict[str, str]:

@@ -11,6 +11,7 @@ from reachmart.operators import sent_keys
 from reachmart.plans import activation, manual_entries
 from reachmart.sources import outbox
 from reachmart.sources.ledger import Ledger
+from reachmart.sources.payload_files import PayloadFiles
 
 
 def pending(entries: DataFrame, ledger_rows: DataFrame, by: Sequence[str] = ("customer_id", "email")) -> DataFrame:
@@ -22,18 +23,22 @@ def sync(
     entries: DataFrame, ledger: Ledger, outbox_dir: str, run_id: str, send=None, discount_cap: float = 10.0, **scorers
 ) -> str:
     """Sends the entries whose id and e-mail are unsent, as ``activation.manual_payload``: with
-    the action of their segment and, given scorers, risk and message.
+    the action of their segment and, given scorers, risk and message. Payload files of other
+    tools in the outbox enter the ledger first, so what they sent counts as sent.
 
     Payload first, then delivery, then the ledger. Repeating a run that failed halfway sends
     its entries again and replaces its payload and its ledger rows.
     """
+    PayloadFiles(ledger, outbox_dir).enter()
     rows = ledger.unsent(manual_entries.repaired(entries), "customer_id", "email", except_run=run_id)
     rows = activation.manual_payload(rows, None, discount_cap, **scorers)
     return activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 
 
 def sync_by_id(entries: DataFrame, ledger: Ledger, outbox_dir: str, run_id: str, send=None) -> str:
-    """Sends the entries whose id is unsent, each with the action it came with."""
+    """Sends the entries whose id is unsent, each with the action it came with; payload files of
+    other tools count as for ``sync``."""
+    PayloadFiles(ledger, outbox_dir).enter()
     rows = ledger.unsent(manual_entries.repaired(entries), "customer_id", except_run=run_id)
     return activation.deliver(rows, outbox_dir, run_id, ledger, dry_run=False, send=send)
 

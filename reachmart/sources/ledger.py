@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reachmart.sources.files import exists
 from reachmart.sources.key_index import KeyIndex
@@ -26,11 +26,12 @@ class Ledger:
         self.spark, self.folder = spark, folder.rstrip("/")
         self.index = KeyIndex(spark, f"{self.folder}-keys")
 
-    def record(self, sent: DataFrame, run_id: str) -> None:
-        """Writes the rows of a run; called after their delivery."""
+    def record(self, sent: DataFrame, run_id: str, source: Column | None = None) -> None:
+        """Writes the rows of a run; called after their delivery. ``source`` names the payload
+        of each row where that is not the run's."""
         rows = json_columns(sent)
         columns = [_ledger_column(rows, name) for name in _COLUMNS]
-        rows = rows.select(*columns, F.lit(f"{run_id}_payload").alias("source"))
+        rows = rows.select(*columns, (F.lit(f"{run_id}_payload") if source is None else source).alias("source"))
         self.index.forget(run_id)
         rows.write.mode("overwrite").parquet(f"{self.folder}/run_id={quote(run_id, safe='')}")
 

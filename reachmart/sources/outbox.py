@@ -11,13 +11,14 @@ import csv
 import gzip
 import io
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from reachmart.functions.text import spaced_json
@@ -36,6 +37,8 @@ _CSV = {
 _EMPTY = "\u0001"
 # Files with line ends in values are read in one piece, so none may grow large.
 _ROWS_PER_FILE = 1_000_000
+# A quoted value that ends in its own line.
+_CLOSED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|\r?$)'
 
 
 def json_columns(rows: DataFrame) -> DataFrame:
@@ -82,7 +85,11 @@ def append_manual(entries: DataFrame, folder: str) -> None:
 def read_manual(spark: SparkSession, path: str) -> DataFrame:
     """Hand-entered records, all as text, by column name: a repaired file has its columns in
     another order than a new one. Columns that a file lacks are null."""
-    rows = read_by_name(spark, path)
+    return manual_columns(read_by_name(spark, path))
+
+
+def manual_columns(rows: DataFrame) -> DataFrame:
+    """The columns of an entry first, those that are missing as nulls; then all others."""
     missing = [name for name in MANUAL_COLUMNS if name not in rows.columns]
     rows = rows.withColumns({name: F.lit(None).cast("string") for name in missing})
     return rows.select(*MANUAL_COLUMNS, *[name for name in rows.columns if name not in [*MANUAL_COLUMNS, "_file"]])
@@ -111,39 +118,61 @@ def read_by_name(spark: SparkSession, glob: str) -> DataFrame:
 
     The reader matches columns by position and would mix up files whose headers differ. So
     one distributed pass over the lines finds each file's header, and each distinct header
-    is read once. The same pass finds the files in which a value holds a line end (a line
-    with an odd number of quotes). Only those have to be read as one piece; all others can
-    be split among tasks. Empty files hold no rows. A file that cannot be decoded is left
-    out whole; ``undecodable`` lists such files. A failing read fails the job.
+    is read once. The same pass finds the files in which a value holds a line end. Only
+    those have to be read as one piece; all others can be split among tasks. Empty files
+    hold no rows. A file that cannot be decoded is left out whole; ``undecodable`` lists
+    such files. A failing read fails the job.
     """
     bad = {row["path"] for row in undecodable(spark, glob).toLocalIterator()}
     good = glob if not bad else _other_paths(spark, glob, bad)
     if not good:
         return spark.createDataFrame([], f"{MANUAL_SCHEMA}, _file string")
+    # One row per file, as in the reader's own file listing.
+    return read_inspected(spark, inspected(spark, good).toLocalIterator())
+
+
+def inspected(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """A row for each file that is not empty: ``path`` (percent-encoded), ``header``, ``whole``
+    (a value holds a line end), number of ``lines``, and ``digest``, which is the same for
+    files of the same lines."""
     lines = (
         spark.read.options(recursiveFileLookup="true")
-        .text(good)
+        .text(paths)
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
     )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    sums = [F.sum(F.xxhash64("value", F.lit(seed)).cast("decimal(38,0)")).cast("string") for seed in (0, 1)]
     # Within a task the row number grows with the position in the file.
-    files = (
+    return (
         lines.withColumn("line_no", F.monotonically_increasing_id())
         .groupBy("path")
-        .agg(F.min_by("value", F.struct("at", "line_no")).alias("header"), F.max(quotes % 2 == 1).alias("whole"))
+        .agg(
+            F.min_by("value", F.struct("at", "line_no")).alias("header"),
+            F.max(_opens(F.col("value"))).alias("whole"),
+            F.count("*").alias("lines"),
+            F.concat_ws(" ", *sums).alias("digest"),
+        )
         .filter(F.length("header") > 0)
     )
-    # One row per file, as in the reader's own file listing.
+
+
+def _opens(line: Column) -> Column:
+    """Whether a quoted value begins in the line and does not end there. A quote inside an
+    unquoted value, as in ``O"Neil``, opens nothing."""
+    return F.contains(line, F.lit('"')) & F.regexp_replace(line, _CLOSED, "$1").rlike('(^|,)"')
+
+
+def read_inspected(spark: SparkSession, files: Iterable[Row]) -> DataFrame:
+    """The rows of files that ``inspected`` lists, by column name, with the path in ``_file``."""
     groups: dict[tuple[str, bool], list[str]] = {}
-    for row in files.toLocalIterator():
-        groups.setdefault((row["header"], row["whole"]), []).append(unquote(row["path"]))
+    for row in files:
+        groups.setdefault((row["header"], row["whole"]), []).append(literal(unquote(row["path"])))
     parts = [_read_group(spark, header, whole, sorted(paths)) for (header, whole), paths in sorted(groups.items())]
     if not parts:
         return spark.createDataFrame([], f"{MANUAL_SCHEMA}, _file string")
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
-def undecodable(spark: SparkSession, glob: str) -> DataFrame:
+def undecodable(spark: SparkSession, glob: str | list[str]) -> DataFrame:
     """``path`` and ``reason`` of the compressed files that end early or are damaged.
 
     Such a file cannot be split anyway; each is decompressed piece by piece in one task. An
@@ -167,14 +196,19 @@ def undecodable(spark: SparkSession, glob: str) -> DataFrame:
     return reader.load(glob).select("path", "content").mapInPandas(damage, "path string, reason string")
 
 
+def literal(path: str) -> str:
+    """A path as the readers take it, whatever signs its name holds."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
 def _other_paths(spark: SparkSession, glob: str, bad: set[str]) -> list[str]:
     """The files that match, without the bad ones; listed as the reader lists them."""
     files = spark.read.format("binaryFile").options(recursiveFileLookup="true").load(glob).select("path")
-    return [unquote(row["path"]) for row in files.toLocalIterator() if row["path"] not in bad]
+    return [literal(row["path"]) for row in files.toLocalIterator() if row["path"] not in bad]
 
 
 def _read_group(spark: SparkSession, header: str, whole: bool, paths: list[str]) -> DataFrame:
-    names = _column_names(header)
+    names = column_names(header)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     reader = spark.read.schema(schema).options(**_CSV, emptyValue=_EMPTY, multiLine=str(whole).lower())
     # The path comes percent-encoded, but with "+" as it is.
@@ -182,7 +216,7 @@ def _read_group(spark: SparkSession, header: str, whole: bool, paths: list[str])
     return _with_empty(reader.csv(paths).select(*[f"`{name}`" for name in names], path.alias("_file")))
 
 
-def _column_names(header: str) -> list[str]:
+def column_names(header: str) -> list[str]:
     """The names in a header line; a repeated or missing one gets a number."""
     names: list[str] = []
     for number, name in enumerate(next(csv.reader([header.lstrip("\ufeff")]))):

@@ -390,3 +390,15 @@ def test_activate_one_manual_entry(spark):
     row = activation.manual_payload(rows, "a@x", discount_cap=3).collect()[0]
     assert (row["customer_id"], row["nba_action"]["discount_pct"]) == ("m1", 3.0)
     assert activation.manual_payload(rows).filter(F.col("nba_action.template") == "holdout").count() == 1
+
+
+def test_a_stray_quote_splits_no_record(spark, tmp_path):
+    """Only a quoted value that goes on in the next line makes a file one piece."""
+    (tmp_path / "a_payload.csv").write_text('customer_id,first_name,email\n1,O"Neil,a@x\n2,"say ""hi""",b@x\n3,"",c@x\n')
+    (tmp_path / "b_payload.csv").write_text('customer_id,first_name,email\n4,"two, ""\n""lines",d@x\n5,Bo,e@x\n')
+    found = {row["path"].rsplit("/", 1)[1]: row["whole"] for row in outbox.inspected(spark, f"{tmp_path}/*").collect()}
+    assert found == {"a_payload.csv": False, "b_payload.csv": True}
+    rows = outbox.read_payloads(spark, f"{tmp_path}/*").select("customer_id", "first_name", "email")
+    assert rows_of(rows) == [
+        ("1", 'O"Neil', "a@x"), ("2", 'say "hi"', "b@x"), ("3", "", "c@x"), ("4", 'two, "\n"lines', "d@x"), ("5", "Bo", "e@x"),
+    ]

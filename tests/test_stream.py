@@ -58,11 +58,41 @@ def test_repeated_batch_leaves_one_copy(spark, tmp_path):
     assert ids(ledger) == ["m1"]
 
 
-def test_file_with_other_columns_stops_the_stream(spark, tmp_path):
+def test_odd_files_do_not_stop_the_stream(spark, tmp_path):
+    """Other columns or order are read by name, what cannot be read is listed, also after a restart."""
     (tmp_path / "inbox").mkdir()
-    names = [name for name in MANUAL_COLUMNS if name not in ("email", "customer_id")]
-    (tmp_path / "inbox" / "a.csv").write_text(",".join(["email", "customer_id", *names]) + "\na@x,m1" + "," * 12 + "\n")
+    names = [name for name in MANUAL_COLUMNS if name not in ("email", "customer_id", "segment")]
+    header = ",".join(["email", "customer_id", "segment", *names, "extra"])
+    (tmp_path / "inbox" / "a.csv").write_text(header + "\na@x,m1,churn_rescue_nps" + "," * 12 + "\n")
+    (tmp_path / "inbox" / "b.csv").write_text("customer_id,segment\nm2,churn_rescue_nps\n")
+    (tmp_path / "inbox" / "c.csv").write_text("note\nhello\n")
+    (tmp_path / "inbox" / "d.csv").write_text("")
+    (tmp_path / "inbox" / "e.csv.gz").write_text("customer_id,email\nm3,c@x\n")
     ledger = Ledger(spark, f"{tmp_path}/ledger")
-    with pytest.raises(Exception, match="header|Header"):
-        run(spark, tmp_path, ledger)
+    run(spark, tmp_path, ledger, files_per_batch=2)
+    assert ids(ledger) == ["m1", "m2"]
+    (tmp_path / "inbox" / "f.csv").write_text("email,customer_id,segment\nf@x,m4,churn_rescue_nps\na@x,m5,churn_rescue_nps\n")
+    run(spark, tmp_path, ledger)
+    assert ids(ledger) == ["m1", "m2", "m4"]
+    listed = sync_stream.rejected_table(spark, f"{tmp_path}/checkpoint").collect()
+    assert sorted(row["path"].rsplit("/", 1)[1] for row in listed) == ["c.csv", "e.csv.gz"]
+    assert all(row["reason"] for row in listed)
+
+
+def test_a_batch_that_fails_is_repeated(spark, tmp_path):
+    ledger, calls = Ledger(spark, f"{tmp_path}/ledger"), []
+
+    def send(rows):
+        calls.append(sorted(row["customer_id"] for row in rows.collect()))
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox" / "a.csv").write_text("customer_id,email\nm1,a@x\n")
+    (tmp_path / "inbox" / "b.csv").write_text("note\nhello\n")
+    with pytest.raises(Exception, match="lost"):
+        run(spark, tmp_path, ledger, send=send)
     assert ids(ledger) == []
+    run(spark, tmp_path, ledger, send=send)
+    assert calls == [["m1"], ["m1"]] and ids(ledger) == ["m1"]
+    assert sync_stream.rejected_table(spark, f"{tmp_path}/checkpoint").count() == 1
