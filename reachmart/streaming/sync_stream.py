@@ -11,6 +11,7 @@ be read goes into the table of rejected files, and the stream goes on.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -49,7 +50,7 @@ def entries_of(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[t
         if {"customer_id", "email"} & set(outbox.column_names(row["header"])):
             files.append(row)
         else:
-            rejected.append((row["path"], "neither customer_id nor email in the header"))
+            rejected.append((unquote(row["path"]), "neither customer_id nor email in the header"))
     return outbox.manual_columns(outbox.read_inspected(spark, files)).select(*MANUAL_COLUMNS), rejected
 
 
