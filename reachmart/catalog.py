@@ -341,7 +341,7 @@ def _outbox_files(spark: SparkSession, folder: str) -> str:
     outbox.write_csv(padded, f"{work}/lapse_payload.csv")
     noted = rows.filter(F.col("segment") == CHURN_RESCUE).withColumn("note", F.lit('said "hi",\n bye'))
     outbox.write_csv(noted.select("note", "email", "segment", "customer_id", "first_name"), f"{work}/rescue_payload.csv")
-    rows.select("email").coalesce(1).write.text(f"{work}/text")
+    rows.select("email").write.text(f"{work}/text")
     part = spark.read.text(f"{work}/text").select("_metadata.file_path").first()
     if part is not None:
         files.copy(spark, part[0], f"{work}/damaged_payload.csv.gz")
