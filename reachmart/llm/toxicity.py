@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from reachmart.llm.common import held_out, learnable, numbered, received, rename
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 STEM = 5  # letters of a word's stem term
-_TOGETHER = 64  # texts that are searched for at a time
+_TOGETHER = 128  # texts that are searched for at a time
 
 
 @dataclass(frozen=True)
@@ -47,36 +48,64 @@ def _terms(words: list[str]) -> set[str]:
     return distinct.union(w[:STEM] + "-" for w in distinct if len(w) > STEM)
 
 
+class _Words(dict):
+    """For each word met so far the numbers of its own term and of its stem's, counted from 1
+    and packed into one integer; 0 stands for none. Words without a known term are not kept."""
+
+    REMEMBERED = 200_000
+    STEM_BITS = 32
+
+    def __init__(self, number: dict[str, int]):
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, word: str) -> int:
+        own = self.number.get(word, -1) + 1
+        stem = self.number.get(word[:STEM] + "-", -1) + 1 if len(word) > STEM else 0
+        packed = own << self.STEM_BITS | stem
+        if packed:
+            if len(self) >= self.REMEMBERED:
+                self.clear()
+            self[word] = packed
+        return packed
+
+
 class Vocabulary:
-    REMEMBERED = 200_000  # words whose terms are kept at hand
+    WORDS = 1 << 17  # words, or those of one text, whose terms are added up at a time
 
     def __init__(self, terms: list[str], weights: list[float]):
         self.number = {t: i for i, t in enumerate(terms)}
         self.weights = np.array(weights, float)
-        self.terms_of: dict[str, tuple[int, ...]] = {}
-
-    def _numbers(self, word: str) -> tuple[int, ...]:
-        own = (word, word[:STEM] + "-") if len(word) > STEM else (word,)
-        found = tuple(self.number[t] for t in own if t in self.number)
-        if len(self.terms_of) >= self.REMEMBERED:
-            self.terms_of.clear()
-        self.terms_of[word] = found
-        return found
+        self.known = _Words(self.number)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and normalised TF-IDF weights of the known terms of a text."""
-        counts: dict[int, int] = {}
-        known = self.terms_of
-        for word, n in Counter(words_of(text)).items():
-            for number in known[word] if word in known else self._numbers(word):
-                counts[number] = counts.get(number, 0) + n
-        if not counts:
-            return np.zeros(0, np.int64), np.zeros(0)
-        numbers = np.fromiter(counts.keys(), np.int64, len(counts))
-        order = np.argsort(numbers)
-        numbers = numbers[order]
-        weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts))[order])) * self.weights[numbers]
-        return numbers, weights / np.linalg.norm(weights)
+        return self.vectors([text])[0]
+
+    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the numbers and normalised TF-IDF weights of its known terms."""
+        made, held, n = [], [], 0
+        for text in texts:
+            words = words_of(text)
+            held.append(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
+            n += len(words)
+            if n >= self.WORDS:
+                made += self._weighted(held)
+                held, n = [], 0
+        return made + self._weighted(held)
+
+    def _weighted(self, texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        packed = np.concatenate([np.zeros(0, np.int64), *texts])
+        firsts = np.arange(len(texts) + 1) * len(self.number)
+        first = np.repeat(firsts[:-1] - 1, [len(t) for t in texts])
+        own, stem = packed >> _Words.STEM_BITS, packed & ((1 << _Words.STEM_BITS) - 1)
+        found, counts = np.unique(np.concatenate([(first + own)[own > 0], (first + stem)[stem > 0]]), return_counts=True)
+        cuts = np.searchsorted(found, firsts)
+        numbers = found - np.repeat(firsts[:-1], np.diff(cuts))
+        weights = (1 + np.log(counts.astype(float))) * self.weights[numbers]
+        return [
+            (numbers[a:b], weights[a:b] / np.linalg.norm(weights[a:b]) if a < b else weights[a:b])
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist())
+        ]
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +151,7 @@ class BlockMaxIndex:
     """
 
     FULL = 16  # a list with more than one of so many examples is a full row
+    LISTS = 16  # vectors whose lists are added up together
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int):
         self.block, self.n = block, len(vectors)
@@ -138,8 +168,9 @@ class BlockMaxIndex:
         self.full[rows[listed] // block, self.place[terms[listed]], rows[listed] % block] = weights[listed]
         terms, rows, weights = terms[~listed], rows[~listed], weights[~listed]
         order = np.lexsort((rows, terms))
-        self.rows, self.weights = rows[order], weights[order]
-        cell = terms[order] * n_blocks + self.rows // block
+        rows, self.weights = rows[order], weights[order]
+        self.inside = (rows % block).astype(np.int32)
+        cell = terms[order] * n_blocks + rows // block
         self.starts = np.searchsorted(cell, np.arange(n_terms * n_blocks + 1))
         self.n_blocks = n_blocks
 
@@ -167,7 +198,7 @@ class BlockMaxIndex:
             place = self.place[terms]
             often = place >= 0
             common[i, place[often]] = weights[often]
-            lists.append((terms[~often], weights[~often]))
+            lists.append((terms[~often] * self.n_blocks, weights[~often]))
         order = np.argsort(-bounds, axis=1, kind="stable")
         best = [(np.zeros(0, np.int64), np.zeros(0))] * n
         alive = np.arange(n)
@@ -179,11 +210,15 @@ class BlockMaxIndex:
             alive, at, least = alive[going], at[going], least[going]
             for b in np.unique(at).tolist():
                 mine = np.flatnonzero(at == b)
-                for row, of, i in zip(common[alive[mine]] @ self.full[b], least[mine].tolist(), alive[mine].tolist()):
-                    scores = row + self._listed(b, *lists[i])
-                    if leave[i] >= 0 and leave[i] // self.block == b:
-                        scores[leave[i] % self.block] = 0
-                    best[i] = self._better(best[i], scores, b, k, of)
+                products = common[alive[mine]] @ self.full[b]
+                for start in range(0, len(mine), self.LISTS):
+                    some = mine[start : start + self.LISTS]
+                    which = alive[some].tolist()
+                    scored = products[start : start + self.LISTS] + self._listed(b, [lists[i] for i in which])
+                    for scores, of, i in zip(scored, least[some].tolist(), which):
+                        if leave[i] >= 0 and leave[i] // self.block == b:
+                            scores[leave[i] % self.block] = 0
+                        best[i] = self._better(best[i], scores, b, k, of)
         return best
 
     def _better(self, best: tuple[np.ndarray, np.ndarray], scores: np.ndarray, b: int, k: int, least: float):
@@ -195,16 +230,20 @@ class BlockMaxIndex:
         top = np.lexsort((rows, -near))[:k]
         return rows[top], near[top]
 
-    def _listed(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """The part of a block's scores that comes from the inverted lists."""
-        cells = terms * self.n_blocks + b
+    def _listed(self, b: int, lists: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The part of a block's scores that comes from the inverted lists, a row for each vector."""
+        cells = np.concatenate([cells for cells, _ in lists]) + b
+        weights = np.concatenate([weights for _, weights in lists])
+        row = np.repeat(np.arange(len(lists)) * self.block, [len(cells) for cells, _ in lists])
         starts = self.starts[cells]
         lengths = self.starts[cells + 1] - starts
         some = np.flatnonzero(lengths)
-        starts, lengths, weights = starts[some], lengths[some], weights[some]
+        starts, lengths, weights, row = starts[some], lengths[some], weights[some], row[some]
         ends = np.cumsum(lengths)
         at = np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-        return np.bincount(self.rows[at] % self.block, np.repeat(weights, lengths) * self.weights[at], self.block)
+        into = np.repeat(row, lengths) + self.inside[at]
+        added = np.repeat(weights, lengths) * self.weights[at]
+        return np.bincount(into, added, len(lists) * self.block).reshape(len(lists), self.block)
 
 
 class Model:
@@ -242,7 +281,7 @@ class Model:
             return [(self.share, [])] * len(texts)
         return [
             (self.nothing if odds is None else 1 / (1 + math.exp(-(self.shift + self.slope * odds))), evidence)
-            for odds, evidence in self.votes([self.vocabulary.vector(t) for t in texts])
+            for odds, evidence in self.votes(self.vocabulary.vectors(texts))
         ]
 
 
@@ -342,26 +381,29 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     return model
 
 
-def score(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
-    """``doc_id``, ``carried``, ``score``, ``predicted`` and ``evidence`` of every row."""
+def score(docs: DataFrame, model: Model, *carried: str, text: str = "text") -> DataFrame:
+    """``doc_id``, ``carried``, ``score``, ``predicted`` and ``evidence`` of every row. A ``text``
+    that is carried goes to the tasks once."""
     sent = shared(docs.sparkSession, model)
     kept = ["doc_id", *carried]
+    read = kept if text in kept else [*kept, text]
+    at = read.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(sent)
         for batch in batches:
-            texts, found = batch.column(batch.num_columns - 1), []
             for start in range(0, batch.num_rows, _TOGETHER):
-                found += own.scores(texts.slice(start, _TOGETHER).to_pylist())
-            scores = pa.array([s for s, _ in found], pa.float64())
-            predicted = pa.array([int(s >= 0.5) for s, _ in found], pa.int32())
-            evidence = pa.array([[str(i) for i in e[:5]] for _, e in found], pa.list_(pa.string()))
-            arrays = [*batch.columns[:-1], scores, predicted, evidence]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "score", "predicted", "evidence"])
+                part = batch.slice(start, _TOGETHER)
+                found = own.scores(part.column(at).to_pylist())
+                scores = pa.array([s for s, _ in found], pa.float64())
+                predicted = pa.array([int(s >= 0.5) for s, _ in found], pa.int32())
+                evidence = pa.array([[str(i) for i in e[:5]] for _, e in found], pa.list_(pa.string()))
+                arrays = [*part.columns[: len(kept)], scores, predicted, evidence]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "score", "predicted", "evidence"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema]
     schema = ", ".join([*fields, "score double", "predicted int", "evidence array<string>"])
-    return docs.select(*kept, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*read).mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -389,6 +431,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
     together; columns of any name pass through; an empty table stays empty.
     """
     rows, place = numbered(docs)
-    rows = rows.withColumns({"doc_id": F.col(place["doc_id"]), "text": F.col(place["text"])})
-    kept = score(rows, train(docs, labels, settings), *place.values()).filter("predicted = 0")
+    rows = rows.withColumn("doc_id", F.col(place["doc_id"]))
+    kept = score(rows, train(docs, labels, settings), *place.values(), text=place["text"]).filter("predicted = 0")
     return renamed(kept, place)

@@ -153,3 +153,39 @@ def test_recall_on_the_given_labels(spark, size, least):
     rows = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     toxic, clean = ([r.predicted for r in rows if r.toxic == y] for y in (1, 0))
     assert np.mean(toxic) >= least and np.mean(clean) <= 0.02
+
+
+def test_vectors_of_many_texts(corpus, monkeypatch):
+    texts = [t for _, t in corpus[0][:50]] + [None, "", "unknown wordsunknown", "rotten " * 40, "ROTTEN Rottenness rottener"]
+    terms = sorted({w for t in texts[:50] for w in toxicity.words_of(t)} | {"rotte-", "vilest", "scumm-"})
+    weights = [1 + i % 7 / 7 for i in range(len(terms))]
+    whole = toxicity.Vocabulary(terms, weights).vectors(texts)
+    monkeypatch.setattr(toxicity.Vocabulary, "WORDS", 100)
+    monkeypatch.setattr(toxicity._Words, "REMEMBERED", 9)
+    parts = toxicity.Vocabulary(terms, weights).vectors(texts)
+    for text_of, (numbers, values), part in zip(texts, whole, parts):
+        counts = Counter(toxicity.words_of(text_of))
+        for w, n in list(counts.items()):
+            if len(w) > 5:
+                counts[w[:5] + "-"] += n
+        plain = {t: (1 + math.log(counts[t])) * w for t, w in zip(terms, weights) if counts[t]}
+        norm = math.sqrt(sum(x * x for x in plain.values()))
+        assert [terms[i] for i in numbers] == sorted(plain)
+        assert values.tolist() == pytest.approx([plain[t] / norm for t in sorted(plain)])
+        assert numbers.tolist() == part[0].tolist() and values.tolist() == part[1].tolist()
+
+
+def test_lists_of_many_vectors_are_added_up_together(monkeypatch):
+    rng = np.random.default_rng(0)
+    vectors = []
+    for _ in range(200):
+        weights = rng.random(6) + 0.1
+        vectors.append((np.sort(rng.choice(500, 6, replace=False)), weights / np.linalg.norm(weights)))
+    index, calls = toxicity.BlockMaxIndex(vectors, 500, 256), []
+    listed = toxicity.BlockMaxIndex._listed
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "_listed", lambda *args: calls.append(1) or listed(*args))
+    got = index.nearest_of_each(vectors[:64], 5, list(range(64)))
+    assert len(calls) <= 64 / 8
+    for i, (rows, near) in enumerate(got):
+        wanted = plain_nearest(vectors, vectors[i], 5, i)
+        assert rows.tolist() == [r for r, _ in wanted] and near.tolist() == pytest.approx([c for _, c in wanted])
