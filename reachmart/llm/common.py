@@ -71,13 +71,25 @@ def join_by(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
     return joined.drop("_hash")
 
 
+class _WithClass:
+    """A value pickled along with its class, which is the value itself once it is read back.
+    The driver holds the bytes alone."""
+
+    def __init__(self, value):
+        self.pickled = cloudpickle.dumps(value)
+
+    def __reduce__(self):
+        return pickle.loads, (self.pickled,)
+
+
 def shared(spark: SparkSession, value) -> Broadcast:
     """Sends a value of bounded size to the executors, its class along with it."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return spark.sparkContext.broadcast(_WithClass(value))
 
 
 def received(sent: Broadcast):
-    return pickle.loads(sent.value)
+    """The value as a Python worker holds it, once for all its tasks."""
+    return sent.value
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[pa.Table]:

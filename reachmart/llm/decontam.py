@@ -18,6 +18,7 @@ from reachmart.llm.common import numbered, received, renamed, shared, stored
 _PLAIN = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
+_ROWS = 1024  # rows that are given back at a time
 
 
 @dataclass(frozen=True)
@@ -417,19 +418,20 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setti
     name pass through. An empty benchmark drops nothing.
     """
     rows, place = numbered(docs)
-    numbers = list(place.values())
-    carried = rows.withColumn("_text", F.col(place["text"]).cast("binary"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried.schema)
+    at = rows.columns.index(place["text"])
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
 
     def cleaner(sent):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = received(sent)
             for batch in batches:
-                clean = [not own.matches(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+                for start in range(0, batch.num_rows, _ROWS):
+                    part = batch.slice(start, _ROWS)
+                    clean = [not own.matches(t.as_py()) for t in part.column(at).cast(pa.binary())]
+                    yield part.filter(pa.array(clean, pa.bool_()))
 
         return run
 
     for search in prepare(docs, benchmark, settings):
-        carried = carried.mapInArrow(cleaner(shared(docs.sparkSession, search)), fields)
-    return renamed(carried.select(*numbers), place)
+        rows = rows.mapInArrow(cleaner(shared(docs.sparkSession, search)), fields)
+    return renamed(rows, place)

@@ -129,11 +129,13 @@ def _roots(fps: np.ndarray, radius: int) -> np.ndarray:
     if not len(loose):
         return label
     part = np.flatnonzero(linked.sum(axis=1) > 1)
-    rows, columns = np.nonzero(linked[np.ix_(part, part)])
-    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    own = np.arange(len(part))
+    linked = linked[np.ix_(part, part)]
+    own = np.arange(len(part), dtype=np.int32)
     while True:
-        best = np.minimum.reduceat(own[columns], starts)
+        # Some rows at a time: where all are linked, a list of the links is many times the matrix.
+        best = np.concatenate(
+            [np.where(linked[i : i + _BLOCK], own, len(part)).min(axis=1) for i in range(0, len(part), _BLOCK)]
+        )
         best = best[best]
         if (best == own).all():
             break

@@ -1,9 +1,10 @@
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from reachmart.llm import decontam, mixing, toxicity
+from reachmart.llm import common, decontam, mixing, toxicity
 from tests.llm.test_simhash import plain_groups
 
 FOLDER = "/root/testdata/sf0.001"
@@ -63,3 +64,24 @@ def test_stages_on_odd_and_empty_tables(spark, make_docs, odd_rows):
             assert kept.columns == docs.columns, name
             assert kept.count() <= len(rows)
         assert corpus_pipeline.shards(spark, docs, FOLDER).count() == len(rows)
+
+
+@pytest.mark.parametrize("name", ["toxicity", "benchmark"])
+def test_texts_go_to_the_tasks_once(spark, make_docs, name):
+    docs = make_docs([(i, "some words here") for i in range(3)])
+    plan = dict(corpus_pipeline.STAGES)[name](spark, docs, FOLDER)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "MapInArrow":
+        plan = plan.children().head()
+    read = plan.children().head().output().mkString(",").split(",")
+    assert sum(column.startswith(("_1#", "text#", "_text#")) for column in read) == 1
+
+
+def test_a_worker_holds_a_shared_value_once(spark):
+    sent = common.shared(spark, toxicity.Vocabulary(["a"], [1.0]))
+
+    def run(batches):
+        for batch in batches:
+            own = common.received(sent)
+            yield pa.RecordBatch.from_arrays([pa.array([own is common.received(sent) and own.number["a"] == 0])], names=["same"])
+
+    assert [r.same for r in spark.range(1).mapInArrow(run, "same boolean").collect()] == [True]

@@ -1,3 +1,6 @@
+import tracemalloc
+from itertools import combinations
+
 import numpy as np
 import pytest
 import xxhash
@@ -121,3 +124,15 @@ def test_groups_headed_by_a_repeated_id(spark, make_docs):
     kept = simhash.one_per_group(make_docs([(1, a), (1, b), (2, a), (3, b)])).collect()
     assert sorted(r.text for r in kept) == sorted([a, b])
     assert {r.doc_id for r in kept} == {1}
+
+
+def test_memory_of_a_group_of_near_copies():
+    """All linked to each other, and a path over several others."""
+    fps = np.array([sum(1 << b for b in pair) for pair in combinations(range(64), 2)], np.uint64)
+    fps = np.r_[fps, [np.uint64((1 << 4 * i) - 1) for i in range(1, 15)]]
+    tracemalloc.start()
+    root = simhash._roots(fps, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert root[:2016].tolist() == [0] * 2016 and root[2016:].tolist() == [0] * 14
+    assert peak < 64e6
