@@ -16,6 +16,7 @@ TOPICS = [
     ("markup", ["%%%", "</", "{"]),
 ]
 OTHER_TOPIC = "prose"
+_CELLS = 50_000  # cells that one task may rake
 
 
 def topic(text: Column) -> Column:
@@ -53,21 +54,41 @@ def rake(
     to what is left of the target. A category that has less than its target gives all.
 
     One factor per category and dimension is all that changes, so the cells stay in place
-    and only the small factor tables are written in each step; nothing is collected.
+    and only the small factor tables are written in each step; nothing is collected. Cells
+    that are few enough for one task carry their factors, and each step groups and merges
+    them in that task: a shuffle or a broadcast per table and step fills the driver's memory.
     """
     cells = stored(cells.filter("tokens > 0"), "cells")
-    total = cells.agg(F.sum("tokens")).first()[0]
+    total, n = cells.agg(F.sum("tokens"), F.count(F.lit(1))).first()
     if not total:
         cells = cells.withColumn("share", F.lit(0.0))
         return cells if budget is None else cells.withColumn("reachable", F.lit(0.0))
+    few = n <= _CELLS
+    cells = cells.select(*dims, "tokens").coalesce(1) if few else cells
     factors = {}
-    targets = {}
+    raked = cells
+
+    def take(dim: str, found: DataFrame) -> None:
+        """Puts the target and the factors of a dimension's categories in place of the last ones."""
+        nonlocal raked
+        if few:
+            kept = raked.drop(*[c for c in found.columns if c != dim])
+            raked = stored(kept.join(found.coalesce(1).hint("merge"), dim), "factors").coalesce(1)
+        else:
+            factors[dim] = stored(found, "factors")
+
+    def with_factors() -> DataFrame:
+        now = raked
+        for dim in factors:
+            now = now.join(factors[dim], dim)
+        return now
+
     for dim in dims:
         sums = cells.groupBy(dim).agg(F.sum("tokens").alias("n"))
         weighted = sums.select(dim, F.pow(F.col("n") / F.lit(float(total)), F.lit(power)).alias("w"))
         whole = weighted.agg(F.sum("w")).first()[0]
-        targets[dim] = stored(weighted.select(dim, (F.col("w") / F.lit(whole)).alias(f"target_{dim}")), "targets")
-        factors[dim] = targets[dim].select(dim, F.lit(1.0).alias(f"f_{dim}"), F.lit(1.0).alias(f"g_{dim}"))
+        ones = [F.lit(1.0).alias(f"{letter}_{dim}") for letter in ("fg" if budget else "f")]
+        take(dim, weighted.select(dim, (F.col("w") / F.lit(whole)).alias(f"target_{dim}"), *ones))
     start = F.col("tokens") / F.lit(float(total))
 
     def times(letter: str, among: Sequence[str]) -> Column:
@@ -81,10 +102,7 @@ def rake(
     for _ in range(sweeps):
         for dim in dims:
             others = [d for d in dims if d != dim]
-            now = cells
-            for other in others if budget is None else dims:
-                now = now.join(factors[other], other)
-            sums = [F.sum(times("f", others)).alias("n")]
+            sums = [F.sum(times("f", others)).alias("n"), F.first(f"target_{dim}").alias("target")]
             if budget:
                 rest, full = times("g", others), times("g", dims) >= most
                 sums += [
@@ -93,20 +111,17 @@ def rake(
                     F.sum(F.when(full, most).otherwise(0.0)).alias("fixed"),
                     F.first(f"g_{dim}").alias("g"),
                 ]
-            target = F.col(f"target_{dim}")
-            scaled = [(target / F.col("n")).alias(f"f_{dim}")]
+            target = F.col("target")
+            scaled = [target.alias(f"target_{dim}"), (target / F.col("n")).alias(f"f_{dim}")]
             if budget:
                 left = target - F.col("fixed")
                 held = F.when(left <= 0, target / F.col("every")).when(F.col("free") > 0, left / F.col("free"))
                 scaled.append(held.otherwise(F.col("g")).alias(f"g_{dim}"))
-            found = now.groupBy(dim).agg(*sums).join(targets[dim], dim)
-            factors[dim] = stored(found.select(dim, *scaled), "factors")
-    for dim in dims:
-        cells = cells.join(factors[dim], dim)
+            take(dim, with_factors().groupBy(dim).agg(*sums).select(dim, *scaled))
     shares = [times("f", dims).alias("share")]
     if budget:
         shares.append(F.least(times("g", dims), most).alias("reachable"))
-    return cells.select(*dims, "tokens", *shares)
+    return with_factors().select(*dims, "tokens", *shares)
 
 
 def probabilities(raked: DataFrame, budget: float) -> DataFrame:

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from reachmart.llm import mixing
+from reachmart.llm import common, mixing
 
 
 def plain_rake(cells, power, sweeps):
@@ -73,6 +73,26 @@ def test_full_cells_are_held_while_the_others_are_raked(spark):
                     assert reached == pytest.approx(target, rel=0.01), (budget, value)
 
 
+def test_few_cells_are_raked_without_shuffle_and_broadcast(spark, monkeypatch):
+    cells = {(f"s{a}", f"l{b}"): 10 * a + b + 1 for a in range(5) for b in range(4)}
+    frame = spark.createDataFrame([(*k, n) for k, n in cells.items()], "a string, b string, tokens long")
+    plans = []
+
+    def spied(rows, purpose):
+        plans.append((purpose, rows._jdf.queryExecution().executedPlan().toString()))
+        return common.stored(rows, purpose)
+
+    monkeypatch.setattr(mixing, "stored", spied)
+    for most, shuffled in ((len(cells), False), (7, True)):
+        monkeypatch.setattr(mixing, "_CELLS", most)
+        plans.clear()
+        raked = mixing.rake(frame, ["a", "b"], 0.5, 2, 0.9)
+        steps = [plan for purpose, plan in plans if purpose == "factors"]
+        assert len(steps) == 6 and all(("Exchange" in plan) == shuffled for plan in steps)
+        wanted, _ = plain_rake(cells, 0.5, 2)
+        assert {(r.a, r.b): r.share for r in raked.collect()} == {k: pytest.approx(s) for k, s in wanted.items()}
+
+
 def test_mix(make_docs, odd_rows):
     rng = random.Random(3)
     rows = list(odd_rows) + [(None, "a b c")]
